@@ -87,6 +87,11 @@ class Inputs:
     def player_as_of(self):
         return latest(self.players, "timestamp")
 
+    @cached_property
+    def event_as_of(self):
+        """Newest event of any kind (the anchor of multi-table checks)."""
+        return latest(self.table("events"), "ts")
+
 
 def normalise(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     cols = [F.round(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, T.DoubleType)

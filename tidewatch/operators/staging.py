@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timefns import minus, pg_dow, trunc_ntz
@@ -48,17 +48,25 @@ def snippet(col, n: int = 200) -> F.Column:
     return F.when(F.length(col) > n, F.concat(F.substring(col, 1, n), F.lit("..."))).otherwise(col)
 
 
-def recent_reviews(reviews: DataFrame, app_id: int, as_of=None, hours: float = 24,
+def recent_reviews(reviews: DataFrame, app_id=None, as_of=None, hours: float = 24,
                    k: int = 20) -> DataFrame:
-    """Newest k labelled reviews of one game (id breaks ties)."""
-    df = _labelled_since(reviews.filter(F.col("app_id") == app_id), as_of, hours)
-    return (df.orderBy(F.col("processed_timestamp").desc(), F.col("id").desc()).limit(k)
-            .select(snippet(F.col("review_text")).alias("text"),
-                    F.col("sentiment_label").alias("sentiment"),
-                    F.round("sentiment_score", 3).alias("score"),
-                    F.col("review_timestamp").alias("timestamp"),
-                    F.coalesce("review_helpful", F.lit(0)).alias("helpful_votes"),
-                    F.col("processed_timestamp")))
+    """Newest k labelled reviews of one game (``app_id=None``: of every
+    game). The per-game form is ``row_number() <= k``, which Spark plans with
+    a partial WindowGroupLimit before the shuffle, so a hot game ships at most
+    k rows per map task."""
+    df = reviews if app_id is None else reviews.filter(F.col("app_id") == app_id)
+    df = _labelled_since(df, as_of, hours)
+    out = [snippet(F.col("review_text")).alias("text"),
+           F.col("sentiment_label").alias("sentiment"),
+           F.round("sentiment_score", 3).alias("score"),
+           F.col("review_timestamp").alias("timestamp"),
+           F.coalesce("review_helpful", F.lit(0)).alias("helpful_votes")]
+    if app_id is not None:
+        return (df.orderBy(F.col("processed_timestamp").desc(), F.col("id").desc()).limit(k)
+                .select(*out))
+    w = Window.partitionBy("app_id").orderBy(F.col("processed_timestamp").desc(), F.col("id").desc())
+    return (df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k)
+            .select("app_id", *out))
 
 
 def game_name_of(reviews: DataFrame) -> DataFrame:

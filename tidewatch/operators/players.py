@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.frames import attach
 from ..functions.timefns import anchor, minus, minutes_between
 
 
@@ -49,7 +50,7 @@ def pipeline_summary_stats(players: DataFrame, as_of=None, recent_hours: float =
                            "avg_player_count", "peak_player_count")
     recent = players.filter(ts > minus(as_of, hours=recent_hours)).agg(
         F.count(F.lit(1)).alias("recent_player_records"))
-    return recent.crossJoin(week.drop("recent_in_week"))
+    return attach(recent, week.drop("recent_in_week"))
 
 
 def initial_collection_needed(config: DataFrame, reviews: DataFrame, threshold: int = 10,

@@ -77,13 +77,14 @@ def parse_price_payload(raw: DataFrame, body: str = "body", fetched_at: str = "f
     """Body is an object keyed by app id; the entry must exist and have
     ``success``; prices are cents / 100; without ``price_overview`` (free
     title) the row is 0.0 / 0.0 / 0 / 'USD'."""
+    # Parse each body once; later projections reference the parsed entry.
     m = F.from_json(F.col(body), T.MapType(T.StringType(), PRICE_ENTRY))
-    e = F.element_at(m, F.col("app_id").cast("string"))
-    po = e["data"]["price_overview"]
+    parsed = raw.select(F.col("app_id").cast("int").alias("app_id"),
+                        F.element_at(m, F.col("app_id").cast("string")).alias("_e"),
+                        F.col(fetched_at).alias("timestamp"))
     has = F.col("_po").isNotNull()
-    return (raw.select(F.col("app_id").cast("int").alias("app_id"), e.alias("_e"), po.alias("_po"),
-                       F.col(fetched_at).alias("timestamp"))
-            .filter(F.col("_e").isNotNull() & F.coalesce(F.col("_e.success"), F.lit(False)))
+    return (parsed.filter(F.col("_e").isNotNull() & F.coalesce(F.col("_e.success"), F.lit(False)))
+            .select("app_id", F.col("_e.data.price_overview").alias("_po"), "timestamp")
             .select("app_id",
                     F.when(has, F.coalesce(F.col("_po.final"), F.lit(0)) / 100.0).otherwise(0.0).alias("price_current"),
                     F.when(has, F.coalesce(F.col("_po.initial"), F.lit(0)) / 100.0).otherwise(0.0).alias("price_original"),

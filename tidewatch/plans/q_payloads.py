@@ -142,7 +142,13 @@ def _owners_raw(x):
     return p.select(F.col("p_partkey").alias("app_id"), body.alias("body"))
 
 
-@query("flatten_owner_estimates", None)
+@query("flatten_owner_estimates", """
+select cast(p_partkey as int) as app_id, printf('%d .. %d', p_size * 1000, p_size * 2000) as owners_estimate,
+  cast(p_size * 10 as bigint) as owners_variance, cast(p_size * 50 as bigint) as players_forever,
+  cast(p_size * 5 as bigint) as players_2weeks, cast(p_size as bigint) as average_forever,
+  cast(0 as bigint) as average_2weeks, cast(p_size as bigint) as median_forever, cast(0 as bigint) as median_2weeks
+from part where p_size % 9 <> 0
+""")
 def _a10(x):
     return A.flatten_owner_estimates(_owners_raw(x))
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
 
@@ -63,3 +64,52 @@ def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import schedule
 
     return schedule(table(spark, sf_dir, "documents")).drop("row")
+
+
+#: (host, path, verdict)
+URL_RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"))
+
+
+@query("op1_url_filter")
+def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list: canonical URLs of the pages whose markup is full of symbol
+    runs, so other addresses of the same page are blocked as well."""
+    from .url_filter import canonical, host, judge, path
+
+    pages = table(spark, sf_dir, "pages")
+    runs = F.regexp_count("html", F.lit(r"[*#$%]{3}"))
+    junk = pages.where(100 * runs > F.length("html")).select("url")
+    listed = junk.select(canonical(host(F.col("url")), path(F.col("url"))).alias("url"))
+    return judge(pages, listed, URL_RULES)
+
+
+@query("op2_toxicity")
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chain: low quality, toxic, and both at once."""
+    from .toxicity import score, train_chain
+
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    low, toxic = F.col("quality") == 0, F.col("toxic") == 1
+    chain = train_chain(docs, labels, {"low_quality": low, "toxic": toxic, "toxic_low_quality": low & toxic})
+    return score(docs, chain).select("doc_id", "p_low_quality", "p_toxic", "p_toxic_low_quality", "toxic")
+
+
+@query("op7_pii_surrogates")
+def pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import pseudonymise
+
+    return pseudonymise(table(spark, sf_dir, "documents"), secret="corpus-2024")
+
+
+@query("op9_html_extraction")
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_text import main_text
+
+    return main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query("op10_token_counts")
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import token_scan
+
+    return token_scan.token_counts(table(spark, sf_dir, "documents"), RANKS)

@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import oracles
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,14 +45,14 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), RANKS)
 
 
-@query("op6_ngram_join")
+@query("op6_ngram_join", sql=oracles.NGRAM_JOIN)
 def ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ngram_join import jaccard_components
 
-    return jaccard_components(table(spark, sf_dir, "documents"), ratio=(90, 100), width=3).select("doc_id", "n_shingles", "component_id", "set_links")
+    return jaccard_components(table(spark, sf_dir, "documents"), ratio=(90, 100), width=3).select("doc_id", "n_shingles", "component_id")
 
 
-@query("op8_quality_rules")
+@query("op8_quality_rules", sql=oracles.QUALITY_RULES)
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality_rules import judge
 
@@ -70,7 +71,7 @@ def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 URL_RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"))
 
 
-@query("op1_url_filter")
+@query("op1_url_filter", sql=oracles.URL_FILTER)
 def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The list: canonical URLs of the pages whose markup is full of symbol
     runs, so other addresses of the same page are blocked as well."""

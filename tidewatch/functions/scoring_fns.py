@@ -1,5 +1,5 @@
 """Column expressions for the scorer surface (K2, K4, K5, K6): label
-normalisation, model-input truncation, reply parsing and the registry
+normalisation, model-input chunks, reply parsing and the registry
 completeness score. All JVM-side; no Python per row."""
 
 from __future__ import annotations
@@ -36,10 +36,13 @@ def normalize_label(raw_label, raw_score) -> Column:
                     sc.cast("double").alias("sentiment_confidence"))
 
 
-def truncate_for_model(text, n: int = 512) -> Column:
-    """K4: the character cap applied before scoring (500 for hosted backends,
-    512 for the stream scorer)."""
-    return F.substring(text if isinstance(text, Column) else F.col(text), 1, n)
+def chunks_for_model(text, n: int = 512) -> Column:
+    """K4: the whole text in pieces of at most ``n`` characters, the input
+    size of a model (500 for hosted backends, 512 for the stream scorer); an
+    empty text is one empty piece. The reference scores the first piece only."""
+    t = text if isinstance(text, Column) else F.col(text)
+    pieces = F.greatest(F.ceil(F.length(t) / F.lit(n)), F.lit(1)).cast("int")
+    return F.transform(F.sequence(F.lit(0), pieces - 1), lambda i: F.substring(t, i * n + 1, F.lit(n)))
 
 
 def parse_reply(reply) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.frames import attach
 from ..functions.timefns import anchor, minus, minutes_between
+from .sentiment import has_text
 
 
 def games_missing_data(config: DataFrame, players: DataFrame, as_of=None, hours: float = 2,
@@ -57,7 +58,7 @@ def initial_collection_needed(config: DataFrame, reviews: DataFrame, threshold:
                               backfill: int = 100, regular: int = 10) -> DataFrame:
     """Games with fewer than ``threshold`` stored review texts get a
     backfill fetch size."""
-    counts = reviews.groupBy("app_id").agg(F.count("review_text").alias("stored_reviews"))
+    counts = reviews.groupBy("app_id").agg(F.count_if(has_text(reviews)).alias("stored_reviews"))
     cfg = config.filter(F.col("tracking_enabled") & F.col("track_reviews")).select("app_id")
     j = cfg.join(counts, "app_id", "left").select(
         "app_id", F.coalesce("stored_reviews", F.lit(0)).alias("stored_reviews"))

@@ -24,6 +24,12 @@ def labelled_since(reviews: DataFrame, as_of=None, hours: float = 24) -> DataFra
     return reviews.filter((F.col("processed_timestamp") > minus(as_of, hours=hours)) & F.col("sentiment_label").isNotNull())
 
 
+def has_text(reviews: DataFrame) -> F.Column:
+    """The stored flag where the table carries one (no text is read), else a
+    test of the text."""
+    return F.col("has_text") if "has_text" in reviews.columns else F.col("review_text").isNotNull()
+
+
 def n_label(name: str) -> F.Column:
     return F.count_if(F.col("sentiment_label") == name)
 
@@ -102,7 +108,7 @@ def processing_rate_hourly(reviews: DataFrame, as_of=None, hours: float = 24) ->
 
 def processing_stats(reviews: DataFrame) -> DataFrame:
     """Scorer statistics over reviews that have text."""
-    df = reviews.filter(F.col("review_text").isNotNull())
+    df = reviews.filter(has_text(reviews))
     ms = F.col("processing_time_ms")
     return df.agg(
         F.count(F.lit(1)).alias("total_reviews"),
@@ -123,13 +129,13 @@ def sentiment_backlog(reviews: DataFrame, as_of=None) -> DataFrame:
     ms = F.col("processing_time_ms")
     return df.agg(
         F.count_if(F.col("sentiment_label").isNotNull()).alias("processed_reviews"),
-        F.count_if(F.col("sentiment_label").isNull() & F.col("review_text").isNotNull()).alias("pending_reviews"),
+        F.count_if(F.col("sentiment_label").isNull() & has_text(reviews)).alias("pending_reviews"),
         F.round(F.coalesce(F.avg(F.when(ms > 0, ms)), F.lit(0.0)), 2).alias("avg_processing_time"))
 
 
 def stuck_reviews(reviews: DataFrame, as_of=None, days: float = 1) -> DataFrame:
     """Reviews with text, still unlabelled, older than a day."""
-    return (reviews.filter(F.col("review_text").isNotNull() & F.col("sentiment_label").isNull()
+    return (reviews.filter(has_text(reviews) & F.col("sentiment_label").isNull()
                            & (F.col("review_timestamp") < minus(as_of, days=days)))
             .agg(F.count(F.lit(1)).alias("stuck_reviews")))
 

@@ -26,9 +26,9 @@ def tracked_games(config: DataFrame) -> DataFrame:
                     F.col("update_interval_minutes").alias("update_interval")))
 
 
-def unprocessed_reviews(reviews: DataFrame, limit: int | None = 50) -> DataFrame:
-    """Unlabelled reviews with non-empty text (blank text passes), by id.
-    ``limit=None`` is the bulk form used by the distributed scorer."""
+def unprocessed_reviews(reviews: DataFrame, limit: int | None = None) -> DataFrame:
+    """All unlabelled reviews with non-empty text (blank text passes).
+    ``limit`` gives the first so many by id, a poller's batch."""
     out = (reviews.filter(F.col("sentiment_label").isNull() & F.col("review_text").isNotNull()
                           & (F.col("review_text") != ""))
            .select("id", "app_id", "game_name", "review_id", "review_text", "review_helpful",
@@ -49,24 +49,27 @@ def snippet(col, n: int = 200) -> F.Column:
 
 
 def recent_reviews(reviews: DataFrame, app_id=None, as_of=None, hours: float = 24,
-                   k: int = 20) -> DataFrame:
+                   k: int = 20, texts: DataFrame | None = None) -> DataFrame:
     """Newest k labelled reviews of one game (``app_id=None``: of every
     game). The per-game form is ``row_number() <= k``, which Spark plans with
     a partial WindowGroupLimit before the shuffle, so a hot game ships at most
-    k rows per map task."""
+    k rows per map task. ``texts`` (text_key, review_text): fetched for the
+    chosen rows only, when ``reviews`` has ``text_key`` instead."""
     df = reviews if app_id is None else reviews.filter(F.col("app_id") == app_id)
     df = _labelled_since(df, as_of, hours)
-    out = [snippet(F.col("review_text")).alias("text"),
-           F.col("sentiment_label").alias("sentiment"),
-           F.round("sentiment_score", 3).alias("score"),
-           F.col("review_timestamp").alias("timestamp"),
-           F.coalesce("review_helpful", F.lit(0)).alias("helpful_votes")]
+    newest = [F.col("processed_timestamp").desc(), F.col("id").desc()]
     if app_id is not None:
-        return (df.orderBy(F.col("processed_timestamp").desc(), F.col("id").desc()).limit(k)
-                .select(*out))
-    w = Window.partitionBy("app_id").orderBy(F.col("processed_timestamp").desc(), F.col("id").desc())
-    return (df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k)
-            .select("app_id", *out))
+        top = df.orderBy(*newest).limit(k)
+    else:
+        rank = F.row_number().over(Window.partitionBy("app_id").orderBy(*newest))
+        top = df.withColumn("_rn", rank).filter(F.col("_rn") <= k).drop("_rn")
+    if texts is not None:
+        top = top.join(texts, "text_key", "left")
+    return top.select(*(["app_id"] if app_id is None else []), snippet(F.col("review_text")).alias("text"),
+                      F.col("sentiment_label").alias("sentiment"),
+                      F.round("sentiment_score", 3).alias("score"),
+                      F.col("review_timestamp").alias("timestamp"),
+                      F.coalesce("review_helpful", F.lit(0)).alias("helpful_votes"))
 
 
 def game_name_of(reviews: DataFrame) -> DataFrame:
@@ -81,15 +84,3 @@ def review_export_projection(reviews: DataFrame, as_of=None, hours: float = 24)
             .select("app_id", "game_name", "sentiment_label", "sentiment_score",
                     "sentiment_confidence", "review_helpful", "processed_timestamp",
                     trunc_ntz("hour", "processed_timestamp").alias("hour_bucket")))
-
-
-def example_non_null(upstream: DataFrame) -> DataFrame:
-    """Rows of an upstream model with id = 1."""
-    return upstream.filter(F.col("id") == 1)
-
-
-def example_union_all(spark) -> DataFrame:
-    """H1: UNION ALL of literal rows, one of them NULL (starter model)."""
-    one = spark.range(1).select(F.lit(1).cast("int").alias("id"))
-    null = spark.range(1).select(F.lit(None).cast("int").alias("id"))
-    return one.unionByName(null)

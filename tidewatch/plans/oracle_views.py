@@ -4,38 +4,40 @@ query, plus the rounding wrapper. These run in DuckDB only, never in Spark."""
 from __future__ import annotations
 
 _K = "cast(json_extract_string(props, '$.k') as int)"
+_APP = """cast(case event_id % 3 when 0 then 1 when 1 then user_id % 8 + 2 else user_id + 10 end as int)"""
 
 VIEWS = f"""
 player_tracking AS (
-  select event_id as id, cast(user_id % 5 as int) as app_id,
-    concat('Game_', cast(cast(user_id % 5 as int) as varchar)) as game_name,
+  select event_id as id, {_APP} as app_id,
+    concat('Game_', cast({_APP} as varchar)) as game_name,
     cast(floor(value*10) as int) as player_count, ts as timestamp,
     cast({_K}*120.0 as double) as api_response_time_ms, 'events' as source
   from events where event_type in ('view','click','signup')
 ),
 review_events AS (
-  select *, {_K} as k from events where event_type in ('purchase','error')
+  select *, {_K} as k, {_APP} as app_id, app_id in (2, 3) as one_sided,
+    app_id = 2 or (app_id <> 3 and event_type = 'purchase') as liked
+  from events where event_type in ('purchase','error')
 ),
 review_tracking AS (
-  select e.event_id as id, cast(e.user_id % 5 as int) as app_id,
-    concat('Game_', cast(cast(e.user_id % 5 as int) as varchar)) as game_name,
+  select e.event_id as id, e.app_id, concat('Game_', cast(e.app_id as varchar)) as game_name,
     concat('r', cast(cast(floor(e.event_id/2) as bigint) as varchar)) as review_id,
     d.text as review_text,
-    case when k<10 then null when k<30 then 'neutral' when e.event_type='purchase' then 'positive'
+    case when k<10 then null when k<30 and not one_sided then 'neutral' when liked then 'positive'
          else 'negative' end as sentiment_label,
-    cast(case when k<10 then null when k<30 then 0.0 when e.event_type='purchase' then k/100.0
+    cast(case when k<10 then null when k<30 and not one_sided then 0.0 when liked then k/100.0
          else -k/100.0 end as double) as sentiment_score,
     cast(k % 7 as int) as review_helpful, e.ts - to_hours(k) as review_timestamp,
     e.ts as processed_timestamp, cast(k/100.0 as double) as sentiment_confidence,
     e.value*100 as processing_time_ms, 'local' as llm_backend
-  from review_events e left join documents d on d.doc_id = e.event_id % 200
+  from review_events e left join documents d on d.doc_id = e.event_id % (select count(*) from documents)
 ),
 tracking_config AS (
-  select cast(i as int) as app_id, concat('Game_', cast(cast(i as int) as varchar)) as game_name,
-    i<>6 as tracking_enabled, true as track_players, true as track_prices, true as track_reviews,
-    15 as update_interval_minutes,
-    (select max(ts) from events) - to_hours(cast(i as int)) as last_updated
-  from (select unnest(range(0,7)) as i) t
+  select cast(p_partkey as int) as app_id, concat('Game_', cast(p_partkey as varchar)) as game_name,
+    p_size % 10 <> 0 as tracking_enabled, p_size % 7 <> 0 as track_players, p_size % 2 = 0 as track_prices,
+    p_size % 3 <> 0 as track_reviews, case when p_size % 5 = 0 then 60 else 15 end as update_interval_minutes,
+    (select max(ts) from events) - to_hours(cast(p_size as int)) as last_updated
+  from part
 ),
 price_tracking AS (
   select cast(l_partkey as int) as app_id, cast(l_extendedprice as decimal(10,2)) as price_current,
@@ -65,6 +67,6 @@ def wrap(body: str, floats: tuple[str, ...], digits: int, ctes: str | None = Non
     head = VIEWS.strip() + (f",\n{ctes.strip()}" if ctes else "")
     body = body.strip()
     if floats:
-        repl = ", ".join(f"round({c}, {digits}) AS {c}" for c in floats)
+        repl = ", ".join(f"round({c}, {digits}) + 0.0 AS {c}" for c in floats)
         body = f"SELECT * REPLACE ({repl}) FROM (\n{body}\n) q"
     return f"WITH {head}\n{body}"

@@ -1,6 +1,4 @@
-"""Registered queries: dashboards (M1-M5, M7, M8). M6 runs over stored
-report rows, which exist only once the report sink has run; it is tested in
-pytest instead."""
+"""Registered queries: dashboards (M1-M5, M7, M8; M6 is in q_events)."""
 
 from __future__ import annotations
 
@@ -48,7 +46,7 @@ def _m3(x):
 
 
 @query("player_sentiment_correlation", f"""
-select p.app_id, corr(avg_players, avg_sentiment) as correlation, count(*) as hours
+select p.app_id, case when not isnan(corr(avg_players, avg_sentiment)) then corr(avg_players, avg_sentiment) end as correlation, count(*) as hours
 from (select app_id, date_trunc('hour', timestamp) as hour, avg(player_count) as avg_players
       from {STG} s group by all) p
 join (select app_id, date_trunc('hour', processed_timestamp) as hour, avg(sentiment_score) as avg_sentiment

@@ -15,10 +15,9 @@ from .registry import query
 select id, app_id, game_name, review_id, review_text, review_helpful, review_timestamp
 from review_tracking
 where sentiment_label is null and review_text is not null and review_text <> ''
-order by id limit 50
 """)
 def _c3(x):
-    return staging.unprocessed_reviews(x.reviews_text, 50)
+    return staging.unprocessed_reviews(x.reviews_text)
 
 
 @query("recent_reviews", f"""
@@ -31,7 +30,8 @@ where processed_timestamp > {R_NOW} - to_hours(24) and sentiment_label is not nu
 qualify row_number() over (partition by app_id order by processed_timestamp desc, id desc) <= 20
 """, floats=("score",))
 def _c5(x):
-    return staging.recent_reviews(x.reviews_text, None, x.review_as_of)
+    texts = x.table("documents").select(F.col("doc_id").alias("text_key"), F.col("text").alias("review_text"))
+    return staging.recent_reviews(x.reviews_key, None, x.review_as_of, texts=texts)
 
 
 @query("game_name_of", """
@@ -81,11 +81,14 @@ def _k2(x):
     return r.select("doc_id", K.normalize_label("raw_label", "raw_score").alias("n")).select("doc_id", "n.*")
 
 
-@query("truncate_for_model", """
-select doc_id, substring(text, 1, 512) as model_text from documents
+@query("chunks_for_model", """
+select doc_id, i as chunk, substring(text, i * 512 + 1, 512) as model_text
+from (select doc_id, text, unnest(range(0, cast(ceil(greatest(length(text), 1) / 512.0) as bigint))) as i from documents
+      where text is not null) c
 """)
 def _k4(x):
-    return x.table("documents").select("doc_id", K.truncate_for_model("text", 512).alias("model_text"))
+    docs = x.table("documents").select("doc_id", F.posexplode(K.chunks_for_model("text", 512)).alias("chunk", "model_text"))
+    return docs.withColumn("chunk", F.col("chunk").cast("long"))
 
 
 @query("registry_quality_score", """

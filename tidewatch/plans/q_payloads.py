@@ -46,14 +46,12 @@ def _price_raw(x):
 
 @query("parse_price_payload", """
 select cast(l_partkey as int) as app_id,
-  case when l_linenumber = 7 then 0.0 else cast(cast(round(l_extendedprice * 100) as bigint) as double) / 100.0 end
-    as price_current,
-  case when l_linenumber = 7 then 0.0 else cast(cast(round(l_extendedprice * 100) as bigint) as double) / 100.0 end
-    as price_original,
+  cast(case when l_linenumber = 7 then 0 else cast(l_extendedprice as decimal(10,2)) end as decimal(10,2)) as price_current,
+  cast(case when l_linenumber = 7 then 0 else cast(l_extendedprice as decimal(10,2)) end as decimal(10,2)) as price_original,
   case when l_linenumber = 7 then 0 else cast(round(l_discount * 100) as int) end as discount_percent,
   'USD' as currency, l_shipdate as timestamp
 from lineitem where l_linenumber <> 6
-""", floats=("price_current", "price_original"))
+""")
 def _a6(x):
     return A.parse_price_payload(_price_raw(x))
 
@@ -79,7 +77,6 @@ def _a7(x):
 
 
 PAGE = 100
-MAX_N = 50
 
 
 def _app_list_raw(x):
@@ -92,16 +89,15 @@ def _app_list_raw(x):
     return pages.select(F.to_json(F.struct(F.struct("apps").alias("applist"))).alias("body"))
 
 
-@query("explode_app_list", f"""
+@query("explode_app_list", """
 select appid, name from (
   select cast(p_partkey as int) as appid,
-    case when p_size % 11 = 0 then 'x' when p_size % 13 = 0 then null else p_name end as name,
-    row_number() over (partition by floor(p_partkey / {PAGE}) order by p_partkey) - 1 as pos
+    case when p_size % 11 = 0 then 'x' when p_size % 13 = 0 then null else p_name end as name
   from part) a
-where pos < {MAX_N} and name is not null and length(name) >= 2
+where name is not null and length(name) >= 2
 """)
 def _a8(x):
-    return A.explode_app_list(_app_list_raw(x), MAX_N)
+    return A.explode_app_list(_app_list_raw(x))
 
 
 def _details_raw(x):
@@ -116,6 +112,7 @@ def _details_raw(x):
         F.array(F.col("p_brand"), F.lit("Studio")).alias("developers"),
         F.array(F.col("p_brand")).alias("publishers"),
         F.array(F.struct(F.col("p_type").alias("description"))).alias("genres"),
+        F.struct(F.col("p_name").alias("minimum")).alias("pc_requirements"),
         F.when(size % 3 == 0, F.array()).otherwise(
             F.array(F.struct(F.concat(F.lit("img/"), F.col("p_partkey").cast("string")).alias("path_full"))))
         .alias("screenshots"),
@@ -126,7 +123,31 @@ def _details_raw(x):
     return p.select(F.col("p_partkey").alias("app_id"), body.alias("body"))
 
 
-@query("flatten_app_details", None)
+#: What the parser must make of the landed details, straight from the table.
+DETAILS_CTES = """
+details AS (
+  select cast(p_partkey as int) as app_id, p_name as name, 'game' as type, p_size % 4 = 0 as is_free,
+    p_type as short_description, '' as detailed_description, '' as about_the_game,
+    case when p_size % 2 = 0 then cast(p_retailprice as decimal(10,2)) end as price_current,
+    cast(p_retailprice as decimal(10,2)) as price_original, 0 as discount_percent, 'USD' as currency,
+    cast(date '2012-01-01' + cast(p_size * 30 as int) as date) as release_date,
+    strftime(date '2012-01-01' + cast(p_size * 30 as int), '%-d %b, %Y') as release_date_text,
+    concat(p_brand, ', Studio') as developer, p_brand as publisher, '{}' as platforms, '[]' as categories,
+    concat('["', p_type, '"]') as genres, '""' as languages, '' as header_image,
+    case when p_size % 3 = 0 then '[]' else concat('["img/', cast(p_partkey as varchar), '"]') end as screenshots,
+    '[]' as movies, concat('{"minimum":"', p_name, '"}') as pc_requirements, '{}' as mac_requirements,
+    '{}' as linux_requirements, cast(null as int) as metacritic_score, cast(null as varchar) as metacritic_url
+  from part where p_size % 17 <> 0),
+estimates AS (
+  select cast(p_partkey as int) as app_id, printf('%d .. %d', p_size * 1000, p_size * 2000) as owners_estimate,
+    cast(p_size * 10 as bigint) as owners_variance, cast(p_size * 50 as bigint) as players_forever,
+    cast(p_size * 5 as bigint) as players_2weeks, cast(p_size as bigint) as average_forever,
+    cast(0 as bigint) as average_2weeks, cast(p_size as bigint) as median_forever, cast(0 as bigint) as median_2weeks
+  from part where p_size % 9 <> 0)
+"""
+
+
+@query("flatten_app_details", "select * from details", ctes=DETAILS_CTES)
 def _a9(x):
     return A.flatten_app_details(_details_raw(x))
 
@@ -153,6 +174,7 @@ def _a10(x):
     return A.flatten_owner_estimates(_owners_raw(x))
 
 
-@query("merge_estimates", None)
+@query("merge_estimates", "select d.*, e.* exclude (app_id) from details d left join estimates e on d.app_id = e.app_id",
+       ctes=DETAILS_CTES)
 def _d6(x):
     return A.merge_estimates(A.flatten_app_details(_details_raw(x)), A.flatten_owner_estimates(_owners_raw(x)))

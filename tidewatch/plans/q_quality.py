@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import quality as Q
 from .oracle_views import P_NOW, R_NOW
 from .registry import query
@@ -54,8 +56,7 @@ an AS (
           lag(player_count) over (partition by app_id order by timestamp, id) as prev_count
         from player_tracking where timestamp > {P_NOW} - to_hours(4)) s
   where prev_count is not null and prev_count > 100
-    and abs(player_count - prev_count)::double / prev_count > 0.5 and player_count <> 0
-  order by timestamp desc, id desc limit 10),
+    and abs(player_count - prev_count)::double / prev_count > 0.5 and player_count <> 0),
 api AS (
   select count(*) as total_requests, avg(api_response_time_ms) as avg_response_time,
     coalesce(cast(count(*) filter (where api_response_time_ms > 10000) as double)
@@ -114,7 +115,7 @@ health AS (
 
 @query("sentiment_health", "select * from health", ctes=HEALTH_CTES, floats=("avg_processing_time",))
 def _l3(x):
-    return Q.sentiment_health(x.reviews_text, x.review_as_of)
+    return Q.sentiment_health(x.reviews_flag, x.review_as_of)
 
 
 @query("quality_report", """
@@ -136,7 +137,7 @@ from (select count(*) as total_issues,
 def _l4(x):
     fr = Q.freshness_status(_tables(x), x.event_as_of)
     comp = Q.completeness_issues(x.config, x.players, x.player_as_of)
-    he = Q.sentiment_health(x.reviews_text, x.review_as_of)
+    he = Q.sentiment_health(x.reviews_flag, x.review_as_of)
     return Q.quality_report(fr, comp, he)
 
 
@@ -205,6 +206,32 @@ def _l7(x):
     return Q.insights_document(x.reviews, x.review_as_of)
 
 
+def _top(label, test, order):
+    return f"""select '{label}' as section, row_number() over (order by avg_raw {order}, n desc, app_id, game_name) as rank,
+  app_id, game_name, n as review_count, round(avg_raw, 3) as avg_sentiment
+from (select app_id, game_name, count(*) as n, avg(sentiment_score) as avg_raw {LAB24} group by all having count(*) >= 5) g
+where avg_raw {test}"""
+
+
+@query("insights_lists", f"""
+select * from ({_top("top_positive_games", "> 0.5", "desc")}) p where rank <= 5
+union all select * from ({_top("top_negative_games", "< -0.2", "asc")}) n where rank <= 5
+union all
+select 'sentiment_trends', row_number() over (order by hour desc), null, strftime(hour, '%Y-%m-%dT%H'), n, round(avg_raw, 3)
+from (select date_trunc('hour', processed_timestamp) as hour, count(*) as n, avg(sentiment_score) as avg_raw {LAB24} group by all) h
+""", floats=("avg_sentiment",))
+def _l7_lists(x):
+    """The stored document read back: its lists as rows, in their order."""
+    doc = Q.insights_document(x.reviews, x.review_as_of)
+    parts = []
+    for c in ("top_positive_games", "top_negative_games", "sentiment_trends"):
+        row = doc.select(F.posexplode(c).alias("at", "r"))
+        named = (F.lit(None).cast("int"), F.date_format("r.hour", "yyyy-MM-dd'T'HH")) if c == "sentiment_trends" else (F.col("r.app_id"), F.col("r.game_name"))
+        parts.append(row.select(F.lit(c).alias("section"), (F.col("at") + 1).cast("long").alias("rank"), named[0].alias("app_id"), named[1].alias("game_name"),
+                                F.col("r.review_count").alias("review_count"), F.col("r.avg_sentiment").alias("avg_sentiment")))
+    return parts[0].union(parts[1]).union(parts[2])
+
+
 @query("scoring_pipeline_report", f"""
 select case when not consumer_healthy then 'CRITICAL' when total_issues > 5 then 'WARNING'
             when processing_rate < 1 then 'WARNING' else 'HEALTHY' end as pipeline_status,

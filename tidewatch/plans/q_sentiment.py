@@ -93,7 +93,7 @@ select count(*) as total_reviews,
 from review_tracking where review_text is not null
 """, floats=("avg_sentiment_score", "avg_processing_time_ms"))
 def _e9(x):
-    return S.processing_stats(x.reviews_text)
+    return S.processing_stats(x.reviews_flag)
 
 
 @query("sentiment_backlog", f"""
@@ -104,7 +104,7 @@ from review_tracking
 where review_timestamp > {R_NOW} - to_hours(24) or {_since(2)}
 """, floats=("avg_processing_time",))
 def _e13(x):
-    return S.sentiment_backlog(x.reviews_text, x.review_as_of)
+    return S.sentiment_backlog(x.reviews_flag, x.review_as_of)
 
 
 @query("stuck_reviews", f"""
@@ -112,7 +112,7 @@ select count(*) as stuck_reviews from review_tracking
 where review_text is not null and sentiment_label is null and review_timestamp < {R_NOW} - to_days(1)
 """)
 def _e14(x):
-    return S.stuck_reviews(x.reviews_text, x.review_as_of)
+    return S.stuck_reviews(x.reviews_flag, x.review_as_of)
 
 
 @query("scorer_activity", f"""

@@ -140,7 +140,7 @@ left join (select app_id, count(review_text) as n from review_tracking group by
 where c.tracking_enabled and c.track_reviews
 """)
 def _e10(x):
-    return P.initial_collection_needed(x.config, x.reviews_text)
+    return P.initial_collection_needed(x.config, x.reviews_flag)
 
 
 @query("api_health", f"""

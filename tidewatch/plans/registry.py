@@ -2,7 +2,7 @@
 an independent DuckDB SQL oracle over the same Parquet tables.
 
 Doubles are rounded to ``DIGITS`` places on both sides before comparison
-(sums of doubles depend on partition order), so every registration declares
+(sums of doubles depend on partition order; adding 0.0 turns -0.0 into 0.0), so every registration declares
 its double columns; ``tests/test_registry.py`` keeps that list in sync with
 the Spark schema.
 """
@@ -33,6 +33,7 @@ class Entry:
 
 
 REGISTRY: dict[str, Entry] = {}
+_AS_OF: dict[tuple[str, str, str], object] = {}
 
 
 def query(name: str, sql: str | None, floats: tuple[str, ...] = (), ctes: str | None = None):
@@ -56,11 +57,21 @@ class Inputs:
 
     @cached_property
     def reviews(self) -> DataFrame:
-        return fixtures.review_tracking(self.spark, self.sf_dir, with_text=False)
+        return fixtures.review_tracking(self.spark, self.sf_dir)
+
+    @cached_property
+    def reviews_flag(self) -> DataFrame:
+        """With ``has_text``, without the texts."""
+        return fixtures.review_tracking(self.spark, self.sf_dir, "flag")
+
+    @cached_property
+    def reviews_key(self) -> DataFrame:
+        """With ``text_key``, to fetch the texts of a few rows later."""
+        return fixtures.review_tracking(self.spark, self.sf_dir, "key")
 
     @cached_property
     def reviews_text(self) -> DataFrame:
-        return fixtures.review_tracking(self.spark, self.sf_dir, with_text=True)
+        return fixtures.review_tracking(self.spark, self.sf_dir, "whole")
 
     @cached_property
     def config(self) -> DataFrame:
@@ -81,20 +92,27 @@ class Inputs:
     def review_as_of(self):
         """``NOW()`` for review queries: newest processed time, resolved once to
         a literal so that window predicates are pushed into the scan."""
-        return latest(self.reviews, "processed_timestamp")
+        return self._as_of("reviews", "processed_timestamp")
 
     @cached_property
     def player_as_of(self):
-        return latest(self.players, "timestamp")
+        return self._as_of("players", "timestamp")
 
     @cached_property
     def event_as_of(self):
         """Newest event of any kind (the anchor of multi-table checks)."""
-        return latest(self.table("events"), "ts")
+        return self._as_of("events", "ts")
+
+    def _as_of(self, of: str, column: str):
+        """Once per session and input folder, not per query."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, of)
+        if key not in _AS_OF:
+            _AS_OF[key] = latest(self.table(of) if of == "events" else getattr(self, of), column)
+        return _AS_OF[key]
 
 
 def normalise(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    cols = [F.round(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, T.DoubleType)
+    cols = [(F.round(F.col(f.name), digits) + F.lit(0.0)).alias(f.name) if isinstance(f.dataType, T.DoubleType)
             else F.col(f.name) for f in df.schema.fields]
     return df.select(*cols)
 

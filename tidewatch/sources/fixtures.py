@@ -16,17 +16,20 @@ from .tables import read_input
 
 PLAYER_EVENTS = ("view", "click", "signup")
 REVIEW_EVENTS = ("purchase", "error")
-N_GAMES = 5
-N_CONFIG = 7
-N_TEXTS = 200
+#: A third of all events belongs to one game, a third to a few, a third to a tail that grows with the users.
+HOT_GAME, POPULAR = 1, 8
+#: Games whose labelled reviews are all positive, and all negative.
+LOVED_GAME, HATED_GAME = 2, 3
 
 
 def _k() -> F.Column:
     return F.get_json_object("props", "$.k").cast("int")
 
 
-def _game(user_col="user_id"):
-    app = (F.col(user_col) % N_GAMES).cast("int")
+def _game() -> tuple[F.Column, F.Column]:
+    third = F.col("event_id") % 3
+    app = (F.when(third == 0, F.lit(HOT_GAME)).when(third == 1, F.col("user_id") % POPULAR + 2)
+           .otherwise(F.col("user_id") + POPULAR + 2)).cast("int")
     return app, F.concat(F.lit("Game_"), app.cast("string"))
 
 
@@ -41,20 +44,23 @@ def player_tracking(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("events").alias("source"))
 
 
-def review_tracking(spark: SparkSession, sf_dir: str, with_text: bool = True) -> DataFrame:
-    """Reviews. ``with_text=False`` skips the documents join for the many
-    operators that never read ``review_text`` (column pruning cannot drop an
-    outer join by itself)."""
+def review_tracking(spark: SparkSession, sf_dir: str, text: str | None = None) -> DataFrame:
+    """Reviews. ``text``: None leaves the documents join out (column pruning
+    cannot drop an outer join by itself), ``"key"`` adds ``text_key`` (the
+    document to fetch later), ``"flag"`` adds ``has_text`` without
+    reading the texts, ``"whole"`` adds ``review_text`` as well. Review n has
+    the text of document ``n % number of documents``: all documents are used."""
     ev = (read_input(spark, sf_dir, "events")
           .filter(F.col("event_type").isin(*REVIEW_EVENTS))
           .withColumn("k", _k()))
     app, name = _game()
     k = F.col("k")
-    label = (F.when(k < 10, F.lit(None).cast("string")).when(k < 30, "neutral")
-             .when(F.col("event_type") == "purchase", "positive").otherwise("negative"))
-    score = (F.when(k < 10, F.lit(None)).when(k < 30, F.lit(0.0))
-             .when(F.col("event_type") == "purchase", k / F.lit(100.0))
-             .otherwise(-k / F.lit(100.0))).cast("double")
+    positive = (app == LOVED_GAME) | ((app != HATED_GAME) & (F.col("event_type") == "purchase"))
+    neutral = (k < 30) & ~app.isin(LOVED_GAME, HATED_GAME)
+    label = (F.when(k < 10, F.lit(None).cast("string")).when(neutral, "neutral")
+             .when(positive, "positive").otherwise("negative"))
+    score = (F.when(k < 10, F.lit(None)).when(neutral, F.lit(0.0))
+             .when(positive, k / F.lit(100.0)).otherwise(-k / F.lit(100.0))).cast("double")
     cols = [
         F.col("event_id").alias("id"), app.alias("app_id"), name.alias("game_name"),
         F.concat(F.lit("r"), F.floor(F.col("event_id") / 2).cast("bigint").cast("string")).alias("review_id"),
@@ -66,28 +72,32 @@ def review_tracking(spark: SparkSession, sf_dir: str, with_text: bool = True) ->
         (F.col("value") * 100).alias("processing_time_ms"),
         F.lit("local").alias("llm_backend"),
     ]
-    if not with_text:
+    if text is None:
         return ev.select(*cols)
-    ev = ev.withColumn("text_key", F.col("event_id") % N_TEXTS)
-    docs = (read_input(spark, sf_dir, "documents").filter(F.col("doc_id") < N_TEXTS)
-            .select(F.col("doc_id").alias("text_key"), F.col("text").alias("review_text")))
-    # The text side is at most N_TEXTS rows; AQE measures it and broadcasts it
-    # only when it is under the runtime ceiling, otherwise it stays a shuffle join.
-    joined = ev.join(docs, "text_key", "left")
-    return joined.select(*cols[:4], "review_text", *cols[4:])
+    docs = read_input(spark, sf_dir, "documents")
+    ev = ev.withColumn("text_key", F.col("event_id") % docs.select(F.count(F.lit(1)).alias("n")).scalar())
+    if text == "key":
+        return ev.select(*cols, "text_key")
+    kept = [F.col("doc_id").alias("text_key"), F.col("n_chars").isNotNull().alias("has_text")]
+    if text == "whole":
+        kept.append(F.col("text").alias("review_text"))
+    joined = ev.join(docs.select(*kept), "text_key", "left").withColumn("has_text", F.coalesce("has_text", F.lit(False)))
+    extra = ["review_text"] if text == "whole" else []
+    return joined.select(*cols[:4], *extra, *cols[4:], "has_text")
 
 
 def tracking_config(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Seven configured games; the anchor is the newest event, so the
-    dimension is derived from (and sized by) the events table."""
+    """One configured game per part; flags and the last change come from its
+    columns. Most configured games have no events and some are disabled."""
     anchor = read_input(spark, sf_dir, "events").select(F.max("ts")).scalar()
-    ids = spark.range(0, N_CONFIG).select(F.col("id").cast("int").alias("app_id"))
-    return ids.select(
-        "app_id", F.concat(F.lit("Game_"), F.col("app_id").cast("string")).alias("game_name"),
-        (F.col("app_id") != 6).alias("tracking_enabled"), F.lit(True).alias("track_players"),
-        F.lit(True).alias("track_prices"), F.lit(True).alias("track_reviews"),
-        F.lit(15).alias("update_interval_minutes"),
-        (anchor - F.make_dt_interval(F.lit(0), F.col("app_id"))).alias("last_updated"))
+    size = F.col("p_size")
+    return read_input(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("int").alias("app_id"),
+        F.concat(F.lit("Game_"), F.col("p_partkey").cast("string")).alias("game_name"),
+        (size % 10 != 0).alias("tracking_enabled"), (size % 7 != 0).alias("track_players"),
+        (size % 2 == 0).alias("track_prices"), (size % 3 != 0).alias("track_reviews"),
+        F.when(size % 5 == 0, 60).otherwise(15).alias("update_interval_minutes"),
+        (anchor - F.make_dt_interval(F.lit(0), size.cast("int"))).alias("last_updated"))
 
 
 def price_tracking(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -75,7 +75,16 @@ def score_reviews(reviews: DataFrame, as_of=None, text: str = "review_text", bac
 
 # -- pluggable model path -------------------------------------------------
 
-_MODELS: dict[str, object] = {}
+def _worker_model(factory: Callable[[], Callable], version: str) -> Callable:
+    """The model of this Python worker: built on first use, kept for later
+    tasks. Functions sent to workers arrive as copies with globals of their
+    own, so the cache hangs on an interpreter-wide module."""
+    import sys
+    kept = sys.__dict__.setdefault("_tidewatch_models", {})
+    key = (factory.__module__, factory.__qualname__, version)
+    if key not in kept:
+        kept[key] = factory()
+    return kept[key]
 
 
 def lexicon_model() -> Callable[[pd.Series], tuple[list[str], list[float]]]:
@@ -103,18 +112,18 @@ def score_with_model(reviews: DataFrame, model_factory: Callable[[], Callable] =
                      method: str = "database", model_name: str = "default") -> DataFrame:
     """K1 + K3 on the pluggable path. ``model_factory()`` returns a
     callable ``texts -> (raw_labels, raw_scores)``; it is built once per
-    Python worker. Output raw labels go through ``normalize_label`` (K2) in
+    Python worker, factory and ``model_name`` (its version). Output raw labels go through ``normalize_label`` (K2) in
     the JVM."""
     todo = reviews.filter(_scorable(reviews, text))
 
     def run(batches):
-        model = _MODELS.get(model_name)
-        if model is None:
-            model = _MODELS[model_name] = model_factory()
+        model = _worker_model(model_factory, model_name)
         for pdf in batches:
             t0 = time.perf_counter()
             try:
-                labels, scores = model(pdf[text])
+                labels, scores = (list(x) for x in model(pdf[text]))
+                if not len(labels) == len(scores) == len(pdf):
+                    raise ValueError("a reply of the wrong length")
                 err = [False] * len(pdf)
             except Exception:  # noqa: BLE001 - K3: fall back per batch, row by row
                 labels, scores, err = [], [], []

@@ -56,6 +56,20 @@ def _ntz(col):
     return col.cast("timestamp_ntz")
 
 
+def _units(cents) -> F.Column:
+    """Integer cents as DECIMAL(10,2); NULL where they do not fit."""
+    return (cents.cast("decimal(20,0)") / F.lit(100)).try_cast("decimal(10,2)")
+
+
+def _entry(raw: DataFrame, body: str, entry: T.StructType, *keep: str) -> DataFrame:
+    """The successful entry ``e`` of each body, an object keyed by app id.
+    Exploding the parsed object keeps the parse in one place: a filter on its
+    result cannot be pushed below it and parse again."""
+    parsed = F.explode(F.from_json(F.col(body), T.MapType(T.StringType(), entry))).alias("k", "e")
+    rows = raw.select(F.col("app_id").cast("int").alias("app_id"), *keep, parsed)
+    return rows.filter((F.col("k") == F.col("app_id").cast("string")) & F.coalesce(F.col("e.success"), F.lit(False))).drop("k")
+
+
 def parse_player_payload(raw: DataFrame, body: str = "body", fetched_at: str = "fetched_at",
                          latency_ms: str = "latency_ms", source: str = "dynamic_tracker") -> DataFrame:
     """A5: ``{response: {player_count}}`` -> reading; a body without the
@@ -75,22 +89,17 @@ def parse_player_payload(raw: DataFrame, body: str = "body", fetched_at: str = "
 
 def parse_price_payload(raw: DataFrame, body: str = "body", fetched_at: str = "fetched_at") -> DataFrame:
     """Body is an object keyed by app id; the entry must exist and have
-    ``success``; prices are cents / 100; without ``price_overview`` (free
+    ``success``; prices are cents / 100 as DECIMAL(10,2); without ``price_overview`` (free
     title) the row is 0.0 / 0.0 / 0 / 'USD'."""
-    # Parse each body once; later projections reference the parsed entry.
-    m = F.from_json(F.col(body), T.MapType(T.StringType(), PRICE_ENTRY))
-    parsed = raw.select(F.col("app_id").cast("int").alias("app_id"),
-                        F.element_at(m, F.col("app_id").cast("string")).alias("_e"),
-                        F.col(fetched_at).alias("timestamp"))
-    has = F.col("_po").isNotNull()
-    return (parsed.filter(F.col("_e").isNotNull() & F.coalesce(F.col("_e.success"), F.lit(False)))
-            .select("app_id", F.col("_e.data.price_overview").alias("_po"), "timestamp")
-            .select("app_id",
-                    F.when(has, F.coalesce(F.col("_po.final"), F.lit(0)) / 100.0).otherwise(0.0).alias("price_current"),
-                    F.when(has, F.coalesce(F.col("_po.initial"), F.lit(0)) / 100.0).otherwise(0.0).alias("price_original"),
-                    F.when(has, F.coalesce(F.col("_po.discount_percent"), F.lit(0))).otherwise(0).alias("discount_percent"),
-                    F.when(has, F.coalesce(F.col("_po.currency"), F.lit("USD"))).otherwise("USD").alias("currency"),
-                    "timestamp"))
+    ok = _entry(raw.withColumn("timestamp", F.col(fetched_at)), body, PRICE_ENTRY, "timestamp")
+    po = F.col("e.data.price_overview")
+    free = F.lit(0).cast("decimal(10,2)")
+    return ok.select("app_id",
+                     F.when(po.isNotNull(), _units(F.coalesce(po["final"], F.lit(0)))).otherwise(free).alias("price_current"),
+                     F.when(po.isNotNull(), _units(F.coalesce(po["initial"], F.lit(0)))).otherwise(free).alias("price_original"),
+                     F.when(po.isNotNull(), F.coalesce(po["discount_percent"], F.lit(0))).otherwise(0).alias("discount_percent"),
+                     F.when(po.isNotNull(), F.coalesce(po["currency"], F.lit("USD"))).otherwise("USD").alias("currency"),
+                     "timestamp")
 
 
 def explode_review_payload(raw: DataFrame, body: str = "body") -> DataFrame:
@@ -131,10 +140,7 @@ def flatten_app_details(raw: DataFrame, body: str = "body") -> DataFrame:
     arrays of objects become JSON lists of one field; developers joined by
     ', '; price cents -> units with 0 -> NULL; release date parsed, with the
     original text kept in ``release_date_text``)."""
-    m = F.from_json(F.col(body), T.MapType(T.StringType(), DETAILS_ENTRY))
-    e = F.element_at(m, F.col("app_id").cast("string"))
-    d = raw.select(F.col("app_id").cast("int").alias("app_id"), e.alias("_e")).filter(
-        F.col("_e").isNotNull() & F.coalesce(F.col("_e.success"), F.lit(False))).select("app_id", "_e.data")
+    d = _entry(raw, body, DETAILS_ENTRY).select("app_id", "e.data")
     g = lambda c: F.col(f"data.{c}")
     po = g("price_overview")
     date_text = g("release_date.date")
@@ -144,8 +150,8 @@ def flatten_app_details(raw: DataFrame, body: str = "body") -> DataFrame:
         F.coalesce(g("short_description"), F.lit("")).alias("short_description"),
         F.coalesce(g("detailed_description"), F.lit("")).alias("detailed_description"),
         F.coalesce(g("about_the_game"), F.lit("")).alias("about_the_game"),
-        (F.nullif(po["final"], F.lit(0)) / 100.0).cast("decimal(10,2)").alias("price_current"),
-        (F.nullif(po["initial"], F.lit(0)) / 100.0).cast("decimal(10,2)").alias("price_original"),
+        _units(F.nullif(po["final"], F.lit(0))).alias("price_current"),
+        _units(F.nullif(po["initial"], F.lit(0))).alias("price_original"),
         po["discount_percent"].alias("discount_percent"), po["currency"].alias("currency"),
         parse_store_date(date_text).alias("release_date"), date_text.alias("release_date_text"),
         F.array_join(F.coalesce(g("developers"), F.array()), ", ").alias("developer"),
@@ -160,19 +166,19 @@ def flatten_app_details(raw: DataFrame, body: str = "body") -> DataFrame:
         _json_list(g("screenshots"), "path_full").alias("screenshots"),
         F.to_json(F.coalesce(F.transform(g("movies"), lambda x: x["webm"]["max"]),
                              F.array().cast("array<string>"))).alias("movies"),
+        *[F.coalesce(g(c), F.lit("{}")).alias(c) for c in ("pc_requirements", "mac_requirements", "linux_requirements")],
         g("metacritic.score").alias("metacritic_score"), g("metacritic.url").alias("metacritic_url"))
 
 
 def flatten_owner_estimates(raw: DataFrame, body: str = "body") -> DataFrame:
-    """A10: the eight ownership / playtime estimates; a body with ``error``
-    yields no row."""
-    p = F.from_json(F.col(body), OWNERS_BODY)
-    return (raw.select(F.col("app_id").cast("int").alias("app_id"), p.alias("_p"))
-            .filter(F.col("_p").isNotNull() & F.col("_p.error").isNull())
-            .select("app_id", F.col("_p.owners").alias("owners_estimate"),
-                    *[F.col(f"_p.{c}").alias(c) for c in ("owners_variance", "players_forever", "players_2weeks",
-                                                         "average_forever", "average_2weeks", "median_forever",
-                                                         "median_2weeks")]))
+    """A10: the eight ownership / playtime estimates; a body with ``error``,
+    a broken one or one without any of them yields no row."""
+    fields = ("owners", "owners_variance", "players_forever", "players_2weeks", "average_forever", "average_2weeks",
+              "median_forever", "median_2weeks")
+    parsed = raw.select(F.col("app_id").cast("int").alias("app_id"), F.inline(F.array(F.from_json(F.col(body), OWNERS_BODY))))
+    known = F.coalesce(*[F.col(c).cast("string") for c in fields]).isNotNull()
+    return parsed.filter(F.col("error").isNull() & known).select(
+        "app_id", F.col("owners").alias("owners_estimate"), *fields[1:])
 
 
 def merge_estimates(details: DataFrame, estimates: DataFrame) -> DataFrame:

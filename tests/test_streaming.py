@@ -9,6 +9,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from tidewatch.operators import windows as W
+from tidewatch.sinks.writers import VersionedTable
 from tidewatch.sources import fixtures
 from tidewatch.streaming import jobs as J
 
@@ -53,7 +54,7 @@ def test_player_ingest_valid_rejected_and_restart(spark):
     ok = [r for r in rows if r.player_count and r.app_id]
     expected_valid = len(ok) + 1  # + the envelope message
     assert stored.count() == expected_valid
-    assert stored.select("message_id").filter(F.col("message_id").isNotNull()).distinct().count() == len(ok)
+    assert stored.select("message_id").filter(F.col("message_id").isNotNull()).distinct().count() == expected_valid
     dead = spark.read.parquet(f"{d}/dead")
     assert dead.count() == len(rows) - len(ok) + 3
 
@@ -90,27 +91,110 @@ def test_stateful_changes_equal_batch_lag(spark):
     assert sorted(map(tuple, got.select(*key).collect())) == sorted(map(tuple, want.select(*key).collect()))
 
 
-def test_dedupe_messages_within_watermark(spark):
-    d = _scratch()
-    m = json.dumps({"app_id": 1, "player_count": 5, "timestamp": "2024-01-02T00:00:00", "message_id": "1_1"})
-    spark.createDataFrame([(m,), (m,)], "value string").coalesce(1).write.text(f"{d}/in/0")
+def _write(spark, folder, messages):
+    spark.createDataFrame([(m,) for m in messages], "value string").coalesce(1).write.text(folder)
+
+
+def _ingest(spark, d, dedupe):
     src = J.read_stream(spark, J.PLAYER_TOPIC, path=f"{d}/in/*")
-    q = J.stream_player_ingest(spark, src, f"{d}/table", f"{d}/dead", f"{d}/ck", dedupe=True)
-    q.awaitTermination()
-    assert spark.read.parquet(f"{d}/table").count() == 1
+    J.stream_player_ingest(spark, src, f"{d}/table", f"{d}/dead", f"{d}/ck", dedupe=dedupe).awaitTermination()
+    return spark.read.parquet(f"{d}/table"), spark.read.parquet(f"{d}/dead")
 
 
-def test_hourly_window_stream_matches_batch(spark):
+def test_dedupe_by_id_within_and_across_batches(spark):
     d = _scratch()
-    r = fixtures.review_tracking(spark, SF001, with_text=False)
-    r.write.parquet(f"{d}/reviews")
-    src = spark.readStream.schema(r.schema).parquet(f"{d}/reviews")
-    q = (J.hourly_sentiment_stream(src).writeStream.format("memory").queryName("hourly_t")
-         .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
-    got = spark.sql("select * from hourly_t")
+    m = lambda i, t: json.dumps({"app_id": 1, "player_count": 5, "timestamp": t, "message_id": i})
+    no_id = json.dumps({"app_id": 1, "player_count": 5, "timestamp": "2024-01-02T00:00:00"})
+    _write(spark, f"{d}/in/0", [m("a", "2024-01-02T00:00:00"), m("a", "2024-01-02T00:00:00"), no_id, no_id])
+    _ingest(spark, d, True)
+    _write(spark, f"{d}/in/1", [m("a", "2024-01-02T00:00:00"), m("b", "2023-01-01T00:00:00"), no_id])
+    stored, _ = _ingest(spark, d, True)
+    assert sorted(r.message_id or "" for r in stored.collect()) == ["", "", "", "a", "b"]
+
+
+def test_dedupe_keeps_envelopes_without_ids(spark):
+    d = _scratch()
+    env = [json.dumps({"event_type": "player_count", "app_id": a, "timestamp": "2024-01-02T00:00:00",
+                       "data": json.dumps({"player_count": 7})}) for a in range(1, 6)]
+    _write(spark, f"{d}/in/0", env)
+    stored, dead = _ingest(spark, d, True)
+    assert sorted(r.message_id for r in stored.collect()) == [f"{a}_1704153600" for a in range(1, 6)] and dead.count() == 0
+
+
+def test_bad_times_counts_and_json_go_to_the_dead_letter(spark):
+    d = _scratch()
+    good = json.dumps({"app_id": 1, "player_count": 5, "timestamp": "2024-01-02T00:00:00"})
+    bad = [json.dumps({"app_id": 1, "player_count": 5, "timestamp": "yesterday"}), "{broken", "", "[1]", "null",
+           json.dumps({"app_id": 1, "player_count": 5_000_000_000, "timestamp": "2024-01-02T00:00:00"})]
+    _write(spark, f"{d}/in/0", [good, *bad])
+    stored, dead = _ingest(spark, d, False)
+    assert stored.count() == 1 and dead.count() == len(bad)
+    _write(spark, f"{d}/in/1", [good])
+    assert _ingest(spark, d, False)[0].count() == 2
+
+
+def test_decode_flags_broken_values(spark):
+    df = spark.createDataFrame([('{"app_id": 1}',), ("{broken",), (None,)], "value string")
+    assert [r._corrupt for r in J.decode_safe(df, "app_id int").collect()] == [False, True, True]
+
+
+def test_read_topic_bounded_is_ordered(spark):
+    d = _scratch()
+    _write(spark, f"{d}/a", ["1", "2", "3"])
+    _write(spark, f"{d}/b", ["4"])
+    assert [r.value for r in J.read_topic_bounded(spark, 2, path=f"{d}/a").collect()] == ["1", "2"]
+
+
+def _reviews(app, *reviews):
+    return json.dumps({"event_type": "review_batch", "app_id": app, "timestamp": "2024-01-02T00:00:00", "data": {"reviews": [
+        {"app_id": app, "review_id": i, "review_text": t, "review_timestamp": when} for i, t, when in reviews]}})
+
+
+def test_scored_reviews_are_stored_once_with_the_last_score(spark):
+    d = _scratch()
+    ok = "2024-01-02T00:00:00"
+
+    def run():
+        src = J.read_stream(spark, J.REVIEW_TOPIC, path=f"{d}/in/*")
+        J.stream_score_reviews(spark, src, f"{d}/table", f"{d}/ck").awaitTermination()
+        return {r.review_id: r for r in VersionedTable(spark, f"{d}/table", "review_id").read().collect()}
+    long_text = "great " + "x" * 5000
+    _write(spark, f"{d}/in/0", [_reviews(1, ("r1", "good", ok), ("r1", "bad", ok), ("r2", long_text, "not a time")),
+                                "{broken", json.dumps({"event_type": "other"})])
+    first = run()
+    assert {k: r.sentiment_label for k, r in first.items()} == {"r1": "negative", "r2": "positive"}
+    assert first["r1"].review_text == "good" and first["r2"].review_text == long_text and first["r2"].review_timestamp is None
+    _write(spark, f"{d}/in/1", [_reviews(1, ("r2", "awful", ok), ("r3", "fun", ok))])
+    second = run()
+    assert {k: r.sentiment_label for k, r in second.items()} == {"r1": "negative", "r2": "negative", "r3": "positive"}
+    assert second["r2"].review_text == long_text
+
+
+def test_price_stream_flags_as_the_batch_does(spark):
+    d = _scratch()
+    rows = [(1, None, "2024-01-01"), (1, 5.0, "2024-01-02"), (1, 5.0, "2024-01-03"), (1, None, "2024-01-04"), (1, 5.0, "2024-01-05"),
+            (2, 3.0, "2024-01-01"), (2, 3.01, "2024-01-02"), (2, 3.5, "2024-01-06")]
+    df = spark.createDataFrame(rows, "app_id int, price_current double, t string").select(
+        "app_id", "price_current", F.col("t").cast("timestamp_ntz").alias("timestamp"))
+    for k, (lo, hi) in enumerate((("2024-01-01", "2024-01-02"), ("2024-01-03", "2024-01-09"))):
+        df.filter(F.col("timestamp").between(F.lit(lo).cast("timestamp_ntz"), F.lit(hi).cast("timestamp_ntz"))).coalesce(1).write.parquet(f"{d}/in/{k}")
+    src = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{d}/in/*")
+    (J.stream_price_changes(src).writeStream.format("parquet").option("path", f"{d}/out").option("checkpointLocation", f"{d}/ck")
+     .trigger(availableNow=True).start().awaitTermination())
+    key = lambda r: (r.app_id, r.timestamp)
+    got = sorted(spark.read.parquet(f"{d}/out").collect(), key=key)
+    want = sorted(W.price_changes(df).collect(), key=key)
+    assert [r.price_change_detected for r in got] == [r.price_change_detected for r in want]
+
+
+def test_hourly_window_stream_takes_late_reviews_and_the_last_hour(spark):
+    d = _scratch()
+    r = fixtures.review_tracking(spark, SF001)
+    r.orderBy(F.desc("processed_timestamp")).repartitionByRange(4, F.desc("processed_timestamp")).write.parquet(f"{d}/reviews")
+    src = spark.readStream.schema(r.schema).option("maxFilesPerTrigger", 1).parquet(f"{d}/reviews")
+    (J.hourly_sentiment_stream(src).writeStream.format("memory").queryName("hourly_t")
+     .outputMode("complete").trigger(availableNow=True).start().awaitTermination())
+    got = {x.hour: x.reviews_processed for x in spark.sql("select * from hourly_t").collect()}
     want = (r.filter(F.col("sentiment_label").isNotNull())
-            .groupBy(F.date_trunc("hour", "processed_timestamp").alias("hour")).count())
-    # every closed hour (the last one stays open behind the watermark)
-    assert got.count() in (want.count(), want.count() - 1)
-    assert got.agg(F.sum("reviews_processed")).first()[0] <= want.agg(F.sum("count")).first()[0]
+            .groupBy(F.date_trunc("hour", "processed_timestamp").cast("timestamp_ntz").alias("hour")).count())
+    assert got == {x.hour: x["count"] for x in want.collect()}

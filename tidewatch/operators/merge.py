@@ -2,20 +2,17 @@
 
 Plain Parquet tables have no MERGE, so every upsert computes the *new table
 state* as a DataFrame and a sink writes it as a new version (see
-``sinks.versioned``). The shape is always
+``sinks.writers.VersionedTable``, which gives it the touched buckets only).
+The shape is always one full outer join, so each side is read once:
 
-    new = current LEFT JOIN changes   (matched rows take the change's columns)
-          UNION inserts               (changes whose key is not yet stored)
-
-Changes are the small side in practice: AQE broadcasts them after measuring
-their size, and the current table is then streamed without a shuffle. When a
-change batch is large the same plan runs as a shuffle join.
+    stored table  FULL OUTER JOIN  the batch, summarised per key
 
 Within one change batch the reference applies rows in arrival order
 (``executemany``): for DO UPDATE the last row wins, for DO NOTHING the first.
-Arrival order is a column (``seq``). Picking the winner per key is a
-``max/min(struct(seq, ...))`` aggregate, which combines map-side, so a hot key
-never gathers in one task. NULL keys never conflict (SQL UNIQUE semantics).
+Arrival order is a column (``seq``). The winners per key are
+``min/max(struct(seq, ...))`` aggregates, which combine map-side, so a hot
+key never gathers in one task. NULL keys never conflict (SQL UNIQUE
+semantics): each such row is a group of its own and joins nothing.
 """
 
 from __future__ import annotations
@@ -37,14 +34,18 @@ def _winner(df: DataFrame, key: str, seq: str, last: bool) -> DataFrame:
     return best.select(key, *[F.col(f"_w.{c}").alias(c) for c in [seq] + rest])
 
 
-def _first_and_last(df: DataFrame, key: str, seq: str) -> DataFrame:
-    """Per non-NULL key: the first row's columns (``f_*``) and the last
-    row's columns (``l_*``) in one aggregate."""
-    rest = [c for c in df.columns if c not in (key, seq)]
-    row = F.struct(F.col(seq), *[F.col(c) for c in rest])
-    agg = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(row).alias("_f"), F.max(row).alias("_l"))
-    return agg.select(key, *[F.col(f"_f.{c}").alias(f"f_{c}") for c in [seq] + rest],
-                      *[F.col(f"_l.{c}").alias(f"l_{c}") for c in [seq] + rest])
+def _summary(df: DataFrame, key: str, seq: str, *which: str) -> DataFrame:
+    """Per key the batch's first (``_first``) and last (``_last``) row as
+    structs; a row with a NULL key is a group of its own."""
+    row = F.struct(F.col(seq).alias("_order"), *[F.col(c) for c in df.columns])
+    own = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    pick = {"first": F.min(row).alias("_first"), "last": F.max(row).alias("_last")}
+    return df.withColumn("_own", own).groupBy(F.col(key).alias("_key"), "_own").agg(*[pick[w] for w in which])
+
+
+def _outer(current: DataFrame, summary: DataFrame, key: str) -> DataFrame:
+    stored = current.select(F.struct(*[F.col(c) for c in current.columns]).alias("_old"), F.col(key).alias("_stored"))
+    return stored.join(summary, F.col("_stored") == F.col("_key"), "full_outer")
 
 
 def insert_ignore(current: DataFrame, incoming: DataFrame, key: str, seq: str) -> DataFrame:
@@ -52,11 +53,10 @@ def insert_ignore(current: DataFrame, incoming: DataFrame, key: str, seq: str) -
     incoming row per key wins, stored keys win over all of them; rows with a
     NULL key are all inserted. Returns the new table state."""
     cols = current.columns
-    firsts = _winner(incoming.select(*cols, *([seq] if seq not in cols else [])), key, seq, last=False)
-    stored_keys = current.select(key).filter(F.col(key).isNotNull())
-    new = firsts.join(stored_keys, key, "left_anti").select(*cols)
-    nulls = incoming.filter(F.col(key).isNull()).select(*cols)
-    return current.unionByName(new).unionByName(nulls)
+    first = _summary(incoming.select(*cols, *([seq] if seq not in cols else [])), key, seq, "first")
+    j = _outer(current, first, key)
+    old = F.col("_old").isNotNull()
+    return j.select(*[F.when(old, F.col(f"_old.{c}")).otherwise(F.col(f"_first.{c}")).alias(c) for c in cols])
 
 
 def upsert(current: DataFrame, incoming: DataFrame, key: str, update_cols: Sequence[str], seq: str,
@@ -69,46 +69,19 @@ def upsert(current: DataFrame, incoming: DataFrame, key: str, update_cols: Seque
     * NULL key: every incoming row inserted.
     ``set_exprs`` overrides columns on the update path only (e.g.
     ``last_updated = now``); ``insert_exprs`` on the insert path only."""
-    cols = current.columns
-    update_cols = list(update_cols)
-    set_exprs = set_exprs or {}
-    insert_exprs = insert_exprs or {}
-    inc = incoming.select(*[c for c in cols if c in incoming.columns],
-                          *([seq] if seq not in cols else []))
-    fl = _first_and_last(inc, key, seq)
-    # matched: stored rows LEFT JOIN the per-key summary of the batch
-    j = current.alias("c").join(fl.alias("b"), F.col(f"c.{key}") == F.col(f"b.{key}"), "left")
-    hit = F.col(f"b.{key}").isNotNull()
-    upd = []
-    for c in cols:
-        if c in set_exprs:
-            upd.append(F.when(hit, set_exprs[c]).otherwise(F.col(f"c.{c}")).alias(c))
-        elif c in update_cols:
-            upd.append(F.when(hit, F.col(f"b.l_{c}")).otherwise(F.col(f"c.{c}")).alias(c))
-        else:
-            upd.append(F.col(f"c.{c}").alias(c))
-    kept = j.select(*upd)
-    # new keys: first row's columns, then the last row's update columns
-    stored_keys = current.select(key).filter(F.col(key).isNotNull())
-    fresh = fl.join(stored_keys, key, "left_anti")
-    ins = []
+    cols, update_cols = current.columns, list(update_cols)
+    set_exprs, insert_exprs = set_exprs or {}, insert_exprs or {}
+    inc = incoming.select(*[c for c in cols if c in incoming.columns], *([seq] if seq not in cols else []))
+    j = _outer(current, _summary(inc, key, seq, "first", "last"), key)
+    old, new = F.col("_old").isNotNull(), F.col("_last").isNotNull()
+    out = []
     for c in cols:
-        if c == key:
-            ins.append(F.col(key))
-        elif c in insert_exprs:
-            ins.append(insert_exprs[c].alias(c))
-        elif c in update_cols:
-            ins.append(F.col(f"l_{c}").alias(c))
-        elif f"f_{c}" in fresh.columns:
-            ins.append(F.col(f"f_{c}").alias(c))
-        else:
-            ins.append(F.lit(None).cast(current.schema[c].dataType).alias(c))
-    inserted = fresh.select(*ins)
-    nulls = inc.filter(F.col(key).isNull())
-    null_rows = nulls.select(*[(insert_exprs[c] if c in insert_exprs else
-                                (F.col(c) if c in nulls.columns else F.lit(None).cast(current.schema[c].dataType))
-                                ).alias(c) for c in cols])
-    return kept.unionByName(inserted).unionByName(null_rows)
+        kind = current.schema[c].dataType
+        got = lambda side, c=c, kind=kind: F.col(f"{side}.{c}").cast(kind) if c in inc.columns else F.lit(None).cast(kind)
+        update = set_exprs[c] if c in set_exprs else got("_last") if c in update_cols and c in inc.columns else F.col(f"_old.{c}")
+        insert = insert_exprs[c] if c in insert_exprs else got("_last" if c in update_cols else "_first")
+        out.append(F.when(old & new, update).when(old, F.col(f"_old.{c}")).otherwise(insert).alias(c))
+    return j.select(*out)
 
 
 def update_by_key(current: DataFrame, updates: DataFrame, key: str, update_cols: Sequence[str],
@@ -139,14 +112,10 @@ def insert_reviews_ignore(current: DataFrame, incoming: DataFrame, seq: str = "i
     return insert_ignore(current, incoming, "review_id", seq)
 
 
-def upsert_review_scores(current: DataFrame, incoming: DataFrame, seq: str = "id",
-                         max_text: int = 2000) -> DataFrame:
-    """Conflict updates only the six score columns; the inserted text is
-    cut to ``max_text`` characters; missing label/score default to
-    neutral / 0.0."""
+def upsert_review_scores(current: DataFrame, incoming: DataFrame, seq: str = "id") -> DataFrame:
+    """Conflict updates only the six score columns; the whole text is
+    stored; missing label/score default to neutral / 0.0."""
     inc = incoming
-    if "review_text" in inc.columns:
-        inc = inc.withColumn("review_text", F.substring("review_text", 1, max_text))
     # ``dict.get(k, default)``: the default applies to an absent field only.
     for c, v in (("sentiment_label", "neutral"), ("sentiment_score", 0.0),
                  ("sentiment_confidence", 0.0), ("processing_time_ms", 0.0)):
@@ -210,30 +179,20 @@ def upsert_registry(current: DataFrame, incoming: DataFrame, as_of=None, seq: st
             carried = F.when(F.array_contains(F.col(present), F.lit(c)), F.struct(F.col(seq), F.col(c).alias("v")))
             per_col.append(F.max(carried).alias(f"_c_{c}"))
     folded = inc.filter(F.col("app_id").isNotNull()).groupBy("app_id").agg(*per_col)
-    j = current.alias("c").join(folded.alias("b"), F.col("c.app_id") == F.col("b.app_id"), "left")
-    hit = F.col("b.app_id").isNotNull()
-    now = anchor(as_of)
+    stored = current.select(F.struct(*[F.col(c) for c in cols]).alias("_old"), F.col("app_id").alias("_stored"))
+    j = stored.join(folded, F.col("_stored") == F.col("app_id"), "full_outer")
+    old, new = F.col("_old").isNotNull(), F.col("app_id").isNotNull()
     out = []
     for c in cols:
+        kind = current.schema[c].dataType
         if c == "app_id":
-            out.append(F.col("c.app_id").alias(c))
-        elif c == "last_updated":
-            out.append(F.when(hit, now).otherwise(F.col("c.last_updated")).alias(c))
-        elif f"_c_{c}" in folded.columns:
-            got = F.col(f"b._c_{c}")
-            out.append(F.when(hit & got.isNotNull(), got["v"]).otherwise(F.col(f"c.{c}")).alias(c))
-        else:
-            out.append(F.col(f"c.{c}").alias(c))
-    kept = j.select(*out)
-    fresh = folded.join(current.select("app_id"), "app_id", "left_anti")
-    ins = []
-    for c in cols:
-        if c == "app_id":
-            ins.append(F.col("app_id"))
+            value = F.coalesce(F.col("_old.app_id"), F.col("app_id"))
         elif c == "last_updated":
-            ins.append(now.alias(c))
+            value = F.when(new, anchor(as_of)).otherwise(F.col("_old.last_updated"))
         elif f"_c_{c}" in folded.columns:
-            ins.append(F.col(f"_c_{c}")["v"].cast(current.schema[c].dataType).alias(c))
+            carried = F.col(f"_c_{c}")
+            value = F.when(carried.isNotNull(), carried["v"].cast(kind)).when(old, F.col(f"_old.{c}"))
         else:
-            ins.append(F.lit(None).cast(current.schema[c].dataType).alias(c))
-    return kept.unionByName(fresh.select(*ins))
+            value = F.when(old, F.col(f"_old.{c}"))
+        out.append(value.alias(c))
+    return j.select(*out)

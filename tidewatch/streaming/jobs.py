@@ -17,10 +17,12 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators import merge as M
 from ..operators import scoring as K
+from ..sinks.writers import VersionedTable, realtime_rows
 
 PLAYER_TOPIC = "steam-player-counts"
 REVIEW_TOPIC = "steam-reviews"
@@ -60,22 +62,29 @@ def read_topic_bounded(spark: SparkSession, n: int, topic: str = PLAYER_TOPIC, p
               .option("subscribe", topic).option("startingOffsets", "earliest").load()
               .orderBy("partition", "offset").select(F.col("value").cast("string").alias("value")))
     else:
-        df = spark.read.text(path)
+        df = (spark.read.text(path).select("value", "_metadata.file_path", F.monotonically_increasing_id().alias("at"))
+              .orderBy("file_path", "at").select("value"))
     return df.limit(n)
 
 
 def decode_safe(df: DataFrame, schema: str) -> DataFrame:
-    """A3: tolerant decode: undecodable values parse to an empty record (all
-    fields NULL) and are flagged ``_corrupt`` for the dead-letter sink; the
-    stream never fails on a bad message."""
-    p = F.from_json(F.col("value"), schema)
-    return df.select("*", p.alias("_m")).withColumn("_corrupt", F.col("_m").isNull())
+    """A3: tolerant decode: a value that is no JSON object of this schema
+    gives a record with NULL fields and is flagged ``_corrupt`` for the
+    dead-letter sink; the stream never fails on a bad message."""
+    p = F.from_json(F.col("value"), f"{schema}, _bad string", {"columnNameOfCorruptRecord": "_bad"})
+    return df.select("*", p.alias("_m")).withColumn("_corrupt", F.col("_m").isNull() | F.col("_m._bad").isNotNull())
+
+
+def naive_time(text) -> F.Column:
+    """ISO text as a naive UTC timestamp; NULL for any other text."""
+    return F.try_to_timestamp(text).cast("timestamp_ntz")
 
 
 def normalize_player_event(df: DataFrame, accept_envelope: bool = True) -> DataFrame:
     """Accept the flat message and (unless ``accept_envelope=False``,
     the reference consumer's behaviour) the tracker envelope
-    ``{event_type, app_id, timestamp, data:{...}}``."""
+    ``{event_type, app_id, timestamp, data:{...}}``, whose message id is
+    rebuilt as ``<app_id>_<epoch seconds>``."""
     flat = F.from_json(F.col("value"), FLAT_PLAYER)
     env = F.from_json(F.col("value"), ENVELOPE)
     d = F.from_json(env["data"], ENVELOPE_PLAYER)
@@ -85,33 +94,35 @@ def normalize_player_event(df: DataFrame, accept_envelope: bool = True) -> DataF
         from_env = F.coalesce(d[field], env[field]) if field in ("app_id", "timestamp") else d[field]
         return F.when(use_env, from_env).otherwise(flat[field])
     ts_text = pick("timestamp")
+    time = naive_time(ts_text)
+    app = pick("app_id")
+    env_id = F.concat_ws("_", app.cast("string"), F.unix_seconds(time.cast("timestamp")).cast("string"))
     return df.select(
-        pick("app_id").alias("app_id"), pick("player_count").cast("int").alias("player_count"),
-        ts_text.alias("timestamp_text"),
-        F.to_timestamp(ts_text).cast("timestamp_ntz").alias("timestamp"),
+        app.alias("app_id"), pick("player_count").try_cast("int").alias("player_count"),
+        ts_text.alias("timestamp_text"), time.alias("timestamp"),
         pick("api_response_time_ms").alias("api_response_time_ms"),
         F.coalesce(pick("source"), F.lit("kafka_stream")).alias("source"),
-        F.when(use_env, F.lit(None)).otherwise(flat["message_id"]).alias("message_id"),
+        F.when(use_env, F.when(app.isNotNull() & time.isNotNull(), env_id)).otherwise(flat["message_id"]).alias("message_id"),
         F.when(use_env, F.lit(None)).otherwise(flat["game_name"]).alias("game_name"),
         F.col("value").alias("raw"))
 
 
 def valid_player_message(df: DataFrame) -> F.Column:
     """C4: app_id, player_count and timestamp must be truthy (0 and '' are
-    rejected like NULL)."""
-    return (F.coalesce(F.col("app_id"), F.lit(0)) != 0) & (F.coalesce(F.col("player_count"), F.lit(0)) != 0) \
+    rejected like NULL), and the timestamp a time."""
+    return F.col("timestamp").isNotNull() & (F.coalesce(F.col("app_id"), F.lit(0)) != 0) & (F.coalesce(F.col("player_count"), F.lit(0)) != 0) \
         & (F.coalesce(F.col("timestamp_text"), F.lit("")) != "")
 
 
 # -- J1: player ingest ---------------------------------------------------------
 
-def player_ingest_batch(batch: DataFrame, batch_id: int, table: str, dead_letter: str) -> None:
+def player_ingest_batch(batch: DataFrame, batch_id: int, table: str, dead_letter: str, dedupe: bool = False) -> None:
     """One micro-batch of J1: valid rows to the table (B2), rejects to the
     dead letter; both written per batch id, so a replay is idempotent."""
     ok = valid_player_message(batch)
-    valid = batch.filter(ok).drop("raw", "timestamp_text")
-    rows = valid.withColumn("game_name", F.coalesce("game_name", F.lit("Unknown"))) \
-        .withColumn("processed_at", F.current_timestamp().cast("timestamp_ntz"))
+    rows = realtime_rows(batch.filter(ok).drop("raw", "timestamp_text"))
+    if dedupe:
+        rows = dedupe_messages(rows, batch_id, table)
     rows.write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
     batch.filter(~F.coalesce(ok, F.lit(False))).select("raw").write.mode("overwrite") \
         .parquet(f"{dead_letter}/batch={batch_id}")
@@ -121,20 +132,29 @@ def stream_player_ingest(spark: SparkSession, source: DataFrame, table: str, dea
                          checkpoint: str, dedupe: bool = False, available_now: bool = True):
     """J1 (+J10 when ``dedupe``): decode, validate, store; invalid messages
     go to the dead letter and the stream continues."""
-    events = normalize_player_event(source)
-    if dedupe:
-        events = dedupe_messages(events)
-    w = events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda b, i: player_ingest_batch(b, i, table, dead_letter))
+    w = normalize_player_event(source).writeStream.option("checkpointLocation", checkpoint).foreachBatch(
+        lambda b, i: player_ingest_batch(b, i, table, dead_letter, dedupe))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
 
 
-def dedupe_messages(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """J10 (opt-in): drop repeated ``message_id`` within the watermark delay."""
-    # Watermarks need a (session-zone) TIMESTAMP; the stored column stays naive UTC.
-    ev = events.withColumn("_event_time", F.col("timestamp").cast("timestamp"))
-    return ev.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark(["message_id"]).drop("_event_time")
+def dedupe_messages(rows: DataFrame, batch_id: int, table: str) -> DataFrame:
+    """J10 (opt-in): the rows whose ``message_id`` is neither stored by an
+    earlier batch nor repeated in this one; rows without an id are all kept,
+    and so are late ones, however late. Only stored rows within the batch's
+    span of time are read (a repeated message has the same time)."""
+    named = rows.filter(F.col("message_id").isNotNull())
+    rest = rows.filter(F.col("message_id").isNull())
+    first = [c for c in rows.columns if c != "message_id"]
+    once = (named.groupBy("message_id").agg(F.min(F.struct("timestamp", *[c for c in first if c != "timestamp"])).alias("r"))
+            .select("message_id", "r.*").select(*rows.columns))
+    span = named.agg(F.min("timestamp"), F.max("timestamp")).first()
+    if batch_id > 0 and span[0] is not None:
+        spark = rows.sparkSession
+        stored = (spark.read.schema("message_id string, timestamp timestamp_ntz, batch long").parquet(table)
+                  .filter((F.col("batch") < batch_id) & F.col("timestamp").between(F.lit(span[0]), F.lit(span[1]))))
+        once = once.join(stored.select("message_id"), "message_id", "left_anti").select(*rows.columns)
+    return once.unionByName(rest)
 
 
 # -- J4 / J5: stateful change detection ---------------------------------------
@@ -149,19 +169,17 @@ def _changes(key, pdfs: Iterator[pd.DataFrame], state: GroupState, pct: float) -
     each is compared with the previous reading (carried in state across
     batches); alerts when the change exceeds ``pct`` % and previous > 0."""
     pdf = pd.concat(list(pdfs), ignore_index=True)
-    pdf = pdf.sort_values(["timestamp", "message_id"], kind="mergesort", na_position="first")
-    prev_ts, prev, prev_key = state.get if state.exists else (None, None, None)
-    out = []
-    for row in pdf.itertuples(index=False):
-        if prev is not None and prev > 0:
-            change = (row.player_count - prev) / prev * 100
-            if abs(change) > pct:
-                out.append((row.app_id, row.game_name, int(prev), int(row.player_count), float(change),
-                            "UP" if change > 0 else "DOWN", row.timestamp))
-        prev_ts, prev, prev_key = row.timestamp, row.player_count, row.message_id
-    state.update((prev_ts, int(prev) if prev is not None else None, prev_key))
-    yield pd.DataFrame(out, columns=["app_id", "game_name", "previous_count", "current_count",
-                                     "change_percent", "direction", "timestamp"])
+    pdf = pdf.sort_values(["timestamp", "message_id"], kind="mergesort", na_position="first", ignore_index=True)
+    prev = pdf["player_count"].astype(float).shift()
+    if state.exists and state.get[1] is not None:
+        prev.iloc[0] = state.get[1]
+    change = (pdf["player_count"] - prev) / prev.where(prev > 0) * 100
+    last = pdf.iloc[-1]
+    state.update((last["timestamp"].to_pydatetime(), int(last["player_count"]), last["message_id"]))
+    hit = change.abs() > pct
+    yield pd.DataFrame({"app_id": pdf["app_id"], "game_name": pdf["game_name"], "previous_count": prev, "current_count": pdf["player_count"],
+                        "change_percent": change, "direction": change.gt(0).map({True: "UP", False: "DOWN"}),
+                        "timestamp": pdf["timestamp"]})[hit].astype({"previous_count": int})
 
 
 def stream_significant_changes(events: DataFrame, pct: float = 20) -> DataFrame:
@@ -180,13 +198,19 @@ PRICE_OUT = "app_id int, price_current double, timestamp timestamp_ntz, price_ch
 
 
 def _price_flags(key, pdfs, state: GroupState, eps: float):
-    pdf = pd.concat(list(pdfs), ignore_index=True).sort_values("timestamp", kind="mergesort")
-    last = state.get[0] if state.exists else None
-    flags = []
-    for p in pdf["price_current"]:
-        flags.append(last is not None and abs((last or 0.0) - p) > eps)
-        last = p
-    state.update((last,))
+    """As batch F3: the first price of a game is not flagged, a missing
+    previous price counts as 0.0, a missing price has no flag. State exists
+    once a price was seen, also a missing one."""
+    pdf = pd.concat(list(pdfs), ignore_index=True).sort_values("timestamp", kind="mergesort", ignore_index=True)
+    price = pdf["price_current"].astype(float)
+    prev = price.shift().fillna(0.0)
+    if state.exists:
+        prev.iloc[0] = state.get[0] or 0.0
+    flags = ((price - prev).abs() > eps).astype(object).where(price.notna(), None)
+    if not state.exists:
+        flags.iloc[0] = False
+    last = price.iloc[-1]
+    state.update((None if pd.isna(last) else float(last),))
     yield pdf.assign(price_change_detected=flags)[["app_id", "price_current", "timestamp", "price_change_detected"]]
 
 
@@ -209,21 +233,18 @@ def stream_review_explode(source: DataFrame) -> DataFrame:
     return r.select("app_id", F.concat(F.lit("Game_"), F.col("app_id").cast("string")).alias("game_name"),
                     F.col("r.review_id").alias("review_id"), F.col("r.review_text").alias("review_text"),
                     F.coalesce(F.col("r.review_helpful"), F.lit(0)).alias("review_helpful"),
-                    F.to_timestamp("r.review_timestamp").cast("timestamp_ntz").alias("review_timestamp"))
+                    naive_time(F.col("r.review_timestamp")).alias("review_timestamp"))
 
 
 def score_and_upsert_batch(spark: SparkSession, batch: DataFrame, batch_id: int, table_root: str) -> None:
-    """J6 micro-batch: score (K1) then upsert scores by review id (B5) into
-    the next table version."""
-    from ..sinks.writers import read_current, write_version
-    scored = K.score_reviews(batch, method="stream").withColumn("id", F.xxhash64("review_id"))
-    current = read_current(spark, table_root)
-    if current is None:
-        new = scored.select(*sorted(scored.columns))
-    else:
-        new = M.upsert_review_scores(current, scored.select(*[c for c in current.columns if c in scored.columns]),
-                                     seq="id")
-    write_version(spark, new, table_root)
+    """J6 micro-batch: score (K1) then upsert scores by review id (B5), in the
+    order of arrival within the batch; only the table's touched buckets are
+    rewritten. A replayed batch gives the same state."""
+    order = batch.withColumn("_seq", F.monotonically_increasing_id())
+    scored = K.score_reviews(order, method="stream").withColumn("id", F.xxhash64("review_id"))
+    stored = T.StructType([f for f in scored.schema if f.name != "_seq"])
+    VersionedTable(spark, table_root, "review_id").merge(
+        scored, lambda current, new: M.upsert_review_scores(current, new, seq="_seq"), schema=stored)
 
 
 def stream_score_reviews(spark: SparkSession, source: DataFrame, table_root: str, checkpoint: str,
@@ -248,13 +269,13 @@ def incremental_score_table(reviews: DataFrame, as_of=None) -> DataFrame:
 
 # -- J8 / J9: windows and throughput ---------------------------------------------
 
-def hourly_sentiment_stream(scored: DataFrame, watermark: str = "10 minutes") -> DataFrame:
-    """Tumbling 1-hour windows of labelled reviews: count and mean
-    score, emitted when the watermark passes the window end."""
-    ev = scored.filter(F.col("sentiment_label").isNotNull()).withColumn(
-        "_event_time", F.col("processed_timestamp").cast("timestamp"))
-    return (ev.withWatermark("_event_time", watermark)
-            .groupBy(F.window("_event_time", "1 hour").alias("w"))
+def hourly_sentiment_stream(scored: DataFrame) -> DataFrame:
+    """Tumbling 1-hour windows of labelled reviews: count and mean score.
+    Run in ``update`` mode into a sink that replaces hours (or in
+    ``complete`` mode): an hour is sent again whenever a review of it
+    arrives, however late. State is one row per hour."""
+    ev = scored.filter(F.col("sentiment_label").isNotNull())
+    return (ev.groupBy(F.window(F.col("processed_timestamp").cast("timestamp"), "1 hour").alias("w"))
             .agg(F.count(F.lit(1)).alias("reviews_processed"), F.avg("sentiment_score").alias("avg_score"))
             .select(F.col("w.start").cast("timestamp_ntz").alias("hour"), "reviews_processed", "avg_score"))
 

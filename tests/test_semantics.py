@@ -22,14 +22,15 @@ from tidewatch.sinks import writers as B
 T0 = dt.datetime(2024, 1, 10, 12, 0, 0)
 
 
-def test_lag_by_key_equals_plain_lag_on_skewed_data(spark):
+@pytest.mark.parametrize("rows_per_task", [50, 10_000_000])
+def test_lag_by_key_equals_plain_lag_on_skewed_data(spark, rows_per_task):
     rng = random.Random(7)
     rows = []
     for i in range(3000):
         key = 0 if rng.random() < 0.6 else rng.randrange(1, 6)  # one hot key
         rows.append((i, key, T0 + dt.timedelta(minutes=rng.randrange(0, 60 * 24 * 10)), rng.randrange(0, 500)))
     df = spark.createDataFrame(rows, "id long, k int, ts timestamp_ntz, v int")
-    got = W.lag_by_key(df, ["k"], ["ts", "id"], ["v"], bucket_seconds=3600).select("id", "prev_v")
+    got = W.lag_by_key(df, ["k"], ["ts", "id"], ["v"], rows_per_task=rows_per_task).select("id", "prev_v")
     pdf = pd.DataFrame(rows, columns=["id", "k", "ts", "v"]).sort_values(["k", "ts", "id"])
     pdf["prev_v"] = pdf.groupby("k")["v"].shift(1)
     want = {r.id: (None if pd.isna(r.prev_v) else int(r.prev_v)) for r in pdf.itertuples()}
@@ -149,17 +150,22 @@ def test_dedup_keeps_newest_labelled_and_all_unlabelled(spark):
     assert sorted(r.id for r in W.dedup_reviews(df).collect()) == [2, 3, 5]
 
 
-def test_versioned_write_and_new_price_flags(spark, tmp_path):
-    root = str(tmp_path / "prices")
-    stored = spark.createDataFrame([(1, 5.0, T0)], "app_id int, price_current double, timestamp timestamp_ntz")
-    B.write_version(spark, stored, root)
-    cur = B.read_current(spark, root)
-    batch = spark.createDataFrame([(1, 5.0, T0 + dt.timedelta(hours=1)), (1, 6.0, T0 + dt.timedelta(hours=2))],
-                                  "app_id int, price_current double, timestamp timestamp_ntz")
-    flags = [r.price_change_detected for r in B.flag_new_prices(cur, batch).orderBy("timestamp").collect()]
+def test_new_price_flags_against_the_stored_price(spark, tmp_path):
+    schema = "app_id int, price_current double, timestamp timestamp_ntz"
+    table = B.VersionedTable(spark, str(tmp_path / "prices"), "app_id", buckets=4)
+    table.replace(spark.createDataFrame([(1, 5.0, T0)], schema))
+    batch = spark.createDataFrame([(1, 5.0, T0 + dt.timedelta(hours=1)), (1, 6.0, T0 + dt.timedelta(hours=2))], schema)
+    flags = [r.price_change_detected for r in B.flag_new_prices(table.read(), batch).orderBy("timestamp").collect()]
     assert flags == [False, True]
 
 
+def test_chunks_hold_the_whole_text(spark):
+    texts = ["", "a", "b" * 512, "c" * 513, "é\U0001F600" * 700]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for t, r in zip(texts, df.select(K.chunks_for_model("t", 512).alias("c")).collect(), strict=True):
+        assert "".join(r.c) == t and all(len(x) <= 512 for x in r.c) and len(r.c) == max(1, -(-len(t) // 512))
+
+
 def test_route_events_and_schema_evolution(spark):
     ev = spark.createDataFrame([("player_count", 1, T0, "{}"), ("other", 2, T0, "{}")],
                                "event_type string, app_id int, timestamp timestamp_ntz, data string")

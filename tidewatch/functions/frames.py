@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Add the columns of a one-row frame (a global aggregate) to ``df`` as a
     scalar subquery: Spark evaluates it once and inlines the value, so no
-    join (and no cartesian product) is planned."""
+    join (and no cartesian product) is planned. ``inline`` keeps it one
+    subquery, whatever the number of columns."""
     packed = one_row.select(F.struct(*one_row.columns).alias("s")).scalar()
-    return df.select("*", *[packed[c].alias(c) for c in one_row.columns])
+    return df.select("*", F.inline(F.array(packed)))

@@ -65,7 +65,8 @@ def player_sentiment_correlation(stg_players: DataFrame, reviews: DataFrame) ->
          .groupBy("app_id", trunc_ntz("hour", "processed_timestamp").alias("hour"))
          .agg(F.avg("sentiment_score").alias("avg_sentiment")))
     j = p.join(s, ["app_id", "hour"])
-    return j.groupBy("app_id").agg(F.corr("avg_players", "avg_sentiment").alias("correlation"),
+    corr = F.corr("avg_players", "avg_sentiment")  # undefined (NULL) for one hour or a constant side
+    return j.groupBy("app_id").agg(F.when(~F.isnan(corr), corr).alias("correlation"),
                                    F.count(F.lit(1)).alias("hours"))
 
 

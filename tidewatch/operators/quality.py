@@ -9,7 +9,7 @@ they are bounded by construction (top-k lists, a fixed set of rules).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.frames import attach
@@ -22,6 +22,33 @@ from . import windows as W
 # make an issue critical.
 FRESHNESS_LIMITS = {"steam_player_tracking": 15, "steam_review_tracking": 60, "game_tracking_config": 1440}
 CRITICAL_WORDS = ("failed", "error", "missing", "stuck")
+# Issue and recommendation texts, as dashboards and alerts expect them.
+DATA_IS_MINUTES_OLD = "%s: Data is %s minutes old (max: %d)"
+NO_RECORDS_FOUND = "%s: No records found"
+CHANGE_DETECTED_AT = "%s: %s%% change detected at %s"
+HIGH_API_RESPONSE_TIMES = "High API response times: %sms average"
+API_PERFORMANCE_DEGRADED_REQUESTS = "API performance degraded: %s%% requests >10s"
+NO_RECENT_SENTIMENT_PROCESSING = "No recent sentiment processing activity"
+LARGE_PROCESSING_BACKLOG_REVIEWS = "Large processing backlog: %d reviews pending"
+SLOW_SENTIMENT_PROCESSING_MS = "Slow sentiment processing: %sms average"
+REVIEWS_STUCK_IN_PROCESSING = "%d reviews stuck in processing queue"
+NO_RECENT_SCORING_DETECTED = "No recent sentiment processing detected"
+SLOW_PROCESSING_MS_AVERAGE = "Slow processing: %sms average"
+POSITIVE_REVIEWS_HAVE_NEGATIVE = "Positive reviews have negative avg score: %.3f"
+NEGATIVE_REVIEWS_HAVE_POSITIVE = "Negative reviews have positive avg score: %.3f"
+EXTREME_SENTIMENT_SKEW = "Extreme sentiment skew: %s%% %s"
+HIGH_LOW_CONFIDENCE_PREDICTIONS = "High low-confidence predictions: %s%%"
+PROCESSING_TIMEOUTS_DETECTED_REVIEWS = "Processing timeouts detected: %d reviews"
+SENTIMENT_CONSUMER_APPEARS_TO = "Sentiment consumer appears to be down - check service logs"
+MULTIPLE_QUALITY_ISSUES_DETECTED = "Multiple quality issues detected - review model performance"
+LOW_PROCESSING_RATE_CONSIDER = "Low processing rate - consider scaling up resources"
+CONSIDER_OPTIMIZING_LLM_BACKEND = "Consider optimizing LLM backend for faster processing"
+HIGH_REVIEW_VOLUME_MONITOR = "High review volume - monitor resource usage"
+NO_PLAYER_TRACKING_DATA = "No player tracking data found"
+NO_REVIEW_DATA_FOUND = "No review data found"
+NO_RECENT_DATA_COLLECTION = "No recent data collection - check data ingestion services"
+LOW_DATA_COLLECTION_RATE = "Low data collection rate - monitor API performance"
+CONSIDER_ADDING_MORE_GAMES = "Consider adding more games to tracking configuration"
 
 
 def fmt(pattern: str, *cols) -> Column:
@@ -53,9 +80,9 @@ def freshness_status(tables: dict[str, tuple[DataFrame, str]], as_of=None,
     m = F.nullif(F.col("minutes_since_update"), F.lit(0.0))
     stale = m.isNotNull() & (m > lim)
     status = F.when(stale, "stale").when(F.col("total_records") > 0, "healthy").otherwise("empty")
-    issue = (F.when(stale, fmt("%s: Data is %s minutes old (max: %d)", F.col("table_name"),
+    issue = (F.when(stale, fmt(DATA_IS_MINUTES_OLD, F.col("table_name"),
                                fmt("%.1f", half_even(m, 1)), lim))
-             .when(F.col("total_records") == 0, fmt("%s: No records found", F.col("table_name"))))
+             .when(F.col("total_records") == 0, fmt(NO_RECORDS_FOUND, F.col("table_name"))))
     return f.select("table_name", "total_records", "last_update",
                     half_even(m, 1).alias("minutes_since_update"), status.alias("status"),
                     issue.alias("issue"))
@@ -65,38 +92,37 @@ def completeness_issues(config: DataFrame, players: DataFrame, as_of=None) -> Da
     """L2: issue rows of the completeness rules (missing / low readings,
     anomalies, API latency)."""
     d3 = issues_frame(P.games_missing_data(config, players, as_of), "completeness", F.col("issue"))
-    an = W.player_anomalies(players, as_of)
-    a = issues_frame(an, "anomaly", fmt("%s: %s%% change detected at %s", F.col("game_name"),
+    an = W.player_anomalies(players, as_of, k=None)
+    a = issues_frame(an, "anomaly", fmt(CHANGE_DETECTED_AT, F.col("game_name"),
                                         F.col("change_pct"), F.date_format("timestamp", "HH:mm")))
     api = P.api_health(players, as_of)
     has = F.col("total_requests") > 0
     slow = issues_frame(api, "api", F.when(has & (F.col("avg_response_time") > 3000),
-                                           fmt("High API response times: %sms average",
+                                           fmt(HIGH_API_RESPONSE_TIMES,
                                                fmt("%.0f", half_even(F.col("avg_response_time"))))))
     deg = issues_frame(api, "api", F.when(has & (F.col("slow_pct") > 10),
-                                          fmt("API performance degraded: %s%% requests >10s",
+                                          fmt(API_PERFORMANCE_DEGRADED_REQUESTS,
                                               fmt("%.1f", half_even(F.col("slow_pct"), 1)))))
     return d3.unionByName(a).unionByName(slow).unionByName(deg)
 
 
 def sentiment_health(reviews: DataFrame, as_of=None, backlog: int = 50, slow_ms: float = 5000) -> DataFrame:
     """L3: scoring health over E13 and E14 (one row, fixed rule set)."""
-    ms = F.col("processing_time_ms")
-    win = reviews.filter((F.col("review_timestamp") > minus(as_of, hours=24))
-                         | (F.col("processed_timestamp") > minus(as_of, hours=2)))
-    b = win.agg(F.count_if(F.col("sentiment_label").isNotNull()).alias("recent_processed"),
-                F.count_if(F.col("sentiment_label").isNull() & F.col("review_text").isNotNull())
-                .alias("pending_reviews"),
-                F.avg(F.when(ms > 0, ms)).alias("avg_raw"))
-    st = S.stuck_reviews(reviews, as_of)
-    j = attach(b, st)
+    # One pass: each check is a conditional aggregate over the same rows.
+    ms, label = F.col("processing_time_ms"), F.col("sentiment_label")
+    recent = F.coalesce((F.col("review_timestamp") > minus(as_of, hours=24)) | (F.col("processed_timestamp") > minus(as_of, hours=2)), F.lit(False))
+    waiting = S.has_text(reviews) & label.isNull()
+    j = reviews.agg(F.count_if(recent & label.isNotNull()).alias("recent_processed"),
+                    F.count_if(recent & waiting).alias("pending_reviews"),
+                    F.avg(F.when(recent & (ms > 0), ms)).alias("avg_raw"),
+                    F.count_if(waiting & (F.col("review_timestamp") < minus(as_of, days=1))).alias("stuck_reviews"))
     issues = F.array_compact(F.array(
-        F.when(F.col("recent_processed") == 0, F.lit("No recent sentiment processing activity")),
+        F.when(F.col("recent_processed") == 0, F.lit(NO_RECENT_SENTIMENT_PROCESSING)),
         F.when(F.col("pending_reviews") > backlog,
-               fmt("Large processing backlog: %d reviews pending", F.col("pending_reviews"))),
+               fmt(LARGE_PROCESSING_BACKLOG_REVIEWS, F.col("pending_reviews"))),
         F.when(F.col("avg_raw") > slow_ms,
-               fmt("Slow sentiment processing: %sms average", fmt("%.0f", half_even(F.col("avg_raw"))))),
-        F.when(F.col("stuck_reviews") > 0, fmt("%d reviews stuck in processing queue", F.col("stuck_reviews")))))
+               fmt(SLOW_SENTIMENT_PROCESSING_MS, fmt("%.0f", half_even(F.col("avg_raw"))))),
+        F.when(F.col("stuck_reviews") > 0, fmt(REVIEWS_STUCK_IN_PROCESSING, F.col("stuck_reviews")))))
     return j.select((F.col("recent_processed") > 0).alias("processing_healthy"), "recent_processed",
                     "pending_reviews", F.round(F.coalesce("avg_raw", F.lit(0.0)), 2).alias("avg_processing_time"),
                     "stuck_reviews", issues.alias("issues"))
@@ -106,15 +132,23 @@ def quality_report(freshness: DataFrame, completeness: DataFrame, health: DataFr
     """L4: overall status over all issues: none -> HEALTHY; a critical word
     or more than 5 -> CRITICAL; else WARNING. Issue rows stay a frame (see
     ``report_issues``); the report row only counts them."""
-    issues = report_issues(freshness, completeness, health)
-    counts = issues.agg(F.count(F.lit(1)).alias("total_issues"),
-                        F.count_if(F.col("severity") == "critical").alias("critical_issues"))
-    fr = freshness.agg(F.count_if(F.col("issue").isNull()).alias("freshness_checks_passed"),
-                       F.count_if(F.col("issue").isNotNull()).alias("freshness_checks_failed"))
-    comp = completeness.agg(F.count(F.lit(1)).alias("completeness_issues"))
-    h = health.select(F.col("processing_healthy").alias("sentiment_processing_healthy"),
-                      F.col("pending_reviews").alias("pending_sentiment_reviews"))
-    j = attach(attach(attach(counts, fr), comp), h)
+    # Every part is computed once: its rows, passing checks with a NULL
+    # message included, go into one aggregate.
+    source, message = F.col("source"), F.col("message")
+    flags = F.struct(F.col("processing_healthy").alias("healthy"), F.col("pending_reviews").alias("pending"))
+    none = F.lit(None).cast("struct<healthy:boolean,pending:bigint>")
+    rows = (freshness.select(F.lit("freshness").alias("source"), F.col("issue").alias("message"), none.alias("flags"))
+            .union(completeness.select("source", "message", none))
+            .union(health.select(F.lit("sentiment"), F.explode(F.concat(F.array(F.lit(None).cast("string")), "issues")), flags)))
+    issue = message.isNotNull()
+    j = rows.agg(F.count("message").alias("total_issues"),
+                 F.count_if(issue & (severity(message) == "critical")).alias("critical_issues"),
+                 F.count_if((source == "freshness") & ~issue).alias("freshness_checks_passed"),
+                 F.count_if((source == "freshness") & issue).alias("freshness_checks_failed"),
+                 F.count_if(source.isin("completeness", "anomaly", "api")).alias("completeness_issues"),
+                 F.max("flags").alias("flags"))
+    j = j.select("*", F.col("flags.healthy").alias("sentiment_processing_healthy"),
+                 F.col("flags.pending").alias("pending_sentiment_reviews"))
     status = (F.when(F.col("total_issues") == 0, "HEALTHY")
               .when((F.col("critical_issues") > 0) | (F.col("total_issues") > 5), "CRITICAL")
               .otherwise("WARNING"))
@@ -133,9 +167,9 @@ def scorer_health(reviews: DataFrame, as_of=None, slow_ms: float = 10000) -> Dat
     """E15 plus health flag and issues."""
     a = S.scorer_activity(reviews, as_of)
     issues = F.array_compact(F.array(
-        F.when(F.col("recent_reviews") == 0, F.lit("No recent sentiment processing detected")),
+        F.when(F.col("recent_reviews") == 0, F.lit(NO_RECENT_SCORING_DETECTED)),
         F.when(F.col("avg_processing_time") > slow_ms,
-               fmt("Slow processing: %sms average", fmt("%.0f", half_even(F.col("avg_processing_time")))))))
+               fmt(SLOW_PROCESSING_MS_AVERAGE, fmt("%.0f", half_even(F.col("avg_processing_time")))))))
     return a.select((F.col("recent_reviews") > 0).alias("consumer_healthy"), "recent_reviews",
                     "avg_processing_time", "processing_rate", issues.alias("issues"))
 
@@ -143,33 +177,51 @@ def scorer_health(reviews: DataFrame, as_of=None, slow_ms: float = 10000) -> Dat
 def score_quality_issues(reviews: DataFrame, as_of=None, skew_pct: float = 80,
                          low_conf_pct: float = 20) -> DataFrame:
     """Issue rows from the score distribution (E16), low-confidence share
-    (E17) and time-outs (E18)."""
-    d = S.score_distribution(reviews, as_of)
-    lab = F.col("sentiment_label")
-    pos = issues_frame(d, "distribution", F.when((lab == "positive") & (F.col("avg_score") < 0),
-                       fmt("Positive reviews have negative avg score: %.3f", half_even(F.col("avg_score"), 3))))
-    neg = issues_frame(d, "distribution", F.when((lab == "negative") & (F.col("avg_score") > 0),
-                       fmt("Negative reviews have positive avg score: %.3f", half_even(F.col("avg_score"), 3))))
-    skew = issues_frame(d, "distribution", F.when(F.col("percentage") > skew_pct,
-                        fmt("Extreme sentiment skew: %s%% %s", fmt("%.1f", half_even(F.col("percentage"), 1)), lab)))
-    lc = S.low_confidence_share(reviews, as_of)
-    low = issues_frame(lc, "confidence", F.when((F.col("low_confidence_count") > 0) & (F.col("pct") > low_conf_pct),
-                       fmt("High low-confidence predictions: %s%%", fmt("%.1f", half_even(F.col("pct"), 1)))))
-    to = S.scoring_timeouts(reviews, as_of)
-    tmo = issues_frame(to, "timeouts", F.when(F.col("timeout_count") > 0,
-                       fmt("Processing timeouts detected: %d reviews", F.col("timeout_count"))))
-    return pos.unionByName(neg).unionByName(skew).unionByName(low).unionByName(tmo)
+    (E17) and time-outs (E18): one pass to a row per label, from which every
+    rule reads."""
+    lab, n = F.col("sentiment_label"), F.col("n")
+    labels = (reviews.filter(F.col("processed_timestamp") > minus(as_of, hours=24)).groupBy("sentiment_label").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("sentiment_score").alias("avg_score"),
+        F.count_if(F.col("sentiment_confidence") < 0.3).alias("low"),
+        F.count_if(F.col("processing_time_ms") > 30000).alias("slow")))
+    row = F.struct("sentiment_label", "n", "avg_score", "low", "slow")
+    one = labels.agg(F.sort_array(F.collect_list(row)).alias("g"))  # a row per label: bounded
+    add = lambda field, only: F.aggregate(F.filter("g", only), F.lit(0).cast("long"), lambda a, x: a + x[field])
+    named = lambda x: x["sentiment_label"].isNotNull()
+    one = one.select("g", add("n", named).alias("total"), add("low", named).alias("low"), add("slow", lambda x: F.lit(True)).alias("slow"))
+    share = lambda part: F.try_divide(part.cast("double"), F.col("total").cast("double")) * 100
+
+    def per_label(x):
+        score, pct = half_even(x["avg_score"], 3), half_even(share(x["n"]), 1)
+        is_ = lambda v: x["sentiment_label"] == v
+        return F.array(
+            F.when(is_("positive") & (x["avg_score"] < 0), fmt(POSITIVE_REVIEWS_HAVE_NEGATIVE, score)),
+            F.when(is_("negative") & (x["avg_score"] > 0), fmt(NEGATIVE_REVIEWS_HAVE_POSITIVE, score)),
+            F.when(share(x["n"]) > skew_pct, fmt(EXTREME_SENTIMENT_SKEW, fmt("%.1f", pct), x["sentiment_label"])))
+    low_pct = F.coalesce(share(F.col("low")), F.lit(0.0))
+    low = F.when((F.col("low") > 0) & (low_pct > low_conf_pct), fmt(HIGH_LOW_CONFIDENCE_PREDICTIONS, fmt("%.1f", half_even(low_pct, 1))))
+    slow = F.when(F.col("slow") > 0, fmt(PROCESSING_TIMEOUTS_DETECTED_REVIEWS, F.col("slow")))
+    tag = lambda source, m: F.struct(F.lit(source).alias("source"), m.alias("message"))
+    found = F.concat(F.transform(F.flatten(F.transform(F.filter("g", named), per_label)), lambda m: tag("distribution", m)),
+                     F.array(tag("confidence", low), tag("timeouts", slow)))
+    rows = one.select(F.inline(F.filter(found, lambda x: x["message"].isNotNull())))
+    return rows.withColumn("severity", severity(F.col("message")))
 
 
 def insights_document(reviews: DataFrame, as_of=None) -> DataFrame:
     """One row with the bounded top lists (5, 5, 24 rows), volume and
     class, plus its JSON form."""
-    def lst(df, name):
-        return df.agg(F.collect_list(F.struct(*df.columns)).alias(name))
+    def lst(df, name, *order):
+        """The rows in their order: gathered with their rank and sorted by it
+        (a list keeps no order of its own)."""
+        ranked = df.withColumn("_rank", F.row_number().over(Window.orderBy(*order)))  # 24 rows at most
+        rows = F.sort_array(F.collect_list(F.struct("_rank", F.struct(*df.columns).alias("row"))))
+        return ranked.agg(F.transform(rows, lambda x: x["row"]).alias(name))
+    tie = (F.desc("review_count"), "app_id", "game_name")
     doc = attach(attach(attach(
-        lst(S.top_positive_games(reviews, as_of), "top_positive_games"),
-        lst(S.top_negative_games(reviews, as_of), "top_negative_games")),
-        lst(S.sentiment_trend_24h(reviews, as_of), "sentiment_trends")),
+        lst(S.top_positive_games(reviews, as_of), "top_positive_games", F.desc("avg_sentiment"), *tie),
+        lst(S.top_negative_games(reviews, as_of), "top_negative_games", F.asc("avg_sentiment"), *tie)),
+        lst(S.sentiment_trend_24h(reviews, as_of), "sentiment_trends", F.desc("hour"))),
         S.overall_sentiment(reviews, as_of).select("review_volume", "overall_sentiment"))
     return doc.withColumn("insights_json", F.to_json(F.struct(*doc.columns)))
 
@@ -184,13 +236,13 @@ def scoring_pipeline_report(reviews: DataFrame, as_of=None, max_issues: int = 5,
     healthy, n, rate = F.col("consumer_healthy"), F.col("total_issues"), F.col("processing_rate")
     status = (F.when(~healthy, "CRITICAL").when(n > max_issues, "WARNING")
               .when(rate < min_rate, "WARNING").otherwise("HEALTHY"))
-    first = (F.when(~healthy, F.lit("Sentiment consumer appears to be down - check service logs"))
-             .when(n > max_issues, F.lit("Multiple quality issues detected - review model performance"))
-             .when(rate < min_rate, F.lit("Low processing rate - consider scaling up resources")))
+    first = (F.when(~healthy, F.lit(SENTIMENT_CONSUMER_APPEARS_TO))
+             .when(n > max_issues, F.lit(MULTIPLE_QUALITY_ISSUES_DETECTED))
+             .when(rate < min_rate, F.lit(LOW_PROCESSING_RATE_CONSIDER)))
     recs = F.array_compact(F.array(
         first,
-        F.when(F.col("avg_processing_time") > slow_ms, F.lit("Consider optimizing LLM backend for faster processing")),
-        F.when(F.col("review_volume") > high_volume, F.lit("High review volume - monitor resource usage"))))
+        F.when(F.col("avg_processing_time") > slow_ms, F.lit(CONSIDER_OPTIMIZING_LLM_BACKEND)),
+        F.when(F.col("review_volume") > high_volume, F.lit(HIGH_REVIEW_VOLUME_MONITOR))))
     return j.select(status.alias("pipeline_status"), "total_issues",
                     F.col("recent_reviews").alias("reviews_processed"),
                     F.round(rate, 2).alias("processing_rate"), "overall_sentiment", "review_volume",
@@ -204,8 +256,8 @@ def source_health(players: DataFrame, reviews: DataFrame, config: DataFrame) ->
     c = P.config_stats(config)
     j = attach(attach(p, r), c)
     issues = F.array_compact(F.array(
-        F.when(F.col("total_records") == 0, F.lit("No player tracking data found")),
-        F.when(F.col("total_reviews") == 0, F.lit("No review data found"))))
+        F.when(F.col("total_records") == 0, F.lit(NO_PLAYER_TRACKING_DATA)),
+        F.when(F.col("total_reviews") == 0, F.lit(NO_REVIEW_DATA_FOUND))))
     n = F.size(issues)
     status = F.when(n == 0, "HEALTHY").when(n <= 2, "WARNING").otherwise("CRITICAL")
     return j.select(
@@ -222,9 +274,9 @@ def monitoring_summary(players: DataFrame, as_of=None, low_rows: int = 50, min_g
     d = P.pipeline_summary_stats(players, as_of)
     rec = F.col("recent_player_records")
     recs = F.array_compact(F.array(
-        F.when(rec == 0, F.lit("No recent data collection - check data ingestion services"))
-        .when(rec < low_rows, F.lit("Low data collection rate - monitor API performance")),
-        F.when(F.col("active_games") < min_games, F.lit("Consider adding more games to tracking configuration"))))
+        F.when(rec == 0, F.lit(NO_RECENT_DATA_COLLECTION))
+        .when(rec < low_rows, F.lit(LOW_DATA_COLLECTION_RATE)),
+        F.when(F.col("active_games") < min_games, F.lit(CONSIDER_ADDING_MORE_GAMES))))
     return d.select(rec.alias("recent_activity_24h"), "active_games",
                     F.coalesce(F.bround("avg_player_count", 0), F.lit(0.0)).alias("avg_player_count"),
                     F.coalesce("peak_player_count", F.lit(0)).alias("peak_player_count"),

@@ -1,21 +1,19 @@
-"""SparkSession construction and cluster-safe defaults.
+"""SparkSession construction.
 
-Everything here is plain Spark configuration: AQE on (runtime coalescing,
-skew-join splitting, runtime broadcast decisions based on *measured* shuffle
-sizes), UTC session time zone (the tables hold naive UTC timestamps), Arrow for
-pandas exchange, and the UI off.
+Plain Spark configuration: AQE on (coalescing, skew-join splitting, broadcast
+joins decided on measured shuffle sizes), UTC session time zone (the tables
+hold naive UTC timestamps), Arrow for pandas exchange, and the UI off. The
+number of shuffle partitions stays the cluster's own unless given: AQE
+coalesces but never raises it.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
-# Runtime broadcast ceiling. AQE only turns a join into a broadcast join after
-# the build side has been materialised and measured below this size, so what we
-# broadcast is always size-checked at runtime, never guessed.
+# AQE turns a join into a broadcast join after the build side has been
+# written and measured below this size; the static, estimated threshold stays
+# at Spark's default.
 BROADCAST_CEILING = "64MB"
 
 
@@ -25,51 +23,20 @@ def build_session(master: str | None = None, app: str = "tidewatch",
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    parts = shuffle_partitions or int(os.environ.get("TIDEWATCH_SHUFFLE_PARTITIONS", "8"))
     conf = {
         "spark.ui.enabled": "false",
         "spark.sql.session.timeZone": "UTC",
-        "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": BROADCAST_CEILING,
-        "spark.sql.autoBroadcastJoinThreshold": BROADCAST_CEILING,
-        "spark.sql.files.maxPartitionBytes": "128MB",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.sql.parquet.filterPushdown": "true",
     }
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``. Only a local-mode session (tests, bench) with no
-    setting gets a private scratch folder; a cluster without the setting is an
-    error, because a machine-local folder would not survive executor loss."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    scratch = tempfile.mkdtemp(prefix="tidewatch-ckpt-")
-    sc.setCheckpointDir(scratch)
-    return sc.getCheckpointDir()
-
-
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written tables
-    (versioned merge outputs, dead letters, stream checkpoints)."""
-    base = ensure_checkpoint_dir(spark)
-    return base.rstrip("/") + "/" + name

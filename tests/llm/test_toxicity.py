@@ -12,7 +12,8 @@ from tidewatch.llm.toxicity import _LETTER, _PLACE, LENGTHS, features, score, tr
 from .helpers import DOCS, clashing, hard_docs
 
 LABELS = "doc_id long, quality int, toxic int"
-CATEGORIES = {"low_quality": F.col("quality") == 0, "toxic": F.col("toxic") == 1}
+def categories():
+    return {"low_quality": F.col("quality") == 0, "toxic": F.col("toxic") == 1}
 
 
 def corpus(n, seed=1):
@@ -48,7 +49,7 @@ def test_features_are_the_beginnings_of_words():
 def test_toxic_documents_are_caught_and_clean_ones_left_alone(spark):
     rows, labels = corpus(1500)
     docs = spark.createDataFrame(rows, DOCS)
-    chain = train_chain(docs, spark.createDataFrame(labels[:800], LABELS), CATEGORIES)
+    chain = train_chain(docs, spark.createDataFrame(labels[:800], LABELS), categories())
     got = {r.doc_id: r for r in score(docs, chain).collect()}
     truth = {i: bool(t) for i, _, t in labels[800:]}
     caught = sum(got[i].toxic for i, t in truth.items() if t) / sum(truth.values())
@@ -72,7 +73,7 @@ def test_hard_rows(spark):
     rows, labels = corpus(300)
     docs = clashing(spark, [*rows[:200], *((r[0] if r[0] is None else r[0] + 10_000, *r[1:]) for r in hard_docs())])
     odd = [*labels, (0, None, None), (None, 1, 1), (1, *labels[1][1:]), (77_777, 1, 1)]
-    chain = train_chain(docs, spark.createDataFrame(odd, LABELS), CATEGORIES)
+    chain = train_chain(docs, spark.createDataFrame(odd, LABELS), categories())
     got = score(docs, chain).collect()
     assert len(got) == docs.count()
     assert not any(r.toxic for r in got if r.doc_id in (10_000, 10_001, 10_002))
@@ -81,6 +82,6 @@ def test_hard_rows(spark):
 
 def test_no_labels_and_empty_table(spark):
     docs = spark.createDataFrame(corpus(20)[0], DOCS)
-    chain = train_chain(docs, spark.createDataFrame([], LABELS), CATEGORIES)
+    chain = train_chain(docs, spark.createDataFrame([], LABELS), categories())
     assert not any(r.toxic or r.low_quality for r in score(docs, chain).collect())
     assert score(spark.createDataFrame([], DOCS), chain).collect() == []

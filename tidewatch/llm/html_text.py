@@ -105,9 +105,11 @@ def lines_of(html: str) -> list[tuple[str, bool]]:
         if m[1]:
             for k in range(len(open_tags) - 1, -1, -1):
                 if open_tags[k][0] == tag:
-                    close()
                     del open_tags[k:]
-                    skipped, article = open_tags[-1][1:] if open_tags else (False, False)
+                    now = open_tags[-1][1:] if open_tags else (False, False)
+                    if now != (skipped, article):
+                        close()
+                    skipped, article = now
                     break
             continue
         if tag in RAW:

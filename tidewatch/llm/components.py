@@ -25,7 +25,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     moved = near.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     if not large:
         moved = moved.union(least.select("u", F.col("m").alias("v")))
-    return moved.where("u != v").distinct()
+    return moved.where("u != v")
 
 
 def components(edges: DataFrame, x: str, y: str) -> DataFrame:
@@ -38,6 +38,6 @@ def components(edges: DataFrame, x: str, y: str) -> DataFrame:
         if state == before:
             break
         before = state
-        now = staged(_star(_star(now, True), False), "cc")
+        now = staged(_star(_star(now, True), False).distinct(), "cc")
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         now.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()

@@ -13,7 +13,8 @@ link:
   more than ``e`` empty parts, and then their empty parts count as well (e is
   set so that hardly any node has more). A tile's key is (band, part, sum of
   the part's tokens). Small sets, which differ from linked ones in one token
-  at most, have as keys the set and the set without each one token.
+  at most, have as keys the set and, where that can link, the set without
+  each one token.
 * **Bitmaps.** Pairs of a tile are first bounded by bit counts: every token
   sets one of 1,024 bits, and ``|x & y| <= (|x| + |y| - |bx ^ by|) / 2``.
 * **Exact.** What is left is decided by intersecting the sorted token arrays.
@@ -54,6 +55,8 @@ CHUNK_BYTES = 4 << 20
 CHUNK_ROWS = 4096
 #: Nodes on a side of a block in the comparison across components.
 BLOCK = 2048
+#: Rows of a tile up to which it is gathered whole, to compare equal tiles once.
+SMALL_TILE = 64
 #: Packed tile keys that one task of the exchange takes, on average.
 TASK_KEYS = 4 << 20
 _TOKEN_BYTES = TOKEN_BITS // 8
@@ -201,7 +204,7 @@ def tile_keys(tokens: np.ndarray, bounds: np.ndarray, t: Threshold) -> tuple[np.
     spread = mix(mix(tokens) + np.uint64(1))
     total = np.add.reduceat(spread, bounds[:-1])
     few = sizes <= t.partner(small - 1)
-    mine = few[owner]
+    mine = (few & t.links(sizes, sizes - 1, sizes - 1))[owner]  # those that can link with a set of one token less
     keys = [mix(total[few]), mix(total[owner[mine]] - spread[mine])]
     sets = [np.flatnonzero(few), owner[mine]]
     large = np.flatnonzero(sizes >= small)
@@ -336,34 +339,46 @@ def _exactly(t: Threshold):
 def _across(t: Threshold):
     """Blocks, one after the other: each stray against the block's nodes of
     other components; pairs that the bit counts allow."""
-    def close(held: list[pa.RecordBatch]):
-        rows = pa.Table.from_batches(held).combine_chunks()
-        bits = _words(rows.column("bits").combine_chunks())
-        n, comp, node, side = (rows.column(c).to_numpy() for c in ("n", "comp", "node", "side"))
+    def pairs(block: tuple[np.ndarray, ...]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        n, comp, node, side, bits = block
         ys = np.flatnonzero(side == 1)
-        for x in np.flatnonzero(side == 0).tolist():
+        for x in np.flatnonzero(side == 0):
             near = ys[(comp[ys] != comp[x]) & (t.den * np.minimum(n[ys], n[x]) >= t.num * np.maximum(n[ys], n[x]))]
-            hit = node[near[_bound(t, n[x], n[near], bits[x], bits[near])]]
-            if len(hit):
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(hit, node[x])), pa.array(np.maximum(hit, node[x]))], names=["x", "y"])
+            if len(near):
+                hit = node[near[_bound(t, n[x], n[near], bits[x], bits[near])]]
+                yield np.minimum(hit, node[x]), np.maximum(hit, node[x])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+        held: tuple[np.ndarray, ...] = ()
         last = None
         for b in batches:
+            if not len(b):
+                continue
             key = b.column("block").to_numpy()
-            cuts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(b)] if len(b) else [0]
+            rows = (*(b.column(c).to_numpy() for c in ("n", "comp", "node", "side")), _words(b.column("bits")))
+            cuts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(b)]
+            out: list[tuple[np.ndarray, np.ndarray]] = []
             for i, j in zip(cuts, cuts[1:], strict=False):
-                if held and key[i] != last:
-                    yield from close(held)
-                    held = []
-                held.append(b.slice(i, j - i))
+                part = tuple(c[i:j] for c in rows)
+                if held and key[i] == last:
+                    held = tuple(np.concatenate(c) for c in zip(held, part, strict=True))
+                else:
+                    out += pairs(held) if held else ()
+                    held = part
                 last = key[i]
-        if held:
-            yield from close(held)
+            held = tuple(c.copy() for c in held)
+            if out:
+                yield _pair_batch(out)
+        if held and (out := list(pairs(held))):
+            yield _pair_batch(out)
     return run
 
 
+def _pair_batch(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    x, y = (np.concatenate(c) for c in zip(*found, strict=True))
+    return pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names=["x", "y"])
+
+
 class _Join:
     """The steps of the join over one table of documents."""
 
@@ -395,7 +410,7 @@ class _Join:
         """Pairs of nodes that do link, by their whole sets."""
         nodes = pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()
         sets = (self.rows.mapInArrow(_sets(self.t.width), "node long, tokens binary")
-                .join(nodes, "node", "left_semi").dropDuplicates(["node"]))
+                .join(nodes.hint("merge"), "node", "left_semi").dropDuplicates(["node"]))  # one plan at every size
         return (pairs.join(sets.toDF("x", "tx"), "x").join(sets.toDF("y", "ty"), "y")
                 .select("x", "y", "tx", "ty").mapInArrow(_exactly(self.t), _PAIR))
 
@@ -406,12 +421,20 @@ class _Join:
         return pairs.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct()
 
     def across(self, tiles: DataFrame, labels: DataFrame) -> DataFrame:
-        """Pairs across components within the tiles that hold several."""
+        """Pairs across components within the tiles that hold several. A tile
+        of two nodes has been decided by its star. Small tiles with the same
+        nodes (near sets that do not link share many) are compared once."""
         comp = (self.places.join(labels, "node", "left")
                 .select("place", "node", F.coalesce("component", "node").alias("comp")))
-        mixed = (tiles.join(comp, "place").groupBy("tile").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-                 .where("low != high").select("tile"))
-        named = tiles.select("tile", "place").join(mixed, "tile").join(comp, "place").select("tile", "node", "comp").distinct()
+        mixed = (tiles.join(comp, "place").groupBy("tile").agg(
+            F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("rows"))
+            .where("low != high and rows > 2").select("tile", "rows"))
+        named = tiles.select("tile", "place").join(mixed, "tile").join(comp, "place").select("tile", "rows", "node", "comp")
+        small = (named.where(F.col("rows") <= SMALL_TILE).groupBy("tile").agg(F.sort_array(F.collect_set(F.struct("node", "comp"))).alias("g"))
+                 .where(F.size("g") > 2).select("g").distinct())
+        small = small.select(F.xxhash64("g").alias("tile"), F.inline("g")).select("tile", "node", "comp")
+        named = named.where(F.col("rows") > SMALL_TILE).select("tile", "node", "comp").distinct().union(small)
+        named = staged(named, "ngram-mixed")
         sizes = named.groupBy("tile", "comp").agg(F.count("*").alias("m")).groupBy("tile").agg(
             F.sum("m").alias("size"), F.max(F.struct("m", "comp"))["comp"].alias("main"))
         rest = named.join(sizes, "tile").join(self.bits, "node")

@@ -231,10 +231,12 @@ def train_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, Column
     candidates = (positive.mapInArrow(_positive_features, "feature long").groupBy("feature").agg(F.count("*").alias("n"))
                   .where(F.col("n") >= MIN_DOCS).orderBy(F.desc("n"), "feature").limit(50 * FEATURES).select("feature").toPandas())
     kept = np.sort(candidates["feature"].to_numpy().astype(np.uint64))
-    got = sample.mapInArrow(_present(kept), "labels array<int>, present array<int>").toPandas()
-    truth_of = np.array(got["labels"].tolist(), dtype=int).reshape(len(got), len(categories))
-    cols = np.concatenate([np.zeros(0, int), *got["present"]]).astype(np.int64)
-    rows = np.repeat(np.arange(len(got)), [len(x) for x in got["present"]])
+    got = sample.mapInArrow(_present(kept), "labels array<int>, present array<int>").toArrow().combine_chunks()
+    truth_of = np.array(got.column("labels").to_pylist(), dtype=int).reshape(len(got), len(categories))
+    present = pa.concat_arrays(got.column("present").chunks) if len(got) else pa.array([], pa.list_(pa.int32()))
+    cols = present.flatten().to_numpy()
+    rows = np.repeat(np.arange(len(present), dtype=np.int32), present.value_lengths().to_numpy())
+    del got, present
     best = _select(rows, cols, len(kept), truth_of, FEATURES) if len(kept) else np.zeros(0, np.int64)
     number = np.full(len(kept) + 1, -1)
     number[best] = np.arange(len(best))

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextvars import ContextVar
 
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,20 +33,45 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_SCOPE: ContextVar[list | None] = ContextVar("scope", default=None)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: lineage ends here,
     so a lost executor costs no recomputation of what came before and rows
     keep the values they were written with. The folder goes when the session
-    ends."""
+    ends, or with its :class:`Scratch`."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    hadoop = jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.deleteOnExit(hadoop)
+    if (scope := _SCOPE.get()) is not None:
+        scope.append((fs, hadoop))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """The tables staged within ``with scratch:``; ``clear`` removes them,
+    once all that reads them has been written elsewhere."""
+
+    def __init__(self):
+        self.tables: list = []
+
+    def __enter__(self) -> Scratch:
+        self._token = _SCOPE.set(self.tables)
+        return self
+
+    def __exit__(self, *_) -> None:
+        _SCOPE.reset(self._token)
+
+    def clear(self) -> None:
+        for fs, path in self.tables:
+            fs.delete(path, True)
+        self.tables.clear()
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once per row: as the variable
     of a one-element transform it cannot be copied into inner lambdas, where
@@ -56,3 +84,17 @@ def with_row_id(docs: DataFrame, name: str = "__row") -> DataFrame:
     plain scan (files or a local relation), so that every reading of it deals
     out the same rows in the same order."""
     return docs.withColumn(name, F.monotonically_increasing_id())
+
+
+def slices(batches, column: str, most_bytes: int = 4 << 20):
+    """The Arrow batches in slices of about so many bytes of a text or binary
+    column, and one row at least, so that Python objects stay few."""
+    for b in batches:
+        sizes = pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes, dtype=np.int64)
+        at = 0
+        while at < len(b):
+            start = ends[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(ends, start + most_bytes, side="right")))
+            yield b.slice(at, end - at)
+            at = end

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SPACES, staged, with_row_id
+from .common import SPACES, slices, staged, with_row_id
 
 TABLE_BYTES = 64 << 20
 _DELETED = SPACES.encode()
@@ -131,7 +131,7 @@ def _local_groups(table_bytes: int):
             state["table"] = ContentTable(table_bytes)
             sizes.clear(), best.clear(), digests.clear()
 
-        for batch in batches:
+        for batch in slices(batches, "text"):
             rows, docs, chars, texts = (c.to_pylist() for c in batch.columns)
             own: list[int] = []
             shas: list[bytes] = []
@@ -177,7 +177,7 @@ def _merge_groups(table_bytes: int):
         names = [f.split()[0] for f in MERGED.split(", ")]
         types = {"part": pa.int32(), "level_row": pa.bool_(), "sha": pa.binary(), "content": pa.binary()}
         schema = pa.schema([(n, types.get(n, pa.int64())) for n in names])
-        for batch in batches:
+        for batch in slices(batches, "content"):
             over = []
             for at, r in enumerate(zip(*(batch.column(n).to_pylist() for n in (
                     "part", "class", "sha", "size", "best_chars", "best_doc", "best_row", "content")), strict=True)):
@@ -267,7 +267,7 @@ def _winners(schema: T.StructType, table_bytes: int, text: str, local: bool):
                 yield pa.RecordBatch.from_pylist(rows[k:k + 256], schema=arrow)
             rows.clear(), best.clear()
 
-        for batch in batches:
+        for batch in slices(batches, text):
             for r in batch.to_pylist():
                 content = normalised((r[text] or "").encode())
                 r["sha"] = hashlib.sha256(content).digest()

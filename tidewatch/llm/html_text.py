@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import staged, with_row_id
+from .common import slices, staged, with_row_id
 from .url_filter import host, path
 
 # Elements without a closing tag, elements that are never text,
@@ -152,7 +152,7 @@ def common_lines(a: list[int], b: list[int]) -> set[int]:
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in slices(batches, "html"):
         texts, main, hashes = [], [], []
         for html in b.column("html"):
             lines = lines_of(html.as_py() or "")
@@ -167,11 +167,9 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         texts = []
-        for lines, main, own, near in zip(*(b.column(c).to_pylist() for c in ("lines", "main", "hashes", "near")), strict=True):
+        for lines, own, near in zip(*(b.column(c).to_pylist() for c in ("lines", "hashes", "near")), strict=True):
             shared = common_lines(own, near) if near else set()
-            declared = any(main)
-            texts.append("\n\n".join(x for i, (x, m) in enumerate(zip(lines, main, strict=True))
-                                     if m or not declared and i not in shared))
+            texts.append("\n\n".join(x for i, x in enumerate(lines) if i not in shared))
         yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("page_id", "url")), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
 
@@ -208,7 +206,12 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
     parsed = staged(rows.mapInArrow(_parse, "row long, page_id long, url string, host string, path string, lines array<string>, "
                                             "main array<boolean>, hashes array<long>"), "html-lines")
     pairs = neighbours(parsed.select("row", "host", "path", "page_id"))
-    # only pages with lines outside a declared article need their neighbour's
-    near = pairs.join(parsed.select(F.col("row").alias("neighbour"), F.col("hashes").alias("near")), "neighbour").select("row", "near")
-    joined = parsed.select("row", "page_id", "url", "lines", "main", "hashes").join(near, "row", "left")
-    return joined.select("page_id", "url", "lines", "main", "hashes", "near").mapInArrow(_difference, "page_id long, url string, text string")
+    # a page that declares its article keeps just that: it meets no neighbour and no exchange
+    declared = F.exists("main", lambda m: m)
+    article = F.filter("lines", lambda x, i: F.get("main", i))
+    whole = parsed.where(declared).select("page_id", "url", F.array_join(article, "\n\n").alias("text"))
+    rest = parsed.where(~declared).select("row", "page_id", "url", "lines", "hashes")
+    near = pairs.join(rest.select("row"), "row", "left_semi").join(
+        parsed.select(F.col("row").alias("neighbour"), F.col("hashes").alias("near")), "neighbour").select("row", "near")
+    rest = rest.join(near, "row", "left").select("page_id", "url", "lines", "hashes", "near")
+    return whole.union(rest.mapInArrow(_difference, "page_id long, url string, text string"))

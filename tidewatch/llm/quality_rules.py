@@ -31,6 +31,8 @@ from .common import SPACES, WORD, let, staged
 
 #: Most of a stratum's good documents that may be rejected, and the chance that any stratum loses more.
 ALPHA, DELTA = 0.01, 0.05
+#: Certified strata (a short string and a number each) up to which their cutoffs are broadcast.
+FEW_STRATA = 10_000
 #: Rule measures and their ascending cutoffs, loosest last.
 LEVELS = 8
 RULES = {
@@ -130,8 +132,8 @@ def cutoffs(measured: DataFrame, labels: DataFrame, key: str, alpha: float = ALP
     tried = tried.groupBy("stratum", "cutoff").agg(
         F.sum(F.when(good, F.col("m")).otherwise(0)).alias("n"), F.sum(F.when(good, hit).otherwise(0)).alias("x"),
         F.sum(F.when(~good, hit).otherwise(0)).alias("caught"))
-    strata = held.agg(F.count_distinct("stratum").alias("strata"))
-    tried = tried.join(F.broadcast(strata)).withColumn("p", binomial_tail(F.col("n"), F.col("x"), alpha))  # strata: one row
+    strata = held.agg(F.count_distinct("stratum").alias("strata")).scalar()
+    tried = tried.withColumns({"p": binomial_tail(F.col("n"), F.col("x"), alpha), "strata": strata})
     down = Window.partitionBy("stratum").orderBy(F.col("cutoff").desc())
     certified = tried.withColumn("ok", F.min((F.col("p") * F.col("strata") <= delta).cast("int")).over(down)).where("ok = 1")
     best = certified.groupBy("stratum").agg(F.max(F.struct("caught", "cutoff")).alias("b"))
@@ -154,6 +156,9 @@ def judge(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
 def _decide(rows: DataFrame, labels: DataFrame, key: str, alpha: float, delta: float) -> DataFrame:
     cuts = cutoffs(rows.select(F.col(key), "stratum", "level", "base"), labels, key, alpha, delta)
     kept = ~F.col("base") & ~F.coalesce(F.col("level") >= F.col("cutoff"), F.lit(False))
+    cuts = staged(cuts, "quality-cutoffs")
+    if cuts.count() <= FEW_STRATA:  # documents stay where they are; else they meet their stratum in an exchange
+        cuts = F.broadcast(cuts)
     return rows.join(cuts, "stratum", "left").withColumn("kept", kept)
 
 

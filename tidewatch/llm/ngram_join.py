@@ -23,7 +23,8 @@ Groups are never paired off in full. Each chunk of an input partition links
 the nodes of a tile to its first one, and an exchange of packed keys links
 those firsts to each other, so a tile meets at most once per chunk. After
 these stars are verified and joined up, only tiles that still hold more than
-one component compare nodes across components, in blocks of bounded size.
+one component compare nodes across components, in blocks of bounded size:
+each stray's likeliest pair first, then all pairs that are left.
 
 ``docs`` must be a plain scan (files or a local relation): it is read more
 than once, and its rows are named by partition and position.
@@ -336,16 +337,22 @@ def _exactly(t: Threshold):
     return run
 
 
-def _across(t: Threshold):
+def _across(t: Threshold, best: bool):
     """Blocks, one after the other: each stray against the block's nodes of
-    other components; pairs that the bit counts allow."""
+    other components; the pairs that the bit counts allow, or of each stray
+    the one that they bound highest."""
     def pairs(block: tuple[np.ndarray, ...]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         n, comp, node, side, bits = block
         ys = np.flatnonzero(side == 1)
         for x in np.flatnonzero(side == 0):
             near = ys[(comp[ys] != comp[x]) & (t.den * np.minimum(n[ys], n[x]) >= t.num * np.maximum(n[ys], n[x]))]
             if len(near):
-                hit = node[near[_bound(t, n[x], n[near], bits[x], bits[near])]]
+                both = n[x] + n[near]
+                most = (both - np.bitwise_count(bits[x] ^ bits[near]).sum(axis=-1, dtype=np.int64)) // 2
+                allowed = t.links(n[x], n[near], most)
+                if best and allowed.any():
+                    allowed = np.argmax(np.where(allowed, most / (both - most), -1))[None]
+                hit = node[near[allowed]]
                 yield np.minimum(hit, node[x]), np.maximum(hit, node[x])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -406,11 +413,15 @@ class _Join:
         x, y = self.bits.toDF("x", "nx", "bx"), self.bits.toDF("y", "ny", "by")
         return (pairs.join(x, "x").join(y, "y").select("x", "y", "nx", "ny", "bx", "by").mapInArrow(_by_bits(self.t), _PAIR))
 
-    def exact(self, pairs: DataFrame) -> DataFrame:
+    def sets_of(self, tiles: DataFrame) -> DataFrame:
+        """The sets of all nodes that share a tile with another: one scan, one
+        exchange, and the same plan at every size."""
+        nodes = self.places.join(tiles.select("place").distinct(), "place", "left_semi").select("node").distinct()
+        sets = self.rows.mapInArrow(_sets(self.t.width), "node long, tokens binary")
+        return staged(sets.join(nodes.hint("merge"), "node", "left_semi").dropDuplicates(["node"]), "ngram-sets")
+
+    def exact(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """Pairs of nodes that do link, by their whole sets."""
-        nodes = pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()
-        sets = (self.rows.mapInArrow(_sets(self.t.width), "node long, tokens binary")
-                .join(nodes.hint("merge"), "node", "left_semi").dropDuplicates(["node"]))  # one plan at every size
         return (pairs.join(sets.toDF("x", "tx"), "x").join(sets.toDF("y", "ty"), "y")
                 .select("x", "y", "tx", "ty").mapInArrow(_exactly(self.t), _PAIR))
 
@@ -420,8 +431,9 @@ class _Join:
         pairs = tiles.where("place != to").select("place", "to").distinct().join(a, "place").join(b, "to").where("a != b")
         return pairs.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct()
 
-    def across(self, tiles: DataFrame, labels: DataFrame) -> DataFrame:
-        """Pairs across components within the tiles that hold several. A tile
+    def across(self, tiles: DataFrame, labels: DataFrame, best: bool) -> DataFrame:
+        """Pairs across components within the tiles that hold several: all
+        that the bit counts allow, or the best of each stray. A tile
         of two nodes has been decided by its star. Small tiles with the same
         nodes (near sets that do not link share many) are compared once."""
         comp = (self.places.join(labels, "node", "left")
@@ -445,18 +457,22 @@ class _Join:
         left = rest.where("comp != main").select("*", mine.alias("i"), every.alias("j"))
         right = rest.select("*", mine.alias("j"), every.alias("i"))
         blocks = left.select(block, F.lit(0).alias("side"), *cols).union(right.select(block, F.lit(1).alias("side"), *cols))
-        return blocks.repartition("block").sortWithinPartitions("block").mapInArrow(_across(self.t), _PAIR).distinct()
+        return blocks.repartition("block").sortWithinPartitions("block").mapInArrow(_across(self.t, best), _PAIR).distinct()
 
     def links(self) -> tuple[DataFrame, DataFrame]:
         """(verified pairs of nodes, components): the pairs connect all that
         links connect."""
         tiles = self.tiles()
-        found = staged(self.exact(staged(self.bounded(self.stars(tiles)), "ngram-bounded")), "ngram-links")
+        sets = self.sets_of(tiles)
+        found = staged(self.exact(self.bounded(self.stars(tiles)), sets), "ngram-links")
         labels = staged(components(found, "x", "y"), "ngram-labels")
-        more = staged(self.across(tiles, labels), "ngram-across")
-        if not more.isEmpty():
-            found = staged(found.union(self.exact(more)), "ngram-links")
-            labels = staged(components(found, "x", "y"), "ngram-labels")
+        # First each stray's likeliest pair: that joins most of what links, and
+        # pairs within a component need no comparing. Then all pairs left.
+        for best in (True, False):
+            more = staged(self.exact(self.across(tiles, labels, best), sets), "ngram-across")
+            if not more.isEmpty():
+                found = staged(found.union(more), "ngram-links")
+                labels = staged(components(found, "x", "y"), "ngram-labels")
         return found, labels
 
 

@@ -47,6 +47,13 @@ def test_shared_lines_go_unless_the_article_is_declared(spark):
     assert [(i, t) for i, _, t in got] == [(1, "one"), (2, "two"), (3, "licence\n\nx"), (4, "licence\n\ny"), (5, "Site name\n\nfive"), (7, ""), (7, "twice")]
 
 
+def test_differencing_decides_lines_of_pages_that_declare_articles(spark):
+    rows = [(1, "http://h.net/a/1", "<article>one</article><p>Next story</p><p>own</p><article>licence</article><p>z</p>"),
+            (2, "http://h.net/a/2", "<p>top</p><article>two</article><p>Next story</p><article>licence</article>")]
+    got = {r.page_id: r.text for r in main_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {1: "one\n\nown\n\nlicence", 2: "two\n\nlicence"}
+
+
 def test_neighbours_are_the_nearest_paths_whatever_the_partitions(spark):
     rows = [(i, "h" if i < 90 else "g", f"/en/{i * 37 % 200}", i) for i in range(100)]
     df = spark.createDataFrame(rows, "row long, host string, path string, page_id long")

@@ -8,17 +8,21 @@ that are declared as something else (``nav``, ``header``, ``footer``,
 no lines. Pages are then paired: within a host, sorted by path, with the
 neighbour whose path shares the longer prefix. The lines of both are aligned
 by a longest common subsequence, and a page's lines in it are deleted as
-template, except those in a declared article: two articles may well share a
-sentence, and the text must keep it. If the page declares an article, only
-its lines count.
+template. Every page is differenced; then the declared article is an exact
+check on the result: two articles may well share a sentence, so deleted lines
+that lie in one come back. Of the other lines of such a page, those between
+its first and its last article line stay if differencing left them; those
+before and after are the page's frame.
 
 Neighbours are found on (host, path) rows alone, dealt out by range, so a
 hot host is spread over many tasks; only line hashes travel to the
-neighbour.
+neighbour. Texts are not staged: pages are parsed once for the hashes and
+once for the text, by when the lines to delete are known. Pages meet those by
+a digest of id, URL and markup, so nothing hangs on how a scan is split.
 
-``pages`` must be a plain scan. Defined cases: null or empty markup gives an
+Defined cases: null or empty markup gives an
 empty text; a null URL belongs to an empty host with an empty path; equal
-paths are ordered by page id, then row; pages without a neighbour lose no
+paths are ordered by page id, then digest; pages without a neighbour lose no
 lines; repeated rows are extracted one by one; an empty table gives no rows;
 extra columns are not read.
 """
@@ -35,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import slices, staged, with_row_id
+from .common import slices, staged
 from .url_filter import host, path
 
 # Elements without a closing tag, elements that are never text,
@@ -151,25 +155,37 @@ def common_lines(a: list[int], b: list[int]) -> set[int]:
     return found
 
 
+def _hash(line: str) -> int:
+    return int.from_bytes(hashlib.blake2b(line.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in slices(batches, "html"):
-        texts, main, hashes = [], [], []
-        for html in b.column("html"):
-            lines = lines_of(html.as_py() or "")
-            texts.append([x for x, _ in lines])
-            main.append([m for _, m in lines])
-            hashes.append([int.from_bytes(hashlib.blake2b(x.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True) for x, _ in lines])
-        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("row", "page_id", "url", "host", "path")), pa.array(texts, pa.list_(pa.string())),
-                                          pa.array(main, pa.list_(pa.bool_())), pa.array(hashes, pa.list_(pa.int64()))],
-                                         names=["row", "page_id", "url", "host", "path", "lines", "main", "hashes"])
+        pages = [lines_of(html.as_py()) for html in b.column("html")]
+        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("row", "page_id", "host", "path")),
+                                          pa.array([[_hash(x) for x, _ in lines] for lines in pages], pa.list_(pa.int64())),
+                                          pa.array([[m for _, m in lines] for lines in pages], pa.list_(pa.bool_()))],
+                                         names=["row", "page_id", "host", "path", "hashes", "main"])
 
 
 def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The places of the lines to delete, those in a declared article
+    restored."""
     for b in batches:
+        gone = [[i for i in sorted(common_lines(own, near)) if not main[i]]
+                for own, main, near in zip(*(b.column(c).to_pylist() for c in ("hashes", "main", "near")), strict=True)]
+        yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(gone, pa.list_(pa.int32()))], names=["row", "gone"])
+
+
+def _text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in slices(batches, "html"):
         texts = []
-        for lines, own, near in zip(*(b.column(c).to_pylist() for c in ("lines", "hashes", "near")), strict=True):
-            shared = common_lines(own, near) if near else set()
-            texts.append("\n\n".join(x for i, x in enumerate(lines) if i not in shared))
+        for html, gone in zip(b.column("html"), b.column("gone").to_pylist(), strict=True):
+            lines = lines_of(html.as_py())
+            article = [i for i, (_, m) in enumerate(lines) if m]
+            first, last = (article[0], article[-1]) if article else (0, len(lines))
+            drop = set(gone or ())
+            texts.append("\n\n".join(x for i, (x, _) in enumerate(lines) if first <= i <= last and i not in drop))
         yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("page_id", "url")), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
 
@@ -201,17 +217,14 @@ def neighbours(rows: DataFrame) -> DataFrame:
 
 def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """One row per row of ``pages``: page_id, url, text."""
-    rows = with_row_id(pages, "row").select("row", F.col(key).alias("page_id"), F.col(url).alias("url"), host(F.col(url)).alias("host"),
-                                            path(F.col(url)).alias("path"), F.coalesce(html, F.lit("")).alias("html"))
-    parsed = staged(rows.mapInArrow(_parse, "row long, page_id long, url string, host string, path string, lines array<string>, "
-                                            "main array<boolean>, hashes array<long>"), "html-lines")
+    rows = pages.select(F.col(key).alias("page_id"), F.col(url).alias("url"), F.coalesce(html, F.lit("")).alias("html"))
+    known = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("page_id", "url", "html")]
+    rows = rows.withColumn("row", F.md5(F.concat_ws("\n", *known)))
+    parsed = rows.select("row", "page_id", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"), "html").mapInArrow(
+        _parse, "row string, page_id long, host string, path string, hashes array<long>, main array<boolean>")
+    parsed = staged(parsed.dropDuplicates(["row"]), "html-lines")  # equal rows have equal texts
     pairs = neighbours(parsed.select("row", "host", "path", "page_id"))
-    # a page that declares its article keeps just that: it meets no neighbour and no exchange
-    declared = F.exists("main", lambda m: m)
-    article = F.filter("lines", lambda x, i: F.get("main", i))
-    whole = parsed.where(declared).select("page_id", "url", F.array_join(article, "\n\n").alias("text"))
-    rest = parsed.where(~declared).select("row", "page_id", "url", "lines", "hashes")
-    near = pairs.join(rest.select("row"), "row", "left_semi").join(
-        parsed.select(F.col("row").alias("neighbour"), F.col("hashes").alias("near")), "neighbour").select("row", "near")
-    rest = rest.join(near, "row", "left").select("page_id", "url", "lines", "hashes", "near")
-    return whole.union(rest.mapInArrow(_difference, "page_id long, url string, text string"))
+    near = parsed.select(F.col("row").alias("neighbour"), F.col("hashes").alias("near"))
+    both = pairs.join(near, "neighbour").select("row", "near").join(parsed.select("row", "hashes", "main"), "row")
+    gone = staged(both.mapInArrow(_difference, "row string, gone array<int>").where(F.size("gone") > 0), "html-template")
+    return rows.join(gone, "row", "left").select("page_id", "url", "html", "gone").mapInArrow(_text, "page_id long, url string, text string")

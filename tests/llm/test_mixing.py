@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from tidewatch.llm.mixing import mixed, period_schedule, quota_limit, schedule
+from tidewatch.llm.mixing import _plan, mixed, period_schedule, quota_limit, schedule
 
 from .helpers import DOCS, clashing, hard_docs
 
@@ -76,3 +76,16 @@ def test_mixed_keeps_all_columns(spark):
     assert got.columns == docs.columns
     inside = {r.doc_id for r in schedule(docs, block_chars=200).where("in_mix").collect()}
     assert {r.doc_id for r in got.collect()} == inside and {r[0] for r in rows if r[3] != "hot"} <= inside
+
+
+def test_sources_keep_to_their_exact_targets(spark):
+    quota = {"hot": 2000, **{f"s{i:02}": 315 + i % 3 for i in range(19)}, **{f"t{i:03}": 1 + i % 5 for i in range(100)}}
+    mix = sum(quota.values())
+    got = _plan(spark.createDataFrame(list(quota.items()), "lane string, quota long"), mix, span=3000).collect()
+    assert sorted(r.slot for r in got) == list(range(mix))
+    assert sorted((r.lane, r.nth) for r in got) == sorted((x, b) for x, n in quota.items() for b in range(n))
+    most = dict.fromkeys(quota, 0)
+    for r in got:  # a source deviates most right before and after its own blocks
+        w = quota[r.lane] / mix
+        most[r.lane] = max(most[r.lane], abs(r.nth + 1 - w * (r.slot + 1)), abs(r.nth - w * r.slot))
+    assert all(most[x] < (1 if n * 1024 >= mix else 2) for x, n in quota.items()), most

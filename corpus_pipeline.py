@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.llm.common import Scratch, staged, table
 from tidewatch.llm.exact_dedup import dedupe
-from tidewatch.llm.mixing import mixed
+from tidewatch.llm.mixing import interleaved
 from tidewatch.llm.ngram_join import representatives
 from tidewatch.llm.packing import pack
 from tidewatch.llm.quality_rules import passing
@@ -57,8 +57,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the schedule takes into the mix."""
-    return mixed(docs)
+    """All documents, ordered by the schedule: sources interleaved at their
+    target weights."""
+    return interleaved(docs)
 
 
 @stage

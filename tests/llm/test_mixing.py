@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from tidewatch.llm.mixing import _plan, mixed, period_schedule, quota_limit, schedule
+from tidewatch.llm.mixing import _plan, interleaved, mixed, period_schedule, quota_limit, schedule
 
 from .helpers import DOCS, clashing, hard_docs
 
@@ -89,3 +89,13 @@ def test_sources_keep_to_their_exact_targets(spark):
         w = quota[r.lane] / mix
         most[r.lane] = max(most[r.lane], abs(r.nth + 1 - w * (r.slot + 1)), abs(r.nth - w * r.slot))
     assert all(most[x] < (1 if n * 1024 >= mix else 2) for x, n in quota.items()), most
+
+
+def test_interleaved_keeps_all_documents_in_the_order_of_the_schedule(spark):
+    rows, docs = docs_of(spark, {"hot": 700, **{f"s{i}": 60 for i in range(10)}}, extra=True)
+    got = interleaved(docs, block_chars=200)
+    assert got.columns == docs.columns
+    at = {r.doc_id: (r.slot, r.place) for r in schedule(docs, block_chars=200).collect()}
+    ids = [r.doc_id for r in got.collect()]
+    assert sorted(ids) == sorted(r[0] for r in rows) and ids == sorted(ids, key=at.get)
+    assert interleaved(spark.createDataFrame([], DOCS)).collect() == []

@@ -74,6 +74,12 @@ def test_stages_match_plain_versions(spark):
         assert at == ps[0].doc_tokens
 
 
+def test_mixing_deletes_no_documents(spark):
+    rows = [(i, f"text {i} " * 9000, "en", "hot" if i % 2 else f"s{i % 20}", 0) for i in range(60)]
+    docs = spark.createDataFrame(rows, table(spark, SF001, "documents").schema)
+    assert sorted(r.doc_id for r in corpus_pipeline.mix_sources(spark, docs, SF001).collect()) == list(range(60))
+
+
 def test_run_is_its_stages(spark):
     got = corpus_pipeline.run(spark, SF001)
     assert got.columns[:7] == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] and got.count() > 0

@@ -26,7 +26,7 @@ a time, each span going on from the state that the one before has written.
 its own; a null or empty text counts one character; ties in the order go to
 the smaller key (null first), then the earlier row; repeated rows are
 scheduled one by one; an empty table gives no rows; extra columns pass
-through :func:`mixed` under any name.
+through :func:`mixed` and :func:`interleaved` under any name.
 """
 
 from __future__ import annotations
@@ -191,12 +191,29 @@ def _plan(supply: DataFrame, mix: int, span: int = SPAN) -> DataFrame:
         inside.join(shared, ["pool", "turn"]).select("lane", "nth", "slot")), "mixing-plan")
 
 
-def mixed(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", block_chars: int = BLOCK_CHARS,
-          most_share: float = MOST_SHARE) -> DataFrame:
-    """The documents of the mix, with all their columns."""
+def _numbered(docs: DataFrame, text: str, key: str, source: str, block_chars: int, most_share: float) -> tuple[DataFrame, DataFrame, Column]:
+    """(the documents, staged once with their row numbers under inner names,
+    the schedule of these rows, the documents' own columns)."""
     plain = [f"c{i}" for i in range(len(docs.columns))]  # inner names, so that no column clashes
     name = dict(zip(docs.columns, plain, strict=True))
-    inner = docs.toDF(*plain)
-    taken = schedule(inner, name[text], name[key], name[source], block_chars, most_share).where("in_mix").select("row")
-    return (with_row_id(inner, "row").join(taken, "row", "left_semi")
-            .select(*[F.col(p).alias(c) for p, c in zip(plain, docs.columns, strict=True)]))
+    rows = staged(with_row_id(docs.toDF(*plain), "row"), "mixing-documents")
+    own = [F.col(p).alias(c) for p, c in zip(plain, docs.columns, strict=True)]
+    return rows, _schedule(rows, name[text], name[key], name[source], block_chars, most_share), own
+
+
+def interleaved(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", block_chars: int = BLOCK_CHARS,
+                most_share: float = MOST_SHARE) -> DataFrame:
+    """All documents with all their columns, in the order of the schedule:
+    dealt by ranges of (slot, place) and sorted within, so that written files
+    hold the sources interleaved at their target weights and the surplus
+    last in its own later slots."""
+    rows, plan, own = _numbered(docs, text, key, source, block_chars, most_share)
+    order = ["slot", "place", "row"]
+    return rows.join(plan.select(*order), "row").repartitionByRange(*order).sortWithinPartitions(*order).select(*own)
+
+
+def mixed(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", block_chars: int = BLOCK_CHARS,
+          most_share: float = MOST_SHARE) -> DataFrame:
+    """The documents of the mix alone, with all their columns."""
+    rows, plan, own = _numbered(docs, text, key, source, block_chars, most_share)
+    return rows.join(plan.where("in_mix").select("row"), "row", "left_semi").select(*own)

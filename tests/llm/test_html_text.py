@@ -54,6 +54,31 @@ def test_differencing_decides_lines_of_pages_that_declare_articles(spark):
     assert got == {1: "one\n\nown\n\nlicence", 2: "two\n\nlicence"}
 
 
+def test_copies_do_not_delete_each_other(spark):
+    a, b = "<p>Site</p><p>one</p><p>Imprint</p>", "<p>Site</p><p>two</p><p>Imprint</p>"
+    rows = [(i, f"http{'s' * (i % 2)}://h.net/a/1?utm_source={i}", a) for i in range(40)] + [(50, "http://h.net/a/2", b), (51, "http://h.net/a/3", b)]
+    rows += [(60 + i, "http://copies.net/x", a) for i in range(3)]
+    for n in ("2", "9"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            got = {r.page_id: r.text for r in main_text(spark.createDataFrame(rows, PAGES).repartition(3)).collect()}
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        whole = "Site\n\none\n\nImprint"
+        assert got == {**dict.fromkeys(range(40), "one"), 50: "two", 51: "two", **{60 + i: whole for i in range(3)}}
+
+
+def test_wrappers_do_not_hide_the_page():
+    for tag in ('<div class="layout has-sidebar">', '<div class="no-comments">', "<form action=x>", '<div id="sidebar"><form>', '<div class="widget">'):
+        assert texts(f"<p>menu</p>{tag}<article><p>text</article>")[-1] == "text"
+        assert texts(f"{tag}<p>text") == ["text"]
+    assert texts('<div class="has-sidebar">a</div><div class="no_ads">b</div><div class="with-ad ad">c</div>') == ["a", "b"]
+    assert texts("<aside><article>no</article></aside><div hidden><main>no</main></div>x") == ["x"]
+    assert texts('x<div class="comments"><article class="comment">no</article></div>') == ["x"]
+
+
 def test_neighbours_are_the_nearest_paths_whatever_the_partitions(spark):
     rows = [(i, "h" if i < 90 else "g", f"/en/{i * 37 % 200}", i) for i in range(100)]
     df = spark.createDataFrame(rows, "row long, host string, path string, page_id long")

@@ -5,8 +5,10 @@ if it lies in an element that the page itself declares as its article
 (``article`` or ``main``). Script, style and similar elements, and elements
 that are declared as something else (``nav``, ``header``, ``footer``,
 ``aside``, ``form``, adverts, notices, reader comments by class or id), give
-no lines. Pages are then paired: within a host, sorted by path, with the
-neighbour whose path shares the longer prefix. The lines of both are aligned
+no lines. A class, an id or a form that wraps an article does not count, nor
+where nothing else is on the page. Pages are then paired: within a host,
+sorted by path, with the nearest page of other lines before or after,
+whichever path shares the longer prefix; copies are passed over. The lines of both are aligned
 by a longest common subsequence, and a page's lines in it are deleted as
 template. Every page is differenced; then the declared article is an exact
 check on the result: two articles may well share a sentence, so deleted lines
@@ -36,7 +38,7 @@ from collections.abc import Iterator
 from html import unescape
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import slices, staged
@@ -53,7 +55,7 @@ BLOCK = frozenset(
     "form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr "
     "ul".split())
 NAMED = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|adverti[sz]ing|sponsor|sponsored|promo|banner|cookie|cookies|consent|notice|"
+    r"(?:^|[\s_-])(?<!\bhas[_-])(?<!\bno[_-])(?<!\bnot[_-])(?<!\bwith[_-])(?<!\bwithout[_-])(?:ad|ads|advert|adverts|advertisement|adverti[sz]ing|sponsor|sponsored|promo|banner|cookie|cookies|consent|notice|"
     r"notices|alert|popup|modal|sidebar|side-bar|menu|nav|navbar|navigation|breadcrumb|breadcrumbs|header|footer|comment|comments|"
     r"reply|replies|disqus|share|sharing|social|related|recommended|newsletter|subscribe|signup|login|widget|toolbar|pagination|"
     r"pager)(?:$|[\s_-]|\d)", re.I)
@@ -67,24 +69,34 @@ _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|dis
 _RAW_END = {t: re.compile(rf"</{t}\b[^>]*(?:>|\Z)", re.I) for t in RAW}
 
 
-def _declared_other(tag: str, attributes: str) -> bool:
-    if tag in ASIDE:
-        return True
-    if not attributes or tag in ("html", "body") or tag in MAIN:
-        return False
-    for m in _NAME.finditer(attributes):
-        value = m[2] or m[3] or m[4] or ""
-        if value.lower() in ROLES if m[1].lower() == "role" else NAMED.search(value):
-            return True
-    return bool(_HIDDEN.search(attributes))
+def _named(attributes: str) -> bool:
+    return any(m[1].lower() != "role" and NAMED.search(m[2] or m[3] or m[4] or "") for m in _NAME.finditer(attributes))
+
+
+def _declared_other(tag: str, attributes: str) -> int:
+    """2: holds no main text; 1: so by its class, its id or as a form, which
+    may as well wrap the page; 0: nothing declared."""
+    if tag in ASIDE and tag != "form":
+        return 2
+    if tag in ("html", "body") or tag in MAIN:
+        return 0
+    if attributes and (_HIDDEN.search(attributes) or any(
+            m[1].lower() == "role" and (m[2] or m[3] or m[4] or "").lower() in ROLES for m in _NAME.finditer(attributes))):
+        return 2
+    return int(tag == "form" or _named(attributes))
 
 
 def lines_of(html: str) -> list[tuple[str, bool]]:
-    """(text, in a declared article) of each block with text, in page order."""
+    """(text, in a declared article) of each block with text, in page order.
+    Where all text lies in forms and containers so named, it counts."""
+    return _lines(html, 1) or _lines(html, 2)
+
+
+def _lines(html: str, least: int) -> list[tuple[str, bool]]:
     out: list[tuple[str, bool]] = []
-    open_tags: list[tuple[str, bool, bool]] = []  # tag, skipped, in an article
+    open_tags: list[tuple[str, int, bool]] = []  # tag, skipped (by what, if from least on), in an article
     held: list[str] = []
-    skipped = article = False
+    skipped, article = 0, False
 
     def close():
         if held:
@@ -110,7 +122,7 @@ def lines_of(html: str) -> list[tuple[str, bool]]:
             for k in range(len(open_tags) - 1, -1, -1):
                 if open_tags[k][0] == tag:
                     del open_tags[k:]
-                    now = open_tags[-1][1:] if open_tags else (False, False)
+                    now = open_tags[-1][1:] if open_tags else (0, False)
                     if now != (skipped, article):
                         close()
                     skipped, article = now
@@ -123,9 +135,12 @@ def lines_of(html: str) -> list[tuple[str, bool]]:
         if tag in VOID or m[3].endswith("/"):
             continue
         other = _declared_other(tag, m[3])
-        if tag in BLOCK or other != skipped:
+        inside = max(skipped, other if other >= least else 0)
+        if inside == 1 and tag in MAIN and not _named(m[3]):
+            inside = 0  # what wraps an article is not what it was named after
+        if tag in BLOCK or inside != skipped:
             close()
-        open_tags.append((tag, skipped or other, article or tag in MAIN))
+        open_tags.append((tag, inside, article or tag in MAIN))
         skipped, article = open_tags[-1][1:]
     close()
     return out
@@ -190,19 +205,39 @@ def _text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def neighbours(rows: DataFrame) -> DataFrame:
-    """(row, neighbour): for each row the one before or after it in the order
-    of its host's paths, whichever path shares the longer prefix (the one
-    before, of equals). rows: row, host, path, page_id."""
+    """(row, neighbour): for each row the nearest one before or after it in
+    the order of its host's paths, whichever path shares the longer prefix
+    (the one before, of equals). rows: row, host, path, page_id, and content
+    if rows of equal content are to be passed over (never null)."""
+    rows = rows if "content" in rows.columns else rows.withColumn("content", F.col("row"))
     dealt = rows.repartitionByRange("host", "path", "page_id", "row").withColumn("part", F.spark_partition_id())
     dealt = staged(dealt, "html-order")
-    order = [F.col(c) for c in ("host", "path", "page_id", "row")]
-    item = F.struct("host", "path", "page_id", "row")
-    # each range's first and last page, one row per range, meet those of the next
-    edges = dealt.groupBy("part").agg(F.min(item).alias("first"), F.max(item).alias("last"))
-    line = Window.orderBy("part")
-    edges = edges.select("part", F.lag("last").over(line).alias("before"), F.lead("first").over(line).alias("after"))
-    inside = Window.partitionBy("part").orderBy(*order)
-    out = dealt.select("*", F.lag(item).over(inside).alias("prev"), F.lead(item).over(inside).alias("next")).join(edges, "part")
+    names = ("host", "path", "page_id", "row")
+    item = F.struct(*names, "content")
+
+    def passed(line) -> Column:
+        """The last item before this one that differs from it."""
+        before = F.lag(item).over(line)
+        return F.when(before["content"] != F.col("content"), before)
+
+    back = Window.partitionBy("part").orderBy(*[F.col(c).asc() for c in names])
+    ahead = Window.partitionBy("part").orderBy(*[F.col(c).desc() for c in names])
+    so_far = lambda line: line.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = dealt.select("*", passed(back).alias("prev"), passed(ahead).alias("next"))
+    out = out.select("part", *names, "content", F.last("prev", ignorenulls=True).over(so_far(back)).alias("prev"),
+                     F.last("next", ignorenulls=True).over(so_far(ahead)).alias("next"))
+    # of each range one row: its first and last page and those nearest to them that differ, to meet the other ranges
+    edges = out.groupBy("part").agg(F.min(item).alias("first"), F.max(item).alias("last"),
+                                    F.min_by("next", item).alias("second"), F.max_by("prev", item).alias("last_but"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)
+
+    def nearest(nearer: str, farther: str, line, own: str) -> Column:
+        others = F.flatten(F.collect_list(F.array(farther, nearer)).over(line))
+        return F.get(F.reverse(F.filter(others, lambda x: x["content"] != F.col(own)["content"])), F.lit(0))
+
+    edges = edges.select("part", nearest("last", "last_but", earlier, "first").alias("before"), nearest("first", "second", later, "last").alias("after"))
+    out = out.join(edges, "part")
     same = lambda x: F.when(x["host"] == F.col("host"), x)
     out = out.select("row", "path", same(F.coalesce("prev", "before")).alias("prev"), same(F.coalesce("next", "after")).alias("next"))
 
@@ -223,7 +258,7 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
     parsed = rows.select("row", "page_id", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"), "html").mapInArrow(
         _parse, "row string, page_id long, host string, path string, hashes array<long>, main array<boolean>")
     parsed = staged(parsed.dropDuplicates(["row"]), "html-lines")  # equal rows have equal texts
-    pairs = neighbours(parsed.select("row", "host", "path", "page_id"))
+    pairs = neighbours(parsed.select("row", "host", "path", "page_id", F.xxhash64("hashes").alias("content")))
     near = parsed.select(F.col("row").alias("neighbour"), F.col("hashes").alias("near"))
     both = pairs.join(near, "neighbour").select("row", "near").join(parsed.select("row", "hashes", "main"), "row")
     gone = staged(both.mapInArrow(_difference, "row string, gone array<int>").where(F.size("gone") > 0), "html-template")

@@ -35,6 +35,28 @@ def test_blocks_across_components(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in got} == dict(zip(range(40), want, strict=True))
 
 
+def test_row_numbers_hold_however_readings_are_split(spark, monkeypatch, tmp_path):
+    """Every reading of the files deals them out anew, as when executors come
+    and go."""
+    words = [f"v{i}" for i in range(400)]
+    rows = [(i, " ".join(words[3 * (i % 40):3 * (i % 40) + 100]), "en", "a", 0) for i in range(120)]
+    spark.createDataFrame(rows, DOCS).repartition(6).write.parquet(f"{tmp_path}/docs")
+    docs, sizes = spark.read.parquet(f"{tmp_path}/docs"), iter(range(10**6))
+    stage = ngram_join.staged
+
+    def shifting(df, name):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str((1 << 27, 900, 2500)[next(sizes) % 3]))
+        return stage(df, name)
+    monkeypatch.setattr(ngram_join, "staged", shifting)
+    try:
+        got = {r.doc_id: r.component_id for r in jaccard_components(docs, (90, 100), 3).collect()}
+        kept = [r.doc_id for r in representatives(docs, (90, 100), 3).collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    want = components([shingles(r[1], 3) for r in rows], [r[0] for r in rows], 90, 100)
+    assert got == dict(zip(range(120), want, strict=True)) and sorted(kept) == sorted(set(want))
+
+
 def test_representatives_keep_the_smallest_id(spark):
     rows = hard_docs()
     docs = clashing(spark, rows)

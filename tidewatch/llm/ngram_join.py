@@ -26,8 +26,9 @@ these stars are verified and joined up, only tiles that still hold more than
 one component compare nodes across components, in blocks of bounded size:
 each stray's likeliest pair first, then all pairs that are left.
 
-``docs`` must be a plain scan (files or a local relation): it is read more
-than once, and its rows are named by partition and position.
+Documents are staged once with their row numbers. Later steps read them more
+than once and name them by the written numbers alone, so it doesn't matter how
+each reading splits the files.
 
 Defined cases: null and blank texts have an empty set, link with nothing and
 are a component of their own; equal texts are one component; a repeated
@@ -54,6 +55,8 @@ from .shingles import TOKEN_BITS, mix, token_sets
 BITMAP_BITS = 1024
 CHUNK_BYTES = 4 << 20
 CHUNK_ROWS = 4096
+#: Low bits of a row number, which tell the rows of a chunk apart.
+CHUNK_BITS = 13
 #: Nodes on a side of a block in the comparison across components.
 BLOCK = 2048
 #: Rows of a tile up to which it is gathered whole, to compare equal tiles once.
@@ -61,6 +64,7 @@ SMALL_TILE = 64
 #: Packed tile keys that one task of the exchange takes, on average.
 TASK_KEYS = 4 << 20
 _TOKEN_BYTES = TOKEN_BITS // 8
+ROW = "__row"
 
 
 @dataclass(frozen=True)
@@ -98,20 +102,19 @@ class Threshold:
 
 def _chunks(batches: Iterator[pa.RecordBatch], width: int):
     """(tokens, bounds, set ids, rows, doc ids, chunk number) for runs of
-    rows of bounded bytes; batches hold row, doc_id, text, bytes."""
-    from pyspark import TaskContext
-
-    number = TaskContext.get().partitionId() << 24
+    rows of bounded bytes; batches hold row, doc_id, text, bytes. A chunk is
+    what shares the high bits of the row number; it may come in several runs."""
     for batch in batches:
+        chunks = batch.column(0).to_numpy() >> CHUNK_BITS
+        changes = np.append(np.flatnonzero(chunks[1:] != chunks[:-1]) + 1, len(batch))
         sizes = np.cumsum(np.append(0, batch.column(3).to_numpy(zero_copy_only=False)))
         at = 0
         while at < len(batch):
             end = int(np.searchsorted(sizes, sizes[at] + CHUNK_BYTES, side="right")) - 1
-            end = min(max(end, at + 1), at + CHUNK_ROWS, len(batch))
+            end = min(max(end, at + 1), at + CHUNK_ROWS, int(changes[np.searchsorted(changes, at, side="right")]))
             part = batch.slice(at, end - at)
             tokens, bounds = token_sets(part.column(2), width)
-            yield tokens, bounds, _set_ids(tokens, bounds), part.column(0), part.column(1), number
-            number += 1
+            yield tokens, bounds, _set_ids(tokens, bounds), part.column(0), part.column(1), int(chunks[at])
             at = end
 
 
@@ -132,24 +135,21 @@ def _bitmap(tokens: np.ndarray) -> bytes:
 
 
 def _firsts(nodes: np.ndarray) -> np.ndarray:
-    """Rows of a chunk on which a node appears first, without empty sets."""
+    """Rows of a run on which a node appears first, without empty sets."""
     first = np.sort(np.unique(nodes, return_index=True)[1])
     return first[nodes[first] != 0]
 
 
 def _members(width: int):
     """A row per document: its node, number of tokens, and for a node's first
-    row of the chunk its place (chunk, position) and bitmap."""
+    row of the run its bitmap."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for tokens, bounds, nodes, rows, docs, chunk in _chunks(batches, width):
-            place: list[int | None] = [None] * len(nodes)
+        for tokens, bounds, nodes, rows, docs, _ in _chunks(batches, width):
             bits: list[bytes | None] = [None] * len(nodes)
-            for k, i in enumerate(_firsts(nodes).tolist()):
-                place[i] = (chunk << 13) | k
+            for i in _firsts(nodes).tolist():
                 bits[i] = _bitmap(tokens[bounds[i]:bounds[i + 1]])
             yield pa.RecordBatch.from_arrays([rows, docs, pa.array(nodes), pa.array(np.diff(bounds).astype(np.int64)),
-                                              pa.array(place, pa.int64()), pa.array(bits, pa.binary())],
-                                             names=["row", "doc_id", "node", "n", "place", "bits"])
+                                              pa.array(bits, pa.binary())], names=["row", "doc_id", "node", "n", "bits"])
     return run
 
 
@@ -241,7 +241,7 @@ def _tiles(t: Threshold, buckets: int):
     other chunks; the rest only name their head, dealt by chunk, so that a hot
     tile isn't dealt to one place."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for tokens, bounds, nodes, _, _, chunk in _chunks(batches, t.width):
+        for tokens, bounds, nodes, rows, _, chunk in _chunks(batches, t.width):
             first = _firsts(nodes)
             if not len(first):
                 continue
@@ -250,7 +250,8 @@ def _tiles(t: Threshold, buckets: int):
             order = np.lexsort((who, key))
             key, who = key[order], who[order]
             fresh = np.append(True, (key[1:] != key[:-1]) | (who[1:] != who[:-1]))
-            key, who = key[fresh], who[fresh].astype(np.uint16)
+            low = (rows.to_numpy()[first] & ((1 << CHUNK_BITS) - 1)).astype(np.uint16)
+            key, who = key[fresh], low[who[fresh]]
             starts = np.append(True, key[1:] != key[:-1])
             begin = np.flatnonzero(starts)
             group = np.cumsum(starts) - 1
@@ -271,7 +272,8 @@ def _tiles(t: Threshold, buckets: int):
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (tile, place, to) of the tiles with two nodes or more: to is the
+    """Rows (tile, place, to) of the tiles with two nodes or more, a place
+    being a row that has the node: to is the
     head's place, or for a head the first head's."""
     keys, places = [], []
 
@@ -283,7 +285,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for chunk, k, w, h in zip(*(b.column(c).to_pylist() for c in ("chunk", "keys", "who", "heads")), strict=True):
             key, who = np.frombuffer(k, np.uint64), np.frombuffer(w, np.uint16)
-            base = np.uint64(chunk << 13)
+            base = np.uint64(chunk << CHUNK_BITS)
             if h:
                 yield from out(key, base | who.astype(np.uint64), base | np.frombuffer(h, np.uint16).astype(np.uint64))
             elif len(key):
@@ -392,13 +394,12 @@ class _Join:
     def __init__(self, docs: DataFrame, text: str, key: str, t: Threshold):
         self.t = t
         whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
-        self.rows = with_row_id(docs, "row").select("row", F.col(key).cast("long").alias("doc_id"), whole.alias("text"),
-                                                    F.octet_length(whole).cast("long").alias("bytes"))
-        self.members = staged(self.rows.mapInArrow(_members(t.width), "row long, doc_id long, node long, n long, place long, bits binary"),
+        self.docs = staged(with_row_id(docs, ROW), "ngram-documents")
+        self.rows = self.docs.select(F.col(ROW).alias("row"), F.col(key).cast("long").alias("doc_id"), whole.alias("text"),
+                                     F.octet_length(whole).cast("long").alias("bytes"))
+        self.members = staged(self.rows.mapInArrow(_members(t.width), "row long, doc_id long, node long, n long, bits binary"),
                               "ngram-members")
-        places = self.members.where("place is not null")
-        self.places = places.select("place", "node")
-        self.bits = places.select("node", "n", "bits").dropDuplicates(["node"])
+        self.bits = self.members.where("bits is not null").select("node", "n", "bits").dropDuplicates(["node"])
 
     def tiles(self) -> DataFrame:
         total = self.members.agg(F.sum("n")).first()[0] or 0
@@ -416,7 +417,7 @@ class _Join:
     def sets_of(self, tiles: DataFrame) -> DataFrame:
         """The sets of all nodes that share a tile with another: one scan, one
         exchange, and the same plan at every size."""
-        nodes = self.places.join(tiles.select("place").distinct(), "place", "left_semi").select("node").distinct()
+        nodes = self.places.select("node").distinct()
         sets = self.rows.mapInArrow(_sets(self.t.width), "node long, tokens binary")
         return staged(sets.join(nodes.hint("merge"), "node", "left_semi").dropDuplicates(["node"]), "ngram-sets")
 
@@ -463,6 +464,8 @@ class _Join:
         """(verified pairs of nodes, components): the pairs connect all that
         links connect."""
         tiles = self.tiles()
+        places = self.members.select(F.col("row").alias("place"), "node")
+        self.places = staged(places.join(tiles.select("place").distinct(), "place", "left_semi"), "ngram-places")
         sets = self.sets_of(tiles)
         found = staged(self.exact(self.bounded(self.stars(tiles)), sets), "ngram-links")
         labels = staged(components(found, "x", "y"), "ngram-labels")
@@ -482,7 +485,8 @@ def jaccard_components(docs: DataFrame, ratio: tuple[int, int] = (8, 10), width:
     (documents of equal sets share it), set_links (verified links of the set
     to others: enough to connect its component), component_id (the smallest
     doc_id reachable)."""
-    join = _Join(docs, text, key, Threshold(*ratio, width))
+    plain = docs.select(F.col(text).alias("text"), F.col(key).alias("key"))
+    join = _Join(plain, "text", "key", Threshold(*ratio, width))
     found, labels = join.links()
     degree = found.select(F.explode(F.array("x", "y")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
     nodes = (join.members.where("node != 0").groupBy("node").agg(F.min("doc_id").alias("least"))
@@ -505,7 +509,7 @@ def representatives(docs: DataFrame, ratio: tuple[int, int] = (8, 10), width: in
     _, labels = join.links()
     best = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "row")).alias("b")
     nodes = join.members.where("node != 0").groupBy("node").agg(best).join(labels, "node", "left")
-    stay = nodes.groupBy(F.coalesce("component", "node")).agg(F.min("b").alias("b")).select(F.col("b.row").alias("row"))
-    stay = stay.union(join.members.where("node = 0").select("row"))
-    return (with_row_id(inner, "row").join(stay, "row", "left_semi")
+    stay = nodes.groupBy(F.coalesce("component", "node")).agg(F.min("b").alias("b")).select(F.col("b.row").alias(ROW))
+    stay = stay.union(join.members.where("node = 0").select(F.col("row").alias(ROW)))
+    return (join.docs.join(stay, ROW, "left_semi")
             .select(*[F.col(p).alias(c) for p, c in zip(plain, docs.columns, strict=True)]))

@@ -30,7 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import with_row_id
+from .common import staged, with_row_id
 
 BITS_PER_URL = 16
 _PROBES = 8
@@ -110,7 +110,8 @@ def judge(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str, str, s
     else a listed URL is blocked and any other allowed."""
     rows = with_row_id(pages, "row").select("row", F.col(key).alias("key"), host(F.col(url)).alias("host"), path(F.col(url)).alias("path"))
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    rows = rows.withColumns({"rule": name, "given": verdict, "url": canonical(F.col("host"), F.col("path"))})
+    # staged with their numbers, so that both readings below see the same ones
+    rows = staged(rows.withColumns({"rule": name, "given": verdict, "url": canonical(F.col("host"), F.col("path"))}), "url-rows")
     listed = listed.select("url").where("url is not null").distinct()
     bloom, blocks = blocked_bloom(listed, listed.count())
     maybe = possible_hits(rows.select("row", "url"), bloom, blocks)

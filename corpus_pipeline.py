@@ -64,7 +64,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @stage
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack(docs, RANKS)
+    return pack(docs, RANKS, added=True)
 
 
 STAGES = [("quality rules", quality_rules), ("exact dedup", exact_dedup), ("n-gram Jaccard join", near_dedup),

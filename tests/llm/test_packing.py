@@ -10,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from tidewatch.llm.packing import TIERS, WINDOW, pack, pack_group, step_groups
 from tidewatch.llm.queries import RANKS
 from tidewatch.llm.tokens import encoder
@@ -30,6 +31,23 @@ def test_ids_are_those_of_tokenizers(text):
 
 
 TOKENIZER = tokenizer()
+DEFAULT = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|endoftext|", " ", "\n ", "a", " b", "é!", "<"]) | st.text(max_size=5), max_size=12).map("".join))
+def test_added_tokens_are_those_of_tokenizers(text):
+    assert encoder(RANKS).with_added(text).tolist() == DEFAULT.encode(text, add_special_tokens=False).ids
+
+
+def test_packed_ids_hold_added_tokens(spark):
+    text = "a <|endoftext|> b<|endoftext|>"
+    ids = DEFAULT.encode(text, add_special_tokens=False).ids
+    assert ids == [64, 220, 50256, 275, 50256]
+    got = corpus_pipeline.packing(spark, spark.createDataFrame([(1, text, "en", "a", 0)], DOCS), "").collect()
+    whole = np.array([*ids, 1], "<u4")
+    assert {r.doc_tokens for r in got} == {6} and sum(r.length for r in got) == 6
+    assert all(r.ids_crc32 == zlib.crc32(whole[r.start:r.start + r.length].tobytes()) for r in got)
 
 
 @settings(max_examples=150, deadline=None)

@@ -16,7 +16,8 @@ document. In a group:
   the fewest tokens, so steps have equal work.
 
 Defined cases: a null or empty text is its end id alone; a text of any length
-is tokenized whole; equal lengths and repeated rows keep their input order;
+is tokenized whole; the vocabulary's added token in a text is one id with
+``added``, as in the query and the pipeline, else ordinary text; equal lengths and repeated rows keep their input order;
 an empty table gives no rows; other columns are not read.
 """
 
@@ -120,12 +121,12 @@ SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
           "window int, step_group long")
 
 
-def _packer(ranks_path: str, end_id: int, tiers: tuple[int, ...], group_tokens: int, step_tokens: int):
+def _packer(ranks_path: str, end_id: int, tiers: tuple[int, ...], group_tokens: int, step_tokens: int, added: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         base = TaskContext.get().partitionId() << 36
-        encode = encoder(ranks_path)
+        encode = encoder(ranks_path).with_added if added else encoder(ranks_path)
         ids: list[np.ndarray] = []
         names: list[int | None] = []
         state = {"held": 0, "sequences": 0, "steps": 0}
@@ -160,8 +161,9 @@ def _packer(ranks_path: str, end_id: int, tiers: tuple[int, ...], group_tokens:
 
 
 def pack(docs: DataFrame, ranks_path: str, text: str = "text", key: str = "doc_id", end_id: int = END_ID,
-         tiers: tuple[int, ...] = TIERS, group_tokens: int = GROUP_TOKENS, step_tokens: int = STEP_TOKENS) -> DataFrame:
+         tiers: tuple[int, ...] = TIERS, group_tokens: int = GROUP_TOKENS, step_tokens: int = STEP_TOKENS,
+         added: bool = False) -> DataFrame:
     """One row per piece; ``window`` is its sequence's length, ``step_group``
     the training step it belongs to. tiers: ascending powers of two."""
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(_packer(ranks_path, end_id, tiers, group_tokens, step_tokens), SCHEMA)
+    return rows.mapInArrow(_packer(ranks_path, end_id, tiers, group_tokens, step_tokens, added), SCHEMA)

@@ -42,7 +42,7 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
-    return pack(table(spark, sf_dir, "documents"), RANKS)
+    return pack(table(spark, sf_dir, "documents"), RANKS, added=True)
 
 
 @query("op6_ngram_join", sql=oracles.NGRAM_JOIN)

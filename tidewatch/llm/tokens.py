@@ -10,11 +10,14 @@ import numpy as np
 #: tiktoken's splitter without its look-ahead, which only matters where two white space characters meet.
 _PLAIN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
 _GAP = re.compile(r"\s\s")
+#: The vocabulary's added token, which ``tokenizers`` cuts out of a text before all else.
+ADDED, ADDED_ID = "<|endoftext|>", 50256
 
 
 class Encoder:
-    """Ids as ``tokenizers`` gives them for byte_bpe_50k.json; strings that
-    look like special tokens are ordinary text."""
+    """Ids as ``tokenizers`` gives them for byte_bpe_50k.json; calls take
+    strings that look like the added token as ordinary text, ``with_added``
+    gives its id, as ``tokenizers`` does unless told otherwise."""
 
     def __init__(self, ranks_path: str):
         import base64
@@ -31,6 +34,12 @@ class Encoder:
     def __call__(self, text: str) -> np.ndarray:
         return np.array((self._full if _GAP.search(text) else self._plain)(text), dtype=np.uint32)
 
+    def with_added(self, text: str) -> np.ndarray:
+        if ADDED not in text:
+            return self(text)
+        out = [part for piece in text.split(ADDED) for part in (self(piece), np.array([ADDED_ID], np.uint32))]
+        return np.concatenate(out[:-1])
+
 
 def encoder(ranks_path: str) -> Encoder:
     """One per Python worker, kept for its later tasks."""

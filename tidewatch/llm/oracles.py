@@ -100,3 +100,16 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   not base_failed and not coalesce(level >= cut, false) as kept
 from v left join best using (stratum)
 """
+
+HARD_NEGATIVES = """
+with r as (select vec_id, (case when vec_id % 7 = 0 then (label + 1) % 10 else label end)::bigint as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same, list_inner_product(a.v, b.v)::bigint as score
+  from r a join r b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+p as (select anchor_id, other_id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5),
+n as (select p.*, s.other_id as negative_id, s.score as negative_score,
+    row_number() over (partition by anchor_id, positive_id order by s.score desc, s.other_id) as rank
+  from p join s using (anchor_id) where not s.same and 80 * positive_score <= 100 * s.score and 100 * s.score <= 100 * positive_score)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from n where rank <= 5"""

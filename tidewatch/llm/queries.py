@@ -114,3 +114,27 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import token_scan
 
     return token_scan.token_counts(table(spark, sf_dir, "documents"), RANKS)
+
+
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op11_turn_repair")
+def turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .turn_repair import damage, repair
+
+    return repair(damage(table(spark, sf_dir, "conversations")))
+
+
+@query("op12_sequence_files")
+def sequence_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sequence_files import document_ids
+
+    return document_ids(table(spark, sf_dir, "documents"), WORDS)
+
+
+@query("op13_hard_negatives", sql=oracles.HARD_NEGATIVES)
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .hard_negatives import mine
+
+    return mine(table(spark, sf_dir, "embeddings"))

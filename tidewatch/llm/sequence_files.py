@@ -43,9 +43,11 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
@@ -63,12 +65,21 @@ _IDS = {2: pa.uint16(), 4: pa.uint32()}
 
 # -- ids ---------------------------------------------------------------------
 
+#: The splitter of a public vocabulary of words.
+LETTER_SPLITTER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+_LATIN = re.compile("([a-zß-öø-ÿ]+)([.,;:!?]*)")
+_NEVER = re.compile("(?!)")
+
+
 class WordEncoder:
     """Ids of texts by a tokenizer that never joins characters across ASCII
-    white space; ``kept`` runs are remembered."""
+    white space; about ``kept`` recent runs are remembered, and as many before."""
 
     def __init__(self, path: str, kept: int = 1 << 18):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has given the task its core
         self.tokenizer = Tokenizer.from_file(path)
@@ -79,20 +90,42 @@ class WordEncoder:
         #: A special token between two runs is one id that no run has.
         self._between = min(special)
         self._cut = self.tokenizer.token_to_id(self._between)
-        self._special = re.compile(b"|".join(re.escape(s.encode()) for s in special), re.IGNORECASE)
+        self._special = "|".join(map(re.escape, special))
         #: Where the tokenizer lowers letters itself, runs that differ in ASCII case are one.
-        self._fold = bytes.lower if (n := self.tokenizer.normalizer) and n.normalize_str("AZ") == "az" else bytes
-        self._of: dict[bytes, bytes] = {}
-
-    def _whole(self, text: bytes) -> bytes:
-        return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, self._type).tobytes()
-
-    def _learn(self, runs: list[bytes]) -> dict[bytes, bytes]:
-        out = {}
-        groups = [runs[k:k + 500] for k in range(0, len(runs), 500)]
+        self._folds = bool((n := self.tokenizer.normalizer) and n.normalize_str("AZ") == "az")
+        #: Where the splitter makes one token of letters and one of marks: such runs in Latin letters without case.
+        split = json.loads(self.tokenizer.to_str())["pre_tokenizer"]
+        self._letters = _LATIN if split == LETTER_SPLITTER and self._folds else _NEVER
+        bytewise = ByteLevel(add_prefix_space=False, use_regex=False)
+        self._byte_letters = {c: bytewise.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100)}
+        self._of: dict[str, bytes] = {}
+        self._before: dict[str, bytes] = {}
+
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self._type)
+
+    def _learn(self, runs: list[str]) -> dict[str, bytes]:
+        """Runs of letters, also with a sentence mark behind, are tokens of
+        the splitter as they are and go to the library's model at once; other
+        runs go through all of the tokenizer, many between special tokens."""
+        out, rest, marks = {}, [], {}
+        code = "H" if self.width == 2 else "I"
+        model, byte_letters = self.tokenizer.model.tokenize, self._byte_letters
+        for run in runs:
+            if found := self._letters.fullmatch(run):
+                word, mark = found.groups()
+                ids = [t.id for t in model(word if word.isascii() else word.translate(byte_letters))]
+                if mark:
+                    if mark not in marks:
+                        marks[mark] = [t.id for t in model(mark)]
+                    ids += marks[mark]
+                out[run] = pack("<%d%s" % (len(ids), code), *ids)
+            else:
+                rest.append(run)
+        groups = [rest[k:k + 500] for k in range(0, len(rest), 500)]
         for at in range(0, len(groups), 16):
             some = groups[at:at + 16]
-            joined = [self._between.join([r.decode() for r in g]) for g in some]
+            joined = [self._between.join(g) for g in some]
             for group, found in zip(some, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
                 ids = np.array(found.ids, self._type)
                 raw, start = ids.tobytes(), 0
@@ -102,16 +135,35 @@ class WordEncoder:
                     start = end + self.width
         return out
 
-    def __call__(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each UTF-8 text, little-endian, ``width`` bytes each."""
-        plain = [None if self._special.search(t) else self._fold(t).split() for t in texts]
-        known = self._of
-        new = list(set().union(*(p for p in plain if p)) - known.keys())
-        if len(known) + len(new) > self.kept:
-            wanted = set().union(*(p for p in plain if p)) & known.keys()
-            known = self._of = {run: known[run] for run in wanted}
-        known.update(self._learn(new))
-        return [self._whole(t) if p is None else b"".join(map(known.__getitem__, p)) for t, p in zip(texts, plain, strict=True)]
+    def _ids(self, runs: list[str]) -> list[bytes]:
+        """The ids of distinct runs."""
+        if len(self._of) > self.kept:
+            self._before, self._of = self._of, {}
+        known, before = self._of, self._before
+        found = [known.get(r) or before.get(r) for r in runs]
+        new = self._learn([r for r, ids in zip(runs, found, strict=True) if ids is None])
+        out = [new[r] if ids is None else ids for r, ids in zip(runs, found, strict=True)]
+        known.update(zip(runs, out, strict=True))
+        return out
+
+    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text of a string array. Splitting, telling runs
+        apart and putting ids together is vectorised; Python meets each
+        distinct run of the array once."""
+        texts = pc.fill_null(texts, "")
+        special = pc.match_substring_regex(texts, self._special, ignore_case=True)
+        rows = pc.if_else(special, "", texts)
+        split = pc.ascii_split_whitespace(pc.ascii_lower(rows) if self._folds else rows)
+        runs = split.flatten().dictionary_encode()
+        ids = pa.array(self._ids(runs.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.binary()).take(runs.indices)
+        _, ends, data = ids.buffers()
+        joined = np.frombuffer(data or b"", self._type)
+        ends = np.frombuffer(ends, np.int32)[:len(ids) + 1] // self.width if len(ids) else np.zeros(1, np.int32)
+        borders = ends[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        out = [joined[x:y] for x, y in zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True)]
+        for k in np.flatnonzero(special.to_numpy(zero_copy_only=False)).tolist():
+            out[k] = self._whole(texts[k].as_py())
+        return out
 
 
 def word_encoder(path: str) -> WordEncoder:
@@ -122,19 +174,6 @@ def word_encoder(path: str) -> WordEncoder:
     return held[path]
 
 
-def encode(docs: DataFrame, tokenizer: str, text: str = "text", key: str = "doc_id", end_id: int = END_ID) -> DataFrame:
-    """key long, ids binary (little-endian, 2 bytes each where the
-    vocabulary allows, else 4) of each document, its end id included."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_encoder(tokenizer)
-        end = np.array([end_id], f"<u{encoder.width}").tobytes()
-        for b in slices(batches, "text"):
-            texts = [x or b"" for x in b.column("text").cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array([x + end for x in encoder(texts)], pa.binary())], names=["key", "ids"])
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(run, "key long, ids binary")
-
-
 def in_order(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """key and text, dealt out by ranges of the key and sorted."""
     rows = docs.select(F.col(key).cast("long").alias(key), F.col(text).cast("string").alias(text), F.monotonically_increasing_id().alias("__at"))
@@ -158,8 +197,9 @@ def _schema(length: int, width: int) -> pa.Schema:
 class FileWriter:
     """One file: documents in, record batches of full rows out."""
 
-    def __init__(self, sink, length: int, rows: int, width: int):
+    def __init__(self, sink, length: int, rows: int, width: int, end_id: int | None = None):
         self.length, self.rows, self.width = length, rows, width
+        self.end = np.array([] if end_id is None else [end_id], f"<u{width}")
         self.schema = _schema(length, width)
         self._out = pa.ipc.new_file(sink, self.schema)
         self._parts: list[np.ndarray] = []
@@ -170,9 +210,9 @@ class FileWriter:
     def add(self, key: int | None, ids: np.ndarray) -> None:
         self._keys.append(key)
         self._starts.append(self.ids)
-        self._parts.append(ids)
-        self._held += len(ids)
-        self.ids += len(ids)
+        self._parts += [ids, self.end]
+        self._held += len(ids) + len(self.end)
+        self.ids += len(ids) + len(self.end)
         self.documents += 1
         if self._held >= 4 * self.rows * self.length:
             self._flush(False)
@@ -248,6 +288,7 @@ class _Writer(DataSourceArrowWriter):
         self.folder = options["path"]
         self.length, self.rows = int(options.get("length", LENGTH)), int(options.get("rows", ROWS))
         self.file_ids, self.width = int(options.get("file_ids", FILE_IDS)), int(options.get("width", 2))
+        self.tokenizer, self.end_id = options["tokenizer"], int(options.get("end_id", END_ID))
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         from pyspark import TaskContext
@@ -256,6 +297,7 @@ class _Writer(DataSourceArrowWriter):
         store.create_dir(path, recursive=True)
         files: list[dict] = []
         held: tuple | None = None
+        encoder = word_encoder(self.tokenizer)
 
         def close():
             sink, file, name = held
@@ -263,16 +305,16 @@ class _Writer(DataSourceArrowWriter):
             sink.close()
             files.append({"name": name, "ids": file.ids, "documents": file.documents, "sequences": -(-file.ids // self.length)})
 
-        for batch in iterator:
-            for key, data in zip(batch.column("key").to_pylist(), batch.column("ids"), strict=True):
+        for batch in slices(iterator, "text", 8 << 20):
+            for key, ids in zip(batch.column("key").to_pylist(), encoder(batch.column("text")), strict=True):
                 if held and held[1].ids >= self.file_ids:
                     close()
                     held = None
                 if not held:
                     name = f"{uuid.uuid4().hex}.arrow"
                     sink = store.open_output_stream(f"{path}/{name}")
-                    held = sink, FileWriter(sink, self.length, self.rows, self.width), name
-                held[1].add(key, np.frombuffer(data.as_buffer(), f"<u{self.width}"))
+                    held = sink, FileWriter(sink, self.length, self.rows, self.width, self.end_id), name
+                held[1].add(key, ids)
         if held:
             close()
         return Written(TaskContext.get().partitionId(), files)
@@ -381,9 +423,9 @@ def write(docs: DataFrame, folder: str, tokenizer: str, text: str = "text", key:
           rows: int = ROWS, file_ids: int = FILE_IDS) -> None:
     """The documents' ids in ascending key order as a file set in ``folder``."""
     docs.sparkSession.dataSource.register(SequenceSource)
-    ids = encode(in_order(docs, text, key), tokenizer, text, key, end_id)
-    options = {"length": length, "rows": rows, "file_ids": file_ids, "width": word_encoder(tokenizer).width}
-    ids.write.format(FORMAT).options(**options).mode("overwrite").save(folder)
+    rows_in_order = in_order(docs, text, key).toDF("key", "text")
+    options = {"length": length, "rows": rows, "file_ids": file_ids, "width": word_encoder(tokenizer).width, "tokenizer": tokenizer, "end_id": end_id}
+    rows_in_order.write.format(FORMAT).options(**options).mode("overwrite").save(folder)
 
 
 def read(spark: SparkSession, folder: str, view: str = "sequences") -> DataFrame:

@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .frames import let
+
 # Fixed values that must equal the reference's label mapping.
 POSITIVE_LABELS = ("positive", "pos", "label_2")
 NEGATIVE_LABELS = ("negative", "neg", "label_0")
@@ -49,13 +51,21 @@ def parse_reply(reply) -> Column:
     """K5: reply text ``{sentiment, score, confidence}`` -> struct; bad JSON or
     missing fields fall back to neutral / 0.0 / 0.0 (K3) and set ``score_error``."""
     r = reply if isinstance(reply, Column) else F.col(reply)
-    parsed = F.from_json(r, REPLY_SCHEMA)
-    ok = parsed.isNotNull() & parsed["sentiment"].isNotNull()
-    return F.struct(
-        F.when(ok, F.lower(parsed["sentiment"])).otherwise("neutral").alias("sentiment_label"),
-        F.when(ok, F.coalesce(parsed["score"], F.lit(0.0))).otherwise(0.0).alias("sentiment_score"),
-        F.when(ok, F.coalesce(parsed["confidence"], F.lit(0.0))).otherwise(0.0).alias("sentiment_confidence"),
-        (~ok).alias("score_error"))
+
+    def fields(parsed: Column) -> Column:
+        ok = parsed.isNotNull() & parsed["sentiment"].isNotNull()
+        return F.struct(
+            F.when(ok, F.lower(parsed["sentiment"])).otherwise("neutral").alias("sentiment_label"),
+            F.when(ok, F.coalesce(parsed["score"], F.lit(0.0))).otherwise(0.0).alias("sentiment_score"),
+            F.when(ok, F.coalesce(parsed["confidence"], F.lit(0.0))).otherwise(0.0).alias("sentiment_confidence"),
+            (~ok).alias("score_error"))
+    return let(F.from_json(r, REPLY_SCHEMA), fields)
+
+
+def with_reply(df: DataFrame, reply: str, name: str = "reply") -> DataFrame:
+    """K5 for a frame: ``df`` with the struct of :func:`parse_reply`, which
+    fields and filters above it do not repeat."""
+    return df.select("*", F.explode(F.array(parse_reply(reply))).alias(name))
 
 
 def _present(df: DataFrame, c: str) -> bool:

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.moments import co_moments, correlation
 from ..functions.timefns import minus, trunc_ntz
 
 # The dashboard's reporting zone and the default zone list.
@@ -58,16 +59,15 @@ def weekend_uplift(stg_players: DataFrame) -> DataFrame:
 
 def player_sentiment_correlation(stg_players: DataFrame, reviews: DataFrame) -> DataFrame:
     """M4: per game, Pearson correlation of hourly mean players and hourly
-    mean sentiment over the hours that have both."""
+    mean sentiment over the hours that have both; NULL for one such hour or a
+    side that never changes."""
     p = (stg_players.groupBy("app_id", trunc_ntz("hour", "timestamp").alias("hour"))
          .agg(F.avg("player_count").alias("avg_players")))
     s = (reviews.filter(F.col("sentiment_label").isNotNull())
          .groupBy("app_id", trunc_ntz("hour", "processed_timestamp").alias("hour"))
          .agg(F.avg("sentiment_score").alias("avg_sentiment")))
-    j = p.join(s, ["app_id", "hour"])
-    corr = F.corr("avg_players", "avg_sentiment")  # undefined (NULL) for one hour or a constant side
-    return j.groupBy("app_id").agg(F.when(~F.isnan(corr), corr).alias("correlation"),
-                                   F.count(F.lit(1)).alias("hours"))
+    both = p.join(s, ["app_id", "hour"]).groupBy("app_id").agg(co_moments("avg_players", "avg_sentiment").alias("state"), F.count(F.lit(1)).alias("hours"))
+    return both.select("app_id", correlation(F.col("state")).alias("correlation"), "hours")
 
 
 def executive_kpis(reviews: DataFrame, as_of=None, hours: float = 24) -> DataFrame:

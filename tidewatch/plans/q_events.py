@@ -209,7 +209,7 @@ def _k5(x):
     good = F.to_json(F.struct(F.upper(F.coalesce("sentiment_label", F.lit("Mixed"))).alias("sentiment"), F.col("sentiment_score").alias("score"),
                               F.col("sentiment_confidence").alias("confidence")))
     reply = F.when(F.col("id") % 8 == 0, F.lit("I think it is good")).when(F.col("id") % 8 == 4, F.lit('{"score": 0.5}')).otherwise(good)
-    return x.reviews.select("id", K.parse_reply(reply).alias("p")).select("id", "p.*")
+    return K.with_reply(x.reviews.select("id", reply.alias("reply_text")), "reply_text", "p").select("id", "p.*")
 
 
 @query("report_trend", """

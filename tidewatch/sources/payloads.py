@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.frames import parse_once
+
 PLAYER_BODY = "response struct<player_count: bigint>"
 PRICE_ENTRY = T.StructType([
     T.StructField("success", T.BooleanType()),
@@ -75,10 +77,9 @@ def parse_player_payload(raw: DataFrame, body: str = "body", fetched_at: str = "
     """A5: ``{response: {player_count}}`` -> reading; a body without the
     count is dropped; latency rounded to 2 dp (half-even, as Python);
     ``message_id`` = ``<app_id>_<epoch seconds>``."""
-    p = F.from_json(F.col(body), PLAYER_BODY)
-    out = raw.select(
+    out = parse_once(raw, body, PLAYER_BODY, "_p").select(
         F.col("app_id").cast("int").alias("app_id"),
-        p["response"]["player_count"].cast("int").alias("player_count"),
+        F.col("_p.response.player_count").cast("int").alias("player_count"),
         F.col(fetched_at).alias("timestamp"),
         F.bround(F.col(latency_ms), 2).alias("api_response_time_ms"),
         F.lit(source).alias("source"),
@@ -105,8 +106,7 @@ def parse_price_payload(raw: DataFrame, body: str = "body", fetched_at: str = "f
 def explode_review_payload(raw: DataFrame, body: str = "body") -> DataFrame:
     """``success == 1`` -> one row per review; epoch -> UTC timestamp
     (0 / NULL -> NULL); missing text -> ''; missing votes -> 0."""
-    p = F.from_json(F.col(body), REVIEWS_BODY)
-    ok = raw.select(F.col("app_id").cast("int").alias("app_id"), p.alias("_p")).filter(F.col("_p.success") == 1)
+    ok = parse_once(raw.select(F.col("app_id").cast("int").alias("app_id"), body), body, REVIEWS_BODY, "_p").filter(F.col("_p.success") == 1)
     r = ok.select("app_id", F.explode("_p.reviews").alias("r"))
     return r.select(
         "app_id", F.col("r.recommendationid").alias("review_id"),

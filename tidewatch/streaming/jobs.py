@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..functions.frames import parse_once
 from ..operators import merge as M
 from ..operators import scoring as K
 from ..sinks.writers import VersionedTable, realtime_rows
@@ -27,9 +28,9 @@ from ..sinks.writers import VersionedTable, realtime_rows
 PLAYER_TOPIC = "steam-player-counts"
 REVIEW_TOPIC = "steam-reviews"
 
-FLAT_PLAYER = ("app_id int, player_count bigint, timestamp string, source string, "
-               "api_response_time_ms double, message_id string, game_name string")
-ENVELOPE = ("event_type string, app_id int, timestamp string, data string")
+#: A flat message and the tracker's envelope in one: they share app_id and timestamp.
+PLAYER_MESSAGE = ("app_id int, player_count bigint, timestamp string, source string, api_response_time_ms double, "
+                  "message_id string, game_name string, data string")
 ENVELOPE_PLAYER = "app_id int, player_count bigint, timestamp string, api_response_time_ms double, source string"
 REVIEW_ENVELOPE = ("event_type string, app_id int, timestamp string, data struct<reviews: array<struct<"
                    "app_id: int, review_id: string, review_text: string, review_helpful: int, "
@@ -71,8 +72,8 @@ def decode_safe(df: DataFrame, schema: str) -> DataFrame:
     """A3: tolerant decode: a value that is no JSON object of this schema
     gives a record with NULL fields and is flagged ``_corrupt`` for the
     dead-letter sink; the stream never fails on a bad message."""
-    p = F.from_json(F.col("value"), f"{schema}, _bad string", {"columnNameOfCorruptRecord": "_bad"})
-    return df.select("*", p.alias("_m")).withColumn("_corrupt", F.col("_m").isNull() | F.col("_m._bad").isNotNull())
+    parsed = parse_once(df, "value", f"{schema}, _bad string", "_m", {"columnNameOfCorruptRecord": "_bad"})
+    return parsed.withColumn("_corrupt", F.col("_m").isNull() | F.col("_m._bad").isNotNull())
 
 
 def naive_time(text) -> F.Column:
@@ -85,25 +86,30 @@ def normalize_player_event(df: DataFrame, accept_envelope: bool = True) -> DataF
     the reference consumer's behaviour) the tracker envelope
     ``{event_type, app_id, timestamp, data:{...}}``, whose message id is
     rebuilt as ``<app_id>_<epoch seconds>``."""
-    flat = F.from_json(F.col("value"), FLAT_PLAYER)
-    env = F.from_json(F.col("value"), ENVELOPE)
-    d = F.from_json(env["data"], ENVELOPE_PLAYER)
-    use_env = F.lit(accept_envelope) & env["data"].isNotNull()
+    m = parse_once(df.select("value"), "value", PLAYER_MESSAGE, "m")
+    if accept_envelope:
+        m = parse_once(m.withColumn("data", F.col("m.data")), "data", ENVELOPE_PLAYER, "d")
+        use_env = F.col("data").isNotNull()
+    else:
+        use_env = F.lit(False)
 
     def pick(field):
-        from_env = F.coalesce(d[field], env[field]) if field in ("app_id", "timestamp") else d[field]
-        return F.when(use_env, from_env).otherwise(flat[field])
-    ts_text = pick("timestamp")
-    time = naive_time(ts_text)
-    app = pick("app_id")
+        flat = F.col(f"m.{field}")
+        if not accept_envelope:
+            return flat
+        inner = F.col(f"d.{field}")
+        return F.when(use_env, F.coalesce(inner, flat) if field in ("app_id", "timestamp") else inner).otherwise(flat)
+    # the time is a column of its own below the rest, so that it is read once
+    timed = m.select("*", F.explode(F.array(F.struct(pick("app_id").alias("app_id"), pick("timestamp").alias("text"), naive_time(pick("timestamp")).alias("time")))).alias("t"))
+    app, time = F.col("t.app_id"), F.col("t.time")
     env_id = F.concat_ws("_", app.cast("string"), F.unix_seconds(time.cast("timestamp")).cast("string"))
-    return df.select(
+    return timed.select(
         app.alias("app_id"), pick("player_count").try_cast("int").alias("player_count"),
-        ts_text.alias("timestamp_text"), time.alias("timestamp"),
+        F.col("t.text").alias("timestamp_text"), time.alias("timestamp"),
         pick("api_response_time_ms").alias("api_response_time_ms"),
         F.coalesce(pick("source"), F.lit("kafka_stream")).alias("source"),
-        F.when(use_env, F.when(app.isNotNull() & time.isNotNull(), env_id)).otherwise(flat["message_id"]).alias("message_id"),
-        F.when(use_env, F.lit(None)).otherwise(flat["game_name"]).alias("game_name"),
+        F.when(use_env, F.when(app.isNotNull() & time.isNotNull(), env_id)).otherwise(F.col("m.message_id")).alias("message_id"),
+        F.when(use_env, F.lit(None)).otherwise(F.col("m.game_name")).alias("game_name"),
         F.col("value").alias("raw"))
 
 
@@ -227,8 +233,7 @@ def stream_price_changes(prices: DataFrame, eps: float = 0.01) -> DataFrame:
 def stream_review_explode(source: DataFrame) -> DataFrame:
     """Keep ``review_batch`` events, one row per review, parent app id
     stamped and ``Game_<id>`` as default name."""
-    e = F.from_json(F.col("value"), REVIEW_ENVELOPE)
-    ev = source.select(e.alias("e")).filter(F.col("e.event_type") == "review_batch")
+    ev = parse_once(source.select("value"), "value", REVIEW_ENVELOPE, "e").filter(F.col("e.event_type") == "review_batch")
     r = ev.select(F.col("e.app_id").alias("app_id"), F.explode("e.data.reviews").alias("r"))
     return r.select("app_id", F.concat(F.lit("Game_"), F.col("app_id").cast("string")).alias("game_name"),
                     F.col("r.review_id").alias("review_id"), F.col("r.review_text").alias("review_text"),

@@ -150,12 +150,11 @@ def test_dedup_keeps_newest_labelled_and_all_unlabelled(spark):
     assert sorted(r.id for r in W.dedup_reviews(df).collect()) == [2, 3, 5]
 
 
-def test_new_price_flags_against_the_stored_price(spark, tmp_path):
+def test_new_price_flags_against_the_stored_price(spark):
     schema = "app_id int, price_current double, timestamp timestamp_ntz"
-    table = B.VersionedTable(spark, str(tmp_path / "prices"), "app_id", buckets=4)
-    table.replace(spark.createDataFrame([(1, 5.0, T0)], schema))
+    stored = spark.createDataFrame([(1, 5.0, T0)], schema)
     batch = spark.createDataFrame([(1, 5.0, T0 + dt.timedelta(hours=1)), (1, 6.0, T0 + dt.timedelta(hours=2))], schema)
-    flags = [r.price_change_detected for r in B.flag_new_prices(table.read(), batch).orderBy("timestamp").collect()]
+    flags = [r.price_change_detected for r in B.flag_new_prices(stored, batch).orderBy("timestamp").collect()]
     assert flags == [False, True]
 
 

@@ -9,7 +9,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from tidewatch.operators import windows as W
-from tidewatch.sinks.writers import VersionedTable
+from tidewatch.sinks.stored import StoredTable
 from tidewatch.sources import fixtures
 from tidewatch.streaming import jobs as J
 
@@ -157,7 +157,7 @@ def test_scored_reviews_are_stored_once_with_the_last_score(spark):
     def run():
         src = J.read_stream(spark, J.REVIEW_TOPIC, path=f"{d}/in/*")
         J.stream_score_reviews(spark, src, f"{d}/table", f"{d}/ck").awaitTermination()
-        return {r.review_id: r for r in VersionedTable(spark, f"{d}/table", "review_id").read().collect()}
+        return {r.review_id: r for r in StoredTable(spark, f"{d}/table", "review_id").read().collect()}
     long_text = "great " + "x" * 5000
     _write(spark, f"{d}/in/0", [_reviews(1, ("r1", "good", ok), ("r1", "bad", ok), ("r2", long_text, "not a time")),
                                 "{broken", json.dumps({"event_type": "other"})])

@@ -21,7 +21,9 @@ def co_moments(x: str, y: str) -> Column:
     a, b = (F.when(both, F.col(c).cast("double")) for c in (x, y))
     n = F.count_if(both)
     scaled = lambda v: F.coalesce(v * n, F.lit(0.0))
-    return F.struct(n.alias("n"), F.coalesce(F.avg(a), F.lit(0.0)).alias("mean_x"), F.coalesce(F.avg(b), F.lit(0.0)).alias("mean_y"),
+    # a sum divided by its count can miss a value that never changes
+    mean = lambda v: F.coalesce(F.when(F.min(v) == F.max(v), F.min(v)).otherwise(F.avg(v)), F.lit(0.0))
+    return F.struct(n.alias("n"), mean(a).alias("mean_x"), mean(b).alias("mean_y"),
                     scaled(F.var_pop(a)).alias("xx"), scaled(F.var_pop(b)).alias("yy"), scaled(F.covar_pop(a, b)).alias("xy"))
 
 

@@ -1,8 +1,8 @@
 """Keyed table mutations (B4-B8, D5-D7) as DataFrame rewrites.
 
 Plain Parquet tables have no MERGE, so every upsert computes the *new table
-state* as a DataFrame and a sink writes it as a new version (see
-``sinks.writers.VersionedTable``, which gives it the touched buckets only).
+state* as a DataFrame and a sink writes it (see ``sinks.stored``, which gives
+it the rows of the touched folders only).
 The shape is always one full outer join, so each side is read once:
 
     stored table  FULL OUTER JOIN  the batch, summarised per key

@@ -1,22 +1,9 @@
-"""Sinks (B1-B3, B9-B13): appends, versioned table states, event routing,
-reports and exports.
-
-Keyed mutations (``operators.merge``) return new table states. A
-``VersionedTable`` keeps rows in buckets by a hash of their key: a merge
-reads and rewrites only the buckets that the batch touches. Data folders are
-never changed once written; a manifest names the folders that make up the
-table. A new manifest is written aside and renamed to the next number, which
-fails if that number exists, so readers see the old state or the new one and
-a job that stops in between changes nothing. Only a missing manifest folder
-means "no table yet"; any other error is raised.
+"""Sinks (B1-B3, B9-B13): appends, event routing, reports and exports.
+Stored tables that batches are merged into are in :mod:`.stored`.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +11,7 @@ from pyspark.sql import types as T
 from ..functions.timefns import anchor
 from ..operators import windows as W
 from ..schemas import REPORTS
+from .stored import append_run, earlier_runs
 
 # Topic routing of tracker events.
 TOPICS = {"player_count": "steam-player-counts", "price_update": "steam-price-updates",
@@ -32,108 +20,12 @@ FALLBACK_TOPIC = "steam-tracking-events"
 DISCOVERY_TOPIC = "game-discovery-events"
 
 
-# -- versioned table states ----------------------------------------------
-
-class VersionedTable:
-    """A table of rows in ``buckets`` folders by the hash of ``key``."""
-
-    def __init__(self, spark: SparkSession, root: str, key: str, buckets: int = 64, keep: int = 2):
-        self.spark, self.root, self.key, self.buckets, self.keep = spark, root.rstrip("/"), key, buckets, keep
-        self._jvm = spark.sparkContext._jvm
-        self._manifests = self._path(f"{self.root}/_manifests")
-        self._fs = self._manifests.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _path(self, text: str):
-        return self._jvm.org.apache.hadoop.fs.Path(text)
-
-    def _numbers(self) -> list[int]:
-        if not self._fs.exists(self._manifests):
-            return []
-        names = [x.getPath().getName() for x in self._fs.listStatus(self._manifests)]
-        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
-
-    def _load(self, number: int) -> dict:
-        stream = self._fs.open(self._path(f"{self.root}/_manifests/{number:012d}.json"))
-        try:
-            return json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
-
-    def manifest(self) -> dict | None:
-        """The newest manifest, None for a table that does not exist."""
-        numbers = self._numbers()
-        return self._load(numbers[-1]) | {"number": numbers[-1]} if numbers else None
-
-    def _frame(self, manifest: dict, buckets: list[str] | None = None) -> DataFrame:
-        schema = T.StructType.fromJson(manifest["schema"])
-        folders = [f"{self.root}/{f}" for b, f in sorted(manifest["folders"].items()) if buckets is None or b in buckets]
-        return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
-
-    def read(self) -> DataFrame | None:
-        found = self.manifest()
-        return self._frame(found) if found else None
-
-    def _bucket(self) -> F.Column:
-        return F.pmod(F.xxhash64(F.col(self.key)), F.lit(self.buckets)).cast("int")
-
-    def merge(self, batch: DataFrame, change: Callable[[DataFrame, DataFrame], DataFrame], schema: T.StructType | None = None) -> None:
-        """``change(current, batch)`` gives the new state of the touched
-        buckets from their current rows; ``schema`` is that of a new table."""
-        found = self.manifest()
-        old = found or {"schema": (schema or batch.schema).jsonValue(), "folders": {}, "number": 0}
-        touched = [str(r[0]) for r in batch.select(self._bucket()).distinct().collect()]  # buckets at most
-        if found and not touched:
-            return
-        state = change(self._frame(old, touched), batch)
-        version = f"data/{old['number'] + 1:012d}-{uuid.uuid4().hex}"
-        state.withColumn("_bucket", self._bucket()).write.partitionBy("_bucket").parquet(f"{self.root}/{version}")
-        written = {x.getPath().getName() for x in self._fs.listStatus(self._path(f"{self.root}/{version}"))}
-        folders = {b: f for b, f in old["folders"].items() if b not in touched}
-        folders |= {n.split("=")[1]: f"{version}/{n}" for n in written if n.startswith("_bucket=")}
-        self._commit({"schema": old["schema"], "folders": folders}, old["number"] + 1)
-
-    def replace(self, df: DataFrame) -> None:
-        """The whole table anew."""
-        found = self.manifest()
-        number = (found["number"] if found else 0) + 1
-        version = f"data/{number:012d}-{uuid.uuid4().hex}"
-        df.withColumn("_bucket", self._bucket()).write.partitionBy("_bucket").parquet(f"{self.root}/{version}")
-        names = [x.getPath().getName() for x in self._fs.listStatus(self._path(f"{self.root}/{version}"))]
-        self._commit({"schema": df.schema.jsonValue(), "folders": {n.split("=")[1]: f"{version}/{n}" for n in names if n.startswith("_bucket=")}}, number)
-
-    def _commit(self, manifest: dict, number: int) -> None:
-        aside = self._path(f"{self.root}/_manifests/.{uuid.uuid4().hex}")
-        final = self._path(f"{self.root}/_manifests/{number:012d}.json")
-        stream = self._fs.create(aside, False)
-        try:
-            stream.write(bytearray(json.dumps(manifest).encode()))
-        finally:
-            stream.close()
-        if self._fs.exists(final) or not self._fs.rename(aside, final):
-            self._fs.delete(aside, False)
-            raise RuntimeError(f"{self.root}: version {number} was committed by another writer")
-        self._clean()
-
-    def _clean(self) -> None:
-        """Removes data that none of the last ``keep`` manifests names, and
-        older manifests. Data of a merge that has not committed yet has a
-        higher number and stays."""
-        numbers = self._numbers()
-        kept = numbers[-self.keep:]
-        named = {f.split("/")[1] for n in kept for f in self._load(n)["folders"].values()}
-        for x in self._fs.listStatus(self._path(f"{self.root}/data")):
-            name = x.getPath().getName()
-            if name not in named and int(name.split("-")[0]) <= kept[0]:
-                self._fs.delete(x.getPath(), True)
-        for n in numbers[:-self.keep]:
-            self._fs.delete(self._path(f"{self.root}/_manifests/{n:012d}.json"), False)
-
-
 # -- appends -------------------------------------------------------------
 
-def append_player(df: DataFrame, path: str) -> None:
-    """B1: append readings, partitioned by date (retention drops whole dates)."""
-    df.withColumn("date", F.to_date("timestamp")).write.mode("append").partitionBy("date").parquet(path)
+def append_player(df: DataFrame, path: str, run: str | int) -> None:
+    """B1: append the readings of a run, partitioned by date (retention drops
+    whole dates); a repeated run replaces itself."""
+    append_run(df.withColumn("date", F.to_date("timestamp")), path, run, ("date",))
 
 
 def realtime_rows(valid: DataFrame, as_of=None) -> DataFrame:
@@ -157,6 +49,13 @@ def flag_new_prices(stored: DataFrame, batch: DataFrame, eps: float = 0.01) -> D
     return flagged.filter(~F.col("_stored")).select(*cols, "price_change_detected")
 
 
+def append_prices(spark: SparkSession, batch: DataFrame, path: str, run: int, eps: float = 0.01) -> None:
+    """Append a run's prices, each flagged against the previous price;
+    stored prices are those of earlier runs, so a repeated run finds the same."""
+    stored = earlier_runs(spark, path, run, T.StructType([f for f in batch.schema if f.name in ("app_id", "price_current", "timestamp")]))
+    append_run(flag_new_prices(stored, batch, eps), path, run)
+
+
 # -- events --------------------------------------------------------------
 
 def route_events(events: DataFrame) -> DataFrame:
@@ -204,9 +103,9 @@ def report_row(report: DataFrame, as_of=None) -> DataFrame:
     return row.select(*[F.col(f.name).cast(f.dataType) for f in REPORTS])
 
 
-def append_report(report: DataFrame, path: str, as_of=None) -> None:
-    """One stored row per report."""
-    report_row(report, as_of).write.mode("append").parquet(path)
+def append_report(report: DataFrame, path: str, run: str | int, as_of=None) -> None:
+    """One stored row per report; a repeated run replaces its row."""
+    append_run(report_row(report, as_of), path, run)
 
 
 def export_rows(projection: DataFrame) -> DataFrame:

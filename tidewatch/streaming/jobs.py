@@ -23,7 +23,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from ..functions.frames import parse_once
 from ..operators import merge as M
 from ..operators import scoring as K
-from ..sinks.writers import VersionedTable, realtime_rows
+from ..sinks.stored import StoredTable
+from ..sinks.writers import realtime_rows
 
 PLAYER_TOPIC = "steam-player-counts"
 REVIEW_TOPIC = "steam-reviews"
@@ -241,15 +242,15 @@ def stream_review_explode(source: DataFrame) -> DataFrame:
                     naive_time(F.col("r.review_timestamp")).alias("review_timestamp"))
 
 
-def score_and_upsert_batch(spark: SparkSession, batch: DataFrame, batch_id: int, table_root: str) -> None:
+def score_and_upsert_batch(spark: SparkSession, batch: DataFrame, batch_id: int, path: str) -> None:
     """J6 micro-batch: score (K1) then upsert scores by review id (B5), in the
-    order of arrival within the batch; only the table's touched buckets are
-    rewritten. A replayed batch gives the same state."""
+    order of arrival within the batch; only the folders of the batch's key
+    ranges and days are written. A replayed batch gives the same table."""
     order = batch.withColumn("_seq", F.monotonically_increasing_id())
     scored = K.score_reviews(order, method="stream").withColumn("id", F.xxhash64("review_id"))
     stored = T.StructType([f for f in scored.schema if f.name != "_seq"])
-    VersionedTable(spark, table_root, "review_id").merge(
-        scored, lambda current, new: M.upsert_review_scores(current, new, seq="_seq"), schema=stored)
+    StoredTable(spark, path, "review_id", "review_timestamp").upsert(
+        scored, lambda current, new: M.upsert_review_scores(current, new, seq="_seq"), batch_id, stored)
 
 
 def stream_score_reviews(spark: SparkSession, source: DataFrame, table_root: str, checkpoint: str,

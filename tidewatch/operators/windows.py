@@ -94,6 +94,11 @@ def significant_changes(players: DataFrame, threshold_pct: float = 20) -> DataFr
     the previous stored reading of the game (previous > 0)."""
     lagged = lag_by_key(players.select("id", "app_id", "game_name", "player_count", "timestamp"),
                         ["app_id"], ["timestamp", "id"], ["player_count"])
+    return changes_of(lagged, threshold_pct)
+
+
+def changes_of(lagged: DataFrame, threshold_pct: float = 20) -> DataFrame:
+    """F2 on readings that carry ``prev_player_count``."""
     prev, cur = F.col("prev_player_count"), F.col("player_count")
     change = (cur - prev) / prev * 100
     return (lagged.filter(prev.isNotNull() & (prev > 0)).withColumn("change_percent", change)
@@ -113,7 +118,11 @@ def price_changes(prices: DataFrame, order: Sequence[str] = ("timestamp",), eps:
     # ``prev`` is NULL both for the first row and for a NULL stored price;
     # only the first row is unflagged, so a never-NULL marker is lagged too.
     marked = prices.withColumn("_row", F.lit(True))
-    out = lag_by_key(marked, ["app_id"], list(order), ["price_current", "_row"])
+    return flags_of(lag_by_key(marked, ["app_id"], list(order), ["price_current", "_row"]), eps, exact)
+
+
+def flags_of(out: DataFrame, eps: float = 0.01, exact: bool = False) -> DataFrame:
+    """F3 on prices that carry ``prev_price_current`` and ``prev__row``."""
     first = F.col("prev__row").isNull()
     prev = F.col("prev_price_current")
     if exact:

@@ -12,19 +12,19 @@ of appending twice.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from datetime import timedelta
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.frames import parse_once
 from ..operators import merge as M
 from ..operators import scoring as K
-from ..sinks.stored import StoredTable
+from ..operators import windows as W
+from ..sinks.stored import StoredTable, exists
 from ..sinks.writers import realtime_rows
+from .ordered import Ordered
 
 PLAYER_TOPIC = "steam-player-counts"
 REVIEW_TOPIC = "steam-reviews"
@@ -123,110 +123,97 @@ def valid_player_message(df: DataFrame) -> F.Column:
 
 # -- J1: player ingest ---------------------------------------------------------
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def player_ingest_batch(batch: DataFrame, batch_id: int, table: str, dead_letter: str, dedupe: bool = False) -> None:
-    """One micro-batch of J1: valid rows to the table (B2), rejects to the
-    dead letter; both written per batch id, so a replay is idempotent."""
+    """One micro-batch of J1: valid rows to the table (B2) by date, rejects to
+    the dead letter; both in folders of the batch, so a replay is idempotent.
+    The batch is kept while it is used: each use would read, parse and look up
+    its messages again."""
+    batch = batch.persist()
     ok = valid_player_message(batch)
-    rows = realtime_rows(batch.filter(ok).drop("raw", "timestamp_text"))
+    rows = realtime_rows(batch.filter(ok).drop("raw", "timestamp_text")).withColumn("date", F.to_date("timestamp"))
     if dedupe:
-        rows = dedupe_messages(rows, batch_id, table)
-    rows.write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
+        rows = not_stored(rows, batch_id, table)
+    (rows.withColumn("batch", F.lit(batch_id).cast("long")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("date", "batch").parquet(table))
     batch.filter(~F.coalesce(ok, F.lit(False))).select("raw").write.mode("overwrite") \
         .parquet(f"{dead_letter}/batch={batch_id}")
+    batch.unpersist()
 
 
 def stream_player_ingest(spark: SparkSession, source: DataFrame, table: str, dead_letter: str,
-                         checkpoint: str, dedupe: bool = False, available_now: bool = True):
+                         checkpoint: str, dedupe: bool = False, available_now: bool = True, remember: str = "1 day"):
     """J1 (+J10 when ``dedupe``): decode, validate, store; invalid messages
     go to the dead letter and the stream continues."""
-    w = normalize_player_event(source).writeStream.option("checkpointLocation", checkpoint).foreachBatch(
+    events = normalize_player_event(source)
+    if dedupe:
+        events = dedupe_messages(events, remember)
+    w = events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
         lambda b, i: player_ingest_batch(b, i, table, dead_letter, dedupe))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
 
 
-def dedupe_messages(rows: DataFrame, batch_id: int, table: str) -> DataFrame:
-    """J10 (opt-in): the rows whose ``message_id`` is neither stored by an
-    earlier batch nor repeated in this one; rows without an id are all kept,
-    and so are late ones, however late. Only stored rows within the batch's
-    span of time are read (a repeated message has the same time)."""
-    named = rows.filter(F.col("message_id").isNotNull())
-    rest = rows.filter(F.col("message_id").isNull())
-    first = [c for c in rows.columns if c != "message_id"]
-    once = (named.groupBy("message_id").agg(F.min(F.struct("timestamp", *[c for c in first if c != "timestamp"])).alias("r"))
-            .select("message_id", "r.*").select(*rows.columns))
-    span = named.agg(F.min("timestamp"), F.max("timestamp")).first()
-    if batch_id > 0 and span[0] is not None:
-        spark = rows.sparkSession
-        stored = (spark.read.schema("message_id string, timestamp timestamp_ntz, batch long").parquet(table)
-                  .filter((F.col("batch") < batch_id) & F.col("timestamp").between(F.lit(span[0]), F.lit(span[1]))))
-        once = once.join(stored.select("message_id"), "message_id", "left_anti").select(*rows.columns)
-    return once.unionByName(rest)
-
-
-# -- J4 / J5: stateful change detection ---------------------------------------
-
-CHANGE_SCHEMA = ("app_id int, game_name string, previous_count int, current_count int, change_percent double, "
-                 "direction string, timestamp timestamp_ntz")
-CHANGE_STATE = "last_ts timestamp_ntz, last_count int, last_key string"
-
-
-def _changes(key, pdfs: Iterator[pd.DataFrame], state: GroupState, pct: float) -> Iterator[pd.DataFrame]:
-    """Per game: rows of this micro-batch sorted by (timestamp, message id);
-    each is compared with the previous reading (carried in state across
-    batches); alerts when the change exceeds ``pct`` % and previous > 0."""
-    pdf = pd.concat(list(pdfs), ignore_index=True)
-    pdf = pdf.sort_values(["timestamp", "message_id"], kind="mergesort", na_position="first", ignore_index=True)
-    prev = pdf["player_count"].astype(float).shift()
-    if state.exists and state.get[1] is not None:
-        prev.iloc[0] = state.get[1]
-    change = (pdf["player_count"] - prev) / prev.where(prev > 0) * 100
-    last = pdf.iloc[-1]
-    state.update((last["timestamp"].to_pydatetime(), int(last["player_count"]), last["message_id"]))
-    hit = change.abs() > pct
-    yield pd.DataFrame({"app_id": pdf["app_id"], "game_name": pdf["game_name"], "previous_count": prev, "current_count": pdf["player_count"],
-                        "change_percent": change, "direction": change.gt(0).map({True: "UP", False: "DOWN"}),
-                        "timestamp": pdf["timestamp"]})[hit].astype({"previous_count": int})
-
-
-def stream_significant_changes(events: DataFrame, pct: float = 20) -> DataFrame:
-    """``applyInPandasWithState`` keyed by app_id; state = last reading.
-    In-order data gives exactly the batch F2 result; late rows are compared
-    with whatever arrived before them (as the reference does)."""
-    valid = events.filter(valid_player_message(events)).select(
-        "app_id", "game_name", "player_count", "timestamp", "message_id")
-    return valid.groupBy("app_id").applyInPandasWithState(
-        lambda k, it, st: _changes(k, it, st, pct), CHANGE_SCHEMA, CHANGE_STATE, "append",
-        GroupStateTimeout.NoTimeout)
-
-
-PRICE_STATE = "last_price double"
-PRICE_OUT = "app_id int, price_current double, timestamp timestamp_ntz, price_change_detected boolean"
-
-
-def _price_flags(key, pdfs, state: GroupState, eps: float):
-    """As batch F3: the first price of a game is not flagged, a missing
-    previous price counts as 0.0, a missing price has no flag. State exists
-    once a price was seen, also a missing one."""
-    pdf = pd.concat(list(pdfs), ignore_index=True).sort_values("timestamp", kind="mergesort", ignore_index=True)
-    price = pdf["price_current"].astype(float)
-    prev = price.shift().fillna(0.0)
-    if state.exists:
-        prev.iloc[0] = state.get[0] or 0.0
-    flags = ((price - prev).abs() > eps).astype(object).where(price.notna(), None)
-    if not state.exists:
-        flags.iloc[0] = False
-    last = price.iloc[-1]
-    state.update((None if pd.isna(last) else float(last),))
-    yield pdf.assign(price_change_detected=flags)[["app_id", "price_current", "timestamp", "price_change_detected"]]
-
-
-def stream_price_changes(prices: DataFrame, eps: float = 0.01) -> DataFrame:
-    """The F3 flag on a price stream, previous price kept in state."""
-    return prices.select("app_id", F.col("price_current").cast("double").alias("price_current"), "timestamp") \
-        .groupBy("app_id").applyInPandasWithState(
-            lambda k, it, st: _price_flags(k, it, st, eps), PRICE_OUT, PRICE_STATE, "append",
-            GroupStateTimeout.NoTimeout)
+def dedupe_messages(events: DataFrame, remember: str = "1 day") -> DataFrame:
+    """J10 (opt-in), in the stream: of valid messages with one id the first,
+    if the others arrive within ``remember``. The ids are in Spark's state
+    store (RocksDB: on disk, dropped once ``remember`` has passed). The
+    watermark is that of arrival, so no message is too late, whatever its own
+    time; messages without an id, and invalid ones, are all kept."""
+    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    named = valid_player_message(events) & F.col("message_id").isNotNull()
+    marked = events.withColumns({"_arrived": F.current_timestamp(), "_id": F.when(named, F.concat(F.lit("m"), F.col("message_id"))).otherwise(F.expr("uuid()"))})
+    return marked.withWatermark("_arrived", remember).dropDuplicatesWithinWatermark(["_id"]).drop("_arrived", "_id")
+
+
+def not_stored(rows: DataFrame, batch_id: int, table: str) -> DataFrame:
+    """J10, behind the stream's memory: rows whose id no earlier batch has
+    stored. A repeated message has its first one's time, so only the folders
+    of the batch's dates are listed and read."""
+    spark = rows.sparkSession
+    dates = [r[0] for r in rows.filter(F.col("message_id").isNotNull()).select("date").distinct().collect()]  # of one batch
+    folders = [f for f in (f"{table}/date={d}" for d in dates) if exists(spark, f)]
+    if not folders:
+        return rows
+    stored = (spark.read.schema("message_id string, date date, batch long").option("basePath", table).parquet(*folders)
+              .filter((F.col("batch") < batch_id) & F.col("message_id").isNotNull()).select("message_id"))
+    return rows.join(stored, "message_id", "left_anti").select(*rows.columns)
+
+
+# -- J4 / J5: change detection in event-time order -----------------------------
+
+READING = T.StructType([T.StructField("app_id", T.IntegerType()), T.StructField("game_name", T.StringType()), T.StructField("player_count", T.IntegerType()),
+                        T.StructField("timestamp", T.TimestampNTZType()), T.StructField("message_id", T.StringType())])
+PRICE = T.StructType([T.StructField("app_id", T.IntegerType()), T.StructField("price_current", T.DoubleType()), T.StructField("timestamp", T.TimestampNTZType()),
+                      T.StructField("_row", T.BooleanType())])
+DELAY = timedelta(minutes=10)
+
+
+def significant_changes(spark: SparkSession, folder: str, pct: float = 20, delay: timedelta = DELAY) -> Ordered:
+    """J4's state and results in ``folder``: F2 over the stream's valid
+    readings, equal times ordered by message id."""
+    return Ordered(spark, folder, READING, "app_id", ("timestamp", "message_id"), ("player_count",), lambda r: W.changes_of(r, pct), delay)
+
+
+def stream_significant_changes(events: DataFrame, folder: str, checkpoint: str, pct: float = 20, delay: timedelta = DELAY, available_now: bool = True):
+    """Readings that changed by more than ``pct`` % against the previous
+    one in time; messages up to ``delay`` late count in their place."""
+    valid = events.filter(valid_player_message(events)).select(*READING.names)
+    return significant_changes(events.sparkSession, folder, pct, delay).start(valid, checkpoint, available_now)
+
+
+def price_changes(spark: SparkSession, folder: str, eps: float = 0.01, delay: timedelta = DELAY) -> Ordered:
+    """J5's state and results in ``folder``: F3 over the stream's prices. A
+    missing price is carried like any other; ``_row`` tells it from none."""
+    return Ordered(spark, folder, PRICE, "app_id", ("timestamp",), ("price_current", "_row"), lambda r: W.flags_of(r, eps), delay)
+
+
+def stream_price_changes(prices: DataFrame, folder: str, checkpoint: str, eps: float = 0.01, delay: timedelta = DELAY, available_now: bool = True):
+    """Every price with its F3 flag."""
+    rows = prices.select("app_id", F.col("price_current").cast("double").alias("price_current"), "timestamp", F.lit(True).alias("_row"))
+    return price_changes(prices.sparkSession, folder, eps, delay).start(rows, checkpoint, available_now)
 
 
 # -- J3 / J6 / J7: reviews -------------------------------------------------------

@@ -208,13 +208,6 @@ def test_decode_flags_broken_values(spark):
     assert [r._corrupt for r in J.decode_safe(df, "app_id int").collect()] == [False, True, True]
 
 
-def test_read_topic_bounded_is_ordered(spark):
-    d = _scratch()
-    _write(spark, f"{d}/a", ["1", "2", "3"])
-    _write(spark, f"{d}/b", ["4"])
-    assert [r.value for r in J.read_topic_bounded(spark, 2, path=f"{d}/a").collect()] == ["1", "2"]
-
-
 def _reviews(app, *reviews):
     return json.dumps({"event_type": "review_batch", "app_id": app, "timestamp": "2024-01-02T00:00:00", "data": {"reviews": [
         {"app_id": app, "review_id": i, "review_text": t, "review_timestamp": when} for i, t, when in reviews]}})

@@ -1,8 +1,8 @@
 """Structured Streaming jobs.
 
-Sources are Kafka topics in production (``format('kafka')``, needs the Kafka
-connector on the classpath) or landed JSON-lines files (``readStream.text``)
-in tests; both yield a ``value`` string column. Every job is
+Sources are Kafka topics (``format('kafka')``, needs the Kafka connector on
+the classpath), landed logs with offsets (``sources.landed_log``) or folders
+of JSON-lines files; all yield a ``value`` string column. Every job is
 ``readStream -> column transforms -> writeStream`` with a checkpoint in the
 shared folder, so a restarted job resumes where its last committed
 micro-batch ended. ``foreachBatch`` sinks write each batch to a folder named
@@ -12,6 +12,7 @@ of appending twice.
 
 from __future__ import annotations
 
+import json
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,7 @@ from ..operators import scoring as K
 from ..operators import windows as W
 from ..sinks.stored import StoredTable, exists
 from ..sinks.writers import realtime_rows
+from ..sources.landed_log import first_offsets, read_log, stream_log
 from .ordered import Ordered
 
 PLAYER_TOPIC = "steam-player-counts"
@@ -41,32 +43,44 @@ REVIEW_ENVELOPE = ("event_type string, app_id int, timestamp string, data struct
 # -- sources ---------------------------------------------------------------
 
 def read_stream(spark: SparkSession, topic: str, path: str | None = None, kafka_servers: str | None = None,
-                max_per_trigger: int | None = None) -> DataFrame:
-    """A2: subscribe from the earliest offset (Kafka) or watch a folder of
-    JSON-lines files; returns (key, value) strings."""
+                max_per_trigger: int | None = None, log: str | None = None, min_per_trigger: int | None = None, max_delay: str = "30s") -> DataFrame:
+    """A2: subscribe from the earliest offset (Kafka), follow a landed log
+    (``log``) or watch a folder of JSON-lines files; returns (key, value)
+    strings. ``min_per_trigger`` holds a Kafka batch back until so many
+    messages are there or ``max_delay`` has passed."""
+    key = F.lit(None).cast("string").alias("key")
     if kafka_servers:
         r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", kafka_servers)
              .option("subscribe", topic).option("startingOffsets", "earliest"))
         if max_per_trigger:
             r = r.option("maxOffsetsPerTrigger", max_per_trigger)
+        if min_per_trigger:
+            r = r.option("minOffsetsPerTrigger", min_per_trigger).option("maxTriggerDelay", max_delay)
         return r.load().select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
+    if log:
+        return stream_log(spark, log).select(key, "value")
     r = spark.readStream.format("text")
     if max_per_trigger:
         r = r.option("maxFilesPerTrigger", max_per_trigger)
-    return r.load(path).select(F.lit(None).cast("string").alias("key"), F.col("value"))
+    return r.load(path).select(key, F.col("value"))
 
 
-def read_topic_bounded(spark: SparkSession, n: int, topic: str = PLAYER_TOPIC, path: str | None = None,
-                       kafka_servers: str | None = None) -> DataFrame:
-    """A4: the first ``n`` messages as a batch (the bound is the feature)."""
+def kafka_ends(topic: str, starts: dict[int, int], n: int) -> str:
+    """``endingOffsets`` of at most ``n`` messages of each partition."""
+    return json.dumps({topic: {str(p): o + n for p, o in starts.items()}})
+
+
+def read_topic_bounded(spark: SparkSession, n: int, topic: str = PLAYER_TOPIC, log: str | None = None,
+                       kafka_servers: str | None = None, starts: dict[int, int] | None = None) -> DataFrame:
+    """A4: the first ``n`` messages as a batch, by partition and offset (the
+    bound is the feature). Of a landed log only these are read. Of a Kafka
+    topic, whose partitions' first offsets are given, at most ``n`` of each
+    partition are read, and the first of them taken."""
     if kafka_servers:
-        df = (spark.read.format("kafka").option("kafka.bootstrap.servers", kafka_servers)
-              .option("subscribe", topic).option("startingOffsets", "earliest").load()
-              .orderBy("partition", "offset").select(F.col("value").cast("string").alias("value")))
-    else:
-        df = (spark.read.text(path).select("value", "_metadata.file_path", F.monotonically_increasing_id().alias("at"))
-              .orderBy("file_path", "at").select("value"))
-    return df.limit(n)
+        df = (spark.read.format("kafka").option("kafka.bootstrap.servers", kafka_servers).option("subscribe", topic)
+              .option("startingOffsets", json.dumps({topic: {str(p): o for p, o in starts.items()}})).option("endingOffsets", kafka_ends(topic, starts, n)).load())
+        return df.orderBy("partition", "offset").limit(n).select(F.col("value").cast("string").alias("value"))
+    return read_log(spark, log, ending=first_offsets(log, n)).select("value")
 
 
 def decode_safe(df: DataFrame, schema: str) -> DataFrame:

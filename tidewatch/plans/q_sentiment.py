@@ -3,9 +3,10 @@ E27, E28) and the trending comparison (D2)."""
 
 from __future__ import annotations
 
+from ..operators import hourly as H
 from ..operators import sentiment as S
 from .oracle_views import R_NOW
-from .registry import query
+from .registry import REGISTRY, query
 
 
 def _since(h):
@@ -260,3 +261,38 @@ order by abs(r.recent_avg - p.previous_avg) desc, r.app_id, r.game_name limit 10
 """, ctes=TRENDING_CTES, floats=("recent_sentiment", "previous_sentiment", "sentiment_change"))
 def _d2(x):
     return S.trending_sentiment(x.reviews, x.review_as_of)
+
+
+# -- the same windows, read from hourly states ---------------------------------
+
+def _window(x, **span):
+    return H.window(H.hourly_states(x.reviews), x.reviews, x.review_as_of, **span)
+
+
+@query("hourly_states", """
+select date_trunc('hour', processed_timestamp) as hour, app_id, sentiment_label, count(*) as reviews, count(sentiment_score) as scored,
+  coalesce(sum(sentiment_score), 0.0) as score_sum, count(processing_time_ms) as timed, coalesce(sum(processing_time_ms), 0.0) as time_sum
+from review_tracking where processed_timestamp is not null group by all
+""", floats=("score_sum", "time_sum"))
+def _j8_states(x):
+    return H.hourly_states(x.reviews)
+
+
+@query("hourly_game_sentiment_from_states", REGISTRY["hourly_game_sentiment"].sql, floats=("avg_score",))
+def _e3_states(x):
+    return H.hourly_game_sentiment(_window(x, hours=24))
+
+
+@query("processing_rate_from_states", REGISTRY["processing_rate_hourly"].sql, floats=("avg_processing_time_ms",))
+def _e6_states(x):
+    return H.processing_rate_hourly(_window(x, hours=24))
+
+
+@query("sentiment_trend_from_states", REGISTRY["sentiment_trend_24h"].sql, floats=("avg_sentiment", "positive_percentage", "negative_percentage"))
+def _e21_states(x):
+    return H.sentiment_trend(_window(x, hours=24))
+
+
+@query("daily_trend_from_states", REGISTRY["daily_sentiment_trend"].sql, floats=("avg_score",))
+def _e27_states(x):
+    return H.daily_sentiment_trend(_window(x, days=30))

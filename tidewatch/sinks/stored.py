@@ -43,12 +43,12 @@ NO_DAY = date(1970, 1, 1)
 Change = Callable[[DataFrame, DataFrame], DataFrame]
 
 
-def key_range(key: str, width: int = WIDTH) -> Column:
+def key_range(key: str, width: int = WIDTH, hashed: int = HASHED) -> Column:
     """The range of a key by the number at its end, else by its hash; rows
     without a key have a range of their own."""
     text = F.col(key).cast("string")
     number = F.regexp_extract(text, r"([0-9]{1,18})$", 1)
-    return (F.when(text.isNull(), "none").when(number == "", F.concat(F.lit("h"), F.pmod(F.xxhash64(text), F.lit(HASHED)).cast("string")))
+    return (F.when(text.isNull(), "none").when(number == "", F.concat(F.lit("h"), F.pmod(F.xxhash64(text), F.lit(hashed)).cast("string")))
             .otherwise(F.concat(F.lit("n"), F.floor(number.cast("long") / width).cast("string"))))
 
 
@@ -72,8 +72,8 @@ class StoredTable:
     """A table of rows with a ``key``; ``day`` is the column whose date the
     rows are laid out by (none: one folder per key range)."""
 
-    def __init__(self, spark: SparkSession, path: str, key: str, day: str | None = None, width: int = WIDTH):
-        self.spark, self.path, self.key, self.day, self.width = spark, path.rstrip("/"), key, day, width
+    def __init__(self, spark: SparkSession, path: str, key: str, day: str | None = None, width: int = WIDTH, hashed: int = HASHED):
+        self.spark, self.path, self.key, self.day, self.width, self.hashed = spark, path.rstrip("/"), key, day, width, hashed
 
     # -- schema ----------------------------------------------------------------
 
@@ -110,9 +110,13 @@ class StoredTable:
         laid = T.StructType([*schema.fields, T.StructField(RANGE, T.StringType()), T.StructField(DAY, T.DateType())])
         return self.spark.read.schema(laid).option("basePath", folder or self.path).parquet(folder or self.path)
 
-    def read(self) -> DataFrame | None:
+    def read(self, from_day: date | None = None) -> DataFrame | None:
+        """The rows, of folders from a day on if one is given."""
         schema = self.schema()
-        return None if schema is None else self._files(schema).select(*schema.names)
+        if schema is None:
+            return None
+        files = self._files(schema)
+        return (files if from_day is None else files.filter(F.col(DAY) >= F.lit(from_day))).select(*schema.names)
 
     def _write(self, df: DataFrame, folder: str, dynamic: bool) -> None:
         # a large folder is dealt to several tasks, small ones share one
@@ -137,7 +141,7 @@ class StoredTable:
 
     def _state(self, batch: DataFrame, change: Change, schema: T.StructType) -> DataFrame:
         missing = {c: F.expr(v) for c, v in self.defaults().items() if c not in batch.columns}
-        batch = batch.withColumns(missing).withColumn(RANGE, key_range(self.key, self.width))
+        batch = batch.withColumns(missing).withColumn(RANGE, key_range(self.key, self.width, self.hashed))
         own = F.coalesce(F.to_date(self.day), F.lit(NO_DAY)) if self.day else F.lit(NO_DAY)
         ranges = [r[0] for r in batch.select(RANGE).distinct().collect()]  # of one batch
         files = self._files(schema).filter(F.col(RANGE).isin(ranges))
@@ -148,7 +152,7 @@ class StoredTable:
         pairs = self.spark.createDataFrame(touched, f"{RANGE} string, {DAY} date")
         current = files.filter(F.col(DAY).isin(sorted({r[1] for r in touched}))).join(pairs, [RANGE, DAY], "left_semi").select(*schema.names, DAY)
         state = change(current, placed.drop(RANGE))
-        return state.withColumn(RANGE, key_range(self.key, self.width))
+        return state.withColumn(RANGE, key_range(self.key, self.width, self.hashed))
 
     def _clear(self, name: str, keep: bool) -> None:
         """Journals of other batches are done with; that of a named batch

@@ -3,6 +3,9 @@ text (K1 default lexicon in the JVM, and the pluggable Arrow path)."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from ..operators import learned as L
 from ..operators import scoring as K
 from ..operators import staging
 from .registry import query
@@ -32,3 +35,13 @@ def _k1(x):
 def _k1_model(x):
     todo = staging.unprocessed_reviews(x.reviews_text, None)
     return K.score_with_model(todo, as_of=x.review_as_of).select("id", *K.SCORE_COLUMNS)
+
+
+@query("learned_scorer_report", None)
+def _k1_learned(x):
+    """Fitted on the labelled documents (negative: toxic or of low quality),
+    with what it and the word list get right of the held-out ones."""
+    negative = (F.col("toxic") == 1) | (F.col("quality") == 0)
+    labels = x.table("labels").select(F.col("doc_id").alias("review_id"), F.when(negative, "negative").otherwise("positive").alias("sentiment_label"))
+    rows = x.table("documents").select(F.col("doc_id").alias("review_id"), F.col("text").alias("review_text")).join(labels, "review_id")
+    return L.evaluate(L.fit(rows), rows)

@@ -13,6 +13,7 @@ of appending twice.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -243,24 +244,25 @@ def stream_review_explode(source: DataFrame) -> DataFrame:
                     naive_time(F.col("r.review_timestamp")).alias("review_timestamp"))
 
 
-def score_and_upsert_batch(spark: SparkSession, batch: DataFrame, batch_id: int, path: str) -> None:
-    """J6 micro-batch: score (K1) then upsert scores by review id (B5), in the
+def score_and_upsert_batch(spark: SparkSession, batch: DataFrame, batch_id: int, path: str, score: Callable[..., DataFrame] = K.score_reviews) -> None:
+    """J6 micro-batch: score (K1, by the word list or a learned scorer's
+    ``score``) then upsert scores by review id (B5), in the
     order of arrival within the batch; only the folders of the batch's key
     ranges and days are written. A replayed batch gives the same table."""
     order = batch.withColumn("_seq", F.monotonically_increasing_id())
-    scored = K.score_reviews(order, method="stream").withColumn("id", F.xxhash64("review_id"))
+    scored = score(order, method="stream").withColumn("id", F.xxhash64("review_id"))
     stored = T.StructType([f for f in scored.schema if f.name != "_seq"])
     StoredTable(spark, path, "review_id", "review_timestamp").upsert(
         scored, lambda current, new: M.upsert_review_scores(current, new, seq="_seq"), batch_id, stored)
 
 
 def stream_score_reviews(spark: SparkSession, source: DataFrame, table_root: str, checkpoint: str,
-                         available_now: bool = True):
+                         available_now: bool = True, score: Callable[..., DataFrame] = K.score_reviews):
     """Stream of review batches -> scored upserts; the trigger and the
     checkpoint replace the reference's flush-on-next-message buffer."""
     rows = stream_review_explode(source)
     w = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda b, i: score_and_upsert_batch(spark, b, i, table_root))
+        lambda b, i: score_and_upsert_batch(spark, b, i, table_root, score))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
 

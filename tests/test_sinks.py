@@ -185,3 +185,35 @@ def test_events_are_routed_with_their_payload(spark, tmp_path):
     assert (r.topic, r.key) == ("steam-price-updates", "4") and '"event_type":"price_update"' in r.value
     B.write_events(B.route_events(ev), str(tmp_path / "out"))
     assert spark.read.json(str(tmp_path / "out")).first().topic == "steam-price-updates"
+
+
+@pytest.mark.parametrize("layout", [("date",), ("run", "date"), ("date", "batch")])
+def test_old_days_are_dropped_whole(spark, tmp_path, layout):
+    from tidewatch.operators import retention as R
+
+    p = fixtures.player_tracking(spark, SF001).withColumns({"date": F.to_date("timestamp"), "run": F.lit(1), "batch": F.lit(2)})
+    path, now = str(tmp_path / "t"), dt.datetime(2024, 1, 20, 12)
+    p.write.partitionBy(*layout).parquet(path)
+    before = files(tmp_path / "t")
+    gone = S.drop_days(spark, path, (now - dt.timedelta(days=14)).date())
+    after = files(tmp_path / "t")
+    assert len(gone) == 5 and {k: v for k, v in before.items() if k in after} == after and S.drop_days(spark, path, (now - dt.timedelta(days=14)).date()) == []
+    kept = R.retention_player(spark.read.parquet(path), now, 14)
+    assert sorted(r.id for r in kept.select("id").collect()) == sorted(r.id for r in R.retention_player(p, now, 14).select("id").collect())
+    assert spark.read.parquet(path).filter("date < '2024-01-06'").count() == 0
+
+
+def test_tables_are_loaded_by_name(spark, tmp_path):
+    from tidewatch.schemas import TABLES
+    from tidewatch.sources.tables import load_table
+
+    name = "steam_review_tracking"
+    known = TABLES[name]
+    rows = fixtures.review_tracking(spark, SF001)
+    have = rows.select(*[F.col(f.name).cast(f.dataType) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in known])
+    have.write.parquet(str(tmp_path / name))
+    df = load_table(spark, str(tmp_path), name)
+    assert df.schema.names == known.names and df.count() == rows.count()
+    assert spark.sql(f"select count(*) as n from {name} where sentiment_label is null").first().n == rows.filter("sentiment_label is null").count()
+    plan = df.filter("app_id = 1").select("review_id")._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "PushedFilters: [IsNotNull(app_id), EqualTo(app_id,1)]" in plan and "ReadSchema: struct<app_id:int,review_id:string>" in plan.replace("ReadSchema: struct<review_id:string,app_id:int>", "ReadSchema: struct<app_id:int,review_id:string>")

@@ -91,12 +91,15 @@ def report_trend(reports: DataFrame) -> DataFrame:
 
 
 def timezone_peaks(stg_players: DataFrame, zones: Sequence[str] = DEFAULT_ZONES) -> DataFrame:
-    """M7: busiest local hour per zone; every reading is counted once per
-    zone of the (bounded) list."""
-    z = stg_players.select("player_count", "timestamp",
-                           F.explode(F.array(*[F.lit(v) for v in zones])).alias("zone"))
-    hourly = (z.groupBy("zone", local_hour("timestamp", F.col("zone")).alias("hour"))
-              .agg(F.avg("player_count").alias("avg_players")))
+    """M7: busiest local hour per zone. Zones differ from UTC by quarters of
+    an hour, so readings are summed per UTC quarter hour first, and only these
+    few rows are multiplied by the (bounded) list of zones."""
+    length = 15 * 60 * 1_000_000
+    quarter = F.timestamp_micros(F.floor(F.unix_micros(F.col("timestamp").cast("timestamp")) / length) * length)
+    quarters = stg_players.groupBy(quarter.alias("quarter")).agg(F.sum("player_count").alias("total"), F.count("player_count").alias("n"))
+    z = quarters.select("total", "n", "quarter", F.explode(F.array(*[F.lit(v) for v in zones])).alias("zone"))
+    hourly = (z.groupBy("zone", local_hour("quarter", F.col("zone")).alias("hour"))
+              .agg(F.try_divide(F.sum("total").cast("double"), F.sum("n")).alias("avg_players")))
     return _peak(hourly, ["zone"])
 
 

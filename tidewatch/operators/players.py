@@ -69,16 +69,16 @@ def initial_collection_needed(config: DataFrame, reviews: DataFrame, threshold:
 
 def freshness(tables: dict[str, tuple[DataFrame, str]], as_of=None) -> DataFrame:
     """Per table: rows with a timestamp, newest timestamp and minutes
-    since it. One global aggregate per table, unioned."""
-    parts = []
-    for name, (df, col) in tables.items():
-        parts.append(df.filter(F.col(col).isNotNull()).agg(
-            F.count(F.lit(1)).alias("total_records"),
-            F.max(col).cast("timestamp_ntz").alias("last_update"))
-            .select(F.lit(name).alias("table_name"), "total_records", "last_update"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    since it. One aggregate over the times of all tables, so that one row
+    per task is exchanged, and an empty table has its row."""
+    times = [df.select(F.lit(k).alias("_table"), F.col(col).cast("timestamp_ntz").alias("_time")) for k, (df, col) in enumerate(tables.values())]
+    union = times[0]
+    for t in times[1:]:
+        union = union.union(t)
+    own = lambda k: F.when(F.col("_table") == k, F.col("_time"))
+    rows = union.agg(*[F.struct(F.lit(name).alias("table_name"), F.count(own(k)).alias("total_records"), F.max(own(k)).alias("last_update")).alias(f"t{k}")
+                       for k, name in enumerate(tables)])
+    out = rows.select(F.inline(F.array(*rows.columns)))
     return out.withColumn("minutes_since_update", minutes_between(anchor(as_of), F.col("last_update")))
 
 

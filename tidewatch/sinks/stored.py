@@ -27,6 +27,7 @@ folder in its old or its new state.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Callable
 from datetime import date
@@ -179,3 +180,26 @@ def earlier_runs(spark: SparkSession, path: str, run: int, schema: T.StructType)
         return spark.createDataFrame([], schema)
     names = T.StructType([*schema.fields, T.StructField("run", T.LongType())])
     return spark.read.schema(names).parquet(path).filter(F.col("run") < run).drop("run")
+
+
+# -- retention -------------------------------------------------------------------
+
+def drop_days(spark: SparkSession, path: str, cutoff: date, by: str = "date") -> list[str]:
+    """G3-G5 on a table laid out by day: the folders of days before the cutoff
+    are removed, at whatever level they are; nothing is read or rewritten.
+    Returns their names. Rows of the cutoff's own day stay until the next."""
+    top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    gone, levels = [], [top]
+    while levels:
+        for x in fs.listStatus(levels.pop()):
+            name = x.getPath().getName()
+            if not x.isDirectory() or name[0] in "._":
+                continue
+            column, _, value = name.partition("=")
+            if column != by:
+                levels.append(x.getPath())
+            elif re.fullmatch(r"\d{4}-\d{2}-\d{2}", value) and date.fromisoformat(value) < cutoff:
+                fs.delete(x.getPath(), True)
+                gone.append(name)
+    return sorted(set(gone))

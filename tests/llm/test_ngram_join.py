@@ -35,6 +35,38 @@ def test_blocks_across_components(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in got} == dict(zip(range(40), want, strict=True))
 
 
+def test_pairs_are_given_out_in_one_tile(monkeypatch):
+    """Whatever tiles two nodes share, the lists of their least ones name one
+    of them, or leave the pair to all."""
+    rng = np.random.default_rng(3)
+    monkeypatch.setattr(ngram_join, "LEAST_TILES", 4)
+    for _ in range(300):
+        x, y = (np.sort(rng.choice(30, rng.integers(1, 20), replace=False)) for _ in range(2))
+        both = np.intersect1d(x, y)
+        lists = ngram_join._least_tiles(pa.array([x[:4].tolist(), y[:4].tolist()], pa.list_(pa.int64())))
+        out = [t for t in both.tolist() if ngram_join._once(t, lists[0], lists[1:])[0]]
+        assert out == (both[:1].tolist() if len(np.intersect1d(x[:4], y[:4])) else both.tolist())
+
+
+@pytest.mark.parametrize("least", [1, 8])
+def test_near_copies_that_do_not_link(spark, monkeypatch, least):
+    """A group of near copies in many common tiles, few of which link."""
+    monkeypatch.setattr(ngram_join, "LEAST_TILES", least)
+    rng = np.random.default_rng(11)
+    base = [f"b{i}" for i in range(300)]
+    rows = []
+    for k in range(50):
+        words = list(base)
+        for at in rng.choice(300, int(rng.integers(2, 9)), replace=False):
+            words[at] = f"x{rng.integers(40)}"
+        rows.append((k, " ".join(words), "en", "a", 0))
+    docs = spark.createDataFrame(rows, DOCS).repartition(3)
+    got = jaccard_components(docs, (90, 100), 3).collect()
+    want = components([shingles(r[1], 3) for r in rows], [r[0] for r in rows], 90, 100)
+    assert {r.doc_id: r.component_id for r in got} == dict(zip(range(50), want, strict=True))
+    assert 1 < len(set(want)) < 50
+
+
 def test_row_numbers_hold_however_readings_are_split(spark, monkeypatch, tmp_path):
     """Every reading of the files deals them out anew, as when executors come
     and go."""

@@ -24,7 +24,9 @@ the nodes of a tile to its first one, and an exchange of packed keys links
 those firsts to each other, so a tile meets at most once per chunk. After
 these stars are verified and joined up, only tiles that still hold more than
 one component compare nodes across components, in blocks of bounded size:
-each stray's likeliest pair first, then all pairs that are left.
+each stray's likeliest pair first, then all pairs that are left. A pair of
+nodes that share many tiles is given out in one of them, the least one, which
+each of them knows from its own list.
 
 Documents are staged once with their row numbers. Later steps read them more
 than once and name them by the written numbers alone, so it doesn't matter how
@@ -61,6 +63,9 @@ CHUNK_BITS = 13
 BLOCK = 2048
 #: Rows of a tile up to which it is gathered whole, to compare equal tiles once.
 SMALL_TILE = 64
+#: A node's least tiles, from which it is known which shared tile gives a pair out.
+LEAST_TILES = 8
+_NO_TILE = np.iinfo(np.int64).max
 #: Packed tile keys that one task of the exchange takes, on average.
 TASK_KEYS = 4 << 20
 _TOKEN_BYTES = TOKEN_BITS // 8
@@ -339,23 +344,37 @@ def _exactly(t: Threshold):
     return run
 
 
+def _once(tile: int, mine: np.ndarray, theirs: np.ndarray) -> np.ndarray:
+    """Is this the tile in which a node's pairs with others are given out?
+    Rows hold a node's least tiles. If two nodes' least tiles have one in
+    common, the least such one is the least of all that they share, in every
+    tile alike; if they have none, each tile gives the pair out."""
+    shared = np.where((theirs[:, :, None] == mine).any(axis=2), theirs, _NO_TILE).min(axis=1)
+    return (shared == tile) | (shared == _NO_TILE)
+
+
 def _across(t: Threshold, best: bool):
     """Blocks, one after the other: each stray against the block's nodes of
-    other components; the pairs that the bit counts allow, or of each stray
-    the one that they bound highest."""
+    other components; the pairs that the bit counts allow, each from one tile
+    of those that its nodes share, or of each stray the pair that they bound
+    highest."""
     def pairs(block: tuple[np.ndarray, ...]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        n, comp, node, side, bits = block
+        n, comp, node, side, tile, stray, bits, least = block
         ys = np.flatnonzero(side == 1)
         for x in np.flatnonzero(side == 0):
             near = ys[(comp[ys] != comp[x]) & (t.den * np.minimum(n[ys], n[x]) >= t.num * np.maximum(n[ys], n[x]))]
+            if not best:  # two strays meet twice
+                near = near[~stray[near] | (node[near] > node[x])]
             if len(near):
                 both = n[x] + n[near]
                 most = (both - np.bitwise_count(bits[x] ^ bits[near]).sum(axis=-1, dtype=np.int64)) // 2
                 allowed = t.links(n[x], n[near], most)
-                if best and allowed.any():
-                    allowed = np.argmax(np.where(allowed, most / (both - most), -1))[None]
-                hit = node[near[allowed]]
-                yield np.minimum(hit, node[x]), np.maximum(hit, node[x])
+                if best:
+                    hit = near[np.argmax(np.where(allowed, most / (both - most), -1))[None]] if allowed.any() else near[:0]
+                else:
+                    hit = near[allowed]
+                    hit = hit[_once(tile[x], least[x], least[hit])]
+                yield np.minimum(node[hit], node[x]), np.maximum(node[hit], node[x])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple[np.ndarray, ...] = ()
@@ -364,7 +383,7 @@ def _across(t: Threshold, best: bool):
             if not len(b):
                 continue
             key = b.column("block").to_numpy()
-            rows = (*(b.column(c).to_numpy() for c in ("n", "comp", "node", "side")), _words(b.column("bits")))
+            rows = (*(b.column(c).to_numpy(zero_copy_only=False) for c in ("n", "comp", "node", "side", "tile", "stray")), _words(b.column("bits")), _least_tiles(b.column("least")))
             cuts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(b)]
             out: list[tuple[np.ndarray, np.ndarray]] = []
             for i, j in zip(cuts, cuts[1:], strict=False):
@@ -383,6 +402,13 @@ def _across(t: Threshold, best: bool):
     return run
 
 
+def _least_tiles(lists: pa.Array) -> np.ndarray:
+    sizes = np.diff(lists.offsets.to_numpy())
+    out = np.full((len(lists), LEAST_TILES), _NO_TILE)
+    out[np.arange(LEAST_TILES) < sizes[:, None]] = lists.flatten().to_numpy()
+    return out
+
+
 def _pair_batch(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     x, y = (np.concatenate(c) for c in zip(*found, strict=True))
     return pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names=["x", "y"])
@@ -432,30 +458,37 @@ class _Join:
         pairs = tiles.where("place != to").select("place", "to").distinct().join(a, "place").join(b, "to").where("a != b")
         return pairs.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct()
 
-    def across(self, tiles: DataFrame, labels: DataFrame, best: bool) -> DataFrame:
-        """Pairs across components within the tiles that hold several: all
-        that the bit counts allow, or the best of each stray. A tile
-        of two nodes has been decided by its star. Small tiles with the same
-        nodes (near sets that do not link share many) are compared once."""
+    def mixed(self, tiles: DataFrame, labels: DataFrame) -> DataFrame:
+        """(tile, node) of the tiles that hold several components. A tile of
+        two nodes has been decided by its star. Small tiles with the same nodes
+        (near sets that do not link share many) are one."""
         comp = (self.places.join(labels, "node", "left")
                 .select("place", "node", F.coalesce("component", "node").alias("comp")))
         mixed = (tiles.join(comp, "place").groupBy("tile").agg(
             F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("rows"))
             .where("low != high and rows > 2").select("tile", "rows"))
-        named = tiles.select("tile", "place").join(mixed, "tile").join(comp, "place").select("tile", "rows", "node", "comp")
-        small = (named.where(F.col("rows") <= SMALL_TILE).groupBy("tile").agg(F.sort_array(F.collect_set(F.struct("node", "comp"))).alias("g"))
+        named = tiles.select("tile", "place").join(mixed, "tile").join(self.places, "place").select("tile", "rows", "node")
+        small = (named.where(F.col("rows") <= SMALL_TILE).groupBy("tile").agg(F.sort_array(F.collect_set("node")).alias("g"))
                  .where(F.size("g") > 2).select("g").distinct())
-        small = small.select(F.xxhash64("g").alias("tile"), F.inline("g")).select("tile", "node", "comp")
-        named = named.where(F.col("rows") > SMALL_TILE).select("tile", "node", "comp").distinct().union(small)
-        named = staged(named, "ngram-mixed")
+        small = small.select(F.xxhash64("g").alias("tile"), F.explode("g").alias("node"))
+        return staged(named.where(F.col("rows") > SMALL_TILE).select("tile", "node").distinct().union(small), "ngram-mixed")
+
+    def across(self, mixed: DataFrame, labels: DataFrame, best: bool) -> DataFrame:
+        """Pairs across components within the tiles that hold several: all
+        that the bit counts allow, or the best of each stray."""
+        named = mixed.join(labels, "node", "left").select("tile", "node", F.coalesce("component", "node").alias("comp"))
         sizes = named.groupBy("tile", "comp").agg(F.count("*").alias("m")).groupBy("tile").agg(
-            F.sum("m").alias("size"), F.max(F.struct("m", "comp"))["comp"].alias("main"))
-        rest = named.join(sizes, "tile").join(self.bits, "node")
+            F.sum("m").alias("size"), F.max(F.struct("m", "comp"))["comp"].alias("main"), F.count("*").alias("comps")).where("comps > 1")
+        known = self.bits.withColumn("least", F.array().cast("array<long>"))
+        if not best:  # a node's tiles are at most its keys
+            least = F.slice(F.sort_array(F.collect_list("tile")), 1, LEAST_TILES)
+            known = mixed.groupBy("node").agg(least.alias("least")).join(self.bits, "node")
+        rest = named.join(sizes, "tile").withColumn("stray", F.col("comp") != F.col("main")).join(known, "node")
         down = F.ceil(F.col("size") / BLOCK).cast("long")
         mine, every = F.pmod(F.xxhash64("node", "tile"), down), F.explode(F.sequence(F.lit(0).cast("long"), down - 1))
         block = F.xxhash64("tile", "i", "j").alias("block")
-        cols = ["node", "comp", "n", "bits"]
-        left = rest.where("comp != main").select("*", mine.alias("i"), every.alias("j"))
+        cols = ["tile", "node", "comp", "stray", "n", "bits", "least"]
+        left = rest.where("stray").select("*", mine.alias("i"), every.alias("j"))
         right = rest.select("*", mine.alias("j"), every.alias("i"))
         blocks = left.select(block, F.lit(0).alias("side"), *cols).union(right.select(block, F.lit(1).alias("side"), *cols))
         return blocks.repartition("block").sortWithinPartitions("block").mapInArrow(_across(self.t, best), _PAIR).distinct()
@@ -471,8 +504,9 @@ class _Join:
         labels = staged(components(found, "x", "y"), "ngram-labels")
         # First each stray's likeliest pair: that joins most of what links, and
         # pairs within a component need no comparing. Then all pairs left.
+        mixed = self.mixed(tiles, labels)
         for best in (True, False):
-            more = staged(self.exact(self.across(tiles, labels, best), sets), "ngram-across")
+            more = staged(self.exact(self.across(mixed, labels, best), sets), "ngram-across")
             if not more.isEmpty():
                 found = staged(found.union(more), "ngram-links")
                 labels = staged(components(found, "x", "y"), "ngram-labels")

@@ -6,6 +6,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tidewatch.llm import components as graph
 from tidewatch.llm import ngram_join
 from tidewatch.llm.ngram_join import Threshold, jaccard_components, representatives, tile_keys
 from tidewatch.llm.shingles import token_sets
@@ -35,6 +36,21 @@ def test_blocks_across_components(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in got} == dict(zip(range(40), want, strict=True))
 
 
+@pytest.mark.parametrize("few", [0, 1 << 14])
+def test_components_of_graphs(spark, monkeypatch, few):
+    """In rounds and in one task."""
+    monkeypatch.setattr(graph, "FEW_EDGES", few)
+    rng = np.random.default_rng(8)
+    edges = [(int(a), int(b)) for a, b in rng.integers(-60, 60, (45, 2))] + [(k, k + 1) for k in range(100, 130)] + [(200, 200 + k) for k in range(20)] + [(5, 5)]
+    got = {r.node: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
+    sets = {}
+    for a, b in edges:
+        both = sets.get(a, {a}) | sets.get(b, {b})
+        sets |= dict.fromkeys(both, both)
+    assert got == {n: min(c) for n, c in sets.items() if len(c) > 1}
+    assert graph.components(spark.createDataFrame([], "a long, b long"), "a", "b").collect() == []
+
+
 def test_pairs_are_given_out_in_one_tile(monkeypatch):
     """Whatever tiles two nodes share, the lists of their least ones name one
     of them, or leave the pair to all."""

@@ -55,7 +55,7 @@ from .components import components
 from .shingles import TOKEN_BITS, mix, token_sets
 
 BITMAP_BITS = 1024
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 CHUNK_ROWS = 4096
 #: Low bits of a row number, which tell the rows of a chunk apart.
 CHUNK_BITS = 13

@@ -33,7 +33,7 @@ def test_query_matches_sql(spark, name):
 
 def test_all_queries_are_registered():
     names = E.queries()
-    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} >= {f"op{i}" for i in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} >= {f"op{i}" for i in range(1, 14)}
 
 
 def test_stages_match_plain_versions(spark):

@@ -1,15 +1,24 @@
 """Operator 2: toxicity by a classifier chain.
 
 Categories are predicted one after the other by linear (logistic) models over
-the word beginnings that a text contains. The model of a category also takes
+the words and character n-grams that a text contains. The model of a category also takes
 the probabilities of all earlier categories. It is trained on out-of-fold
 ones (from models that have not seen the row), so that it meets the same kind
 of probabilities as in use; in use they come from models of all training rows.
 
-Features are the first 4 to 8 bytes of lower-cased words, as 40-bit hashes: a
-document has a feature or not, whatever its length. Candidates appear in
-``MIN_DOCS`` positive training rows of a category at least; the ``FEATURES``
-with the highest chi-squared of any category are kept. Training takes the
+Features are 40-bit hashes; a document has a feature or not, whatever its
+length. Texts are lower-cased in any script. Words are the runs of letters,
+digits and code points beyond ASCII outside the general, Latin and CJK
+punctuation blocks, so quotes, brackets and hyphens part them, and words of
+any length up to ``LONGEST`` bytes are features as a whole. Within each run of
+non-space characters, symbols included, all n-grams of ``GRAMS`` characters
+are features, at every place of the run; of two characters only those that
+begin beyond ASCII, for scripts without spaces. Candidates appear in
+``MIN_DOCS`` positive training rows of a category at least; of all of them
+the ``FEATURES`` words and the ``GRAM_FEATURES`` n-grams with the highest
+chi-squared of each category are kept (the size of the model; n-grams apart,
+as the many parts of a few telling words would take all places).
+Training takes the
 ``TRAIN_ROWS`` labelled documents with the smallest hashes of their ids (a
 documented bound, so the driver fits the models in memory); scoring covers
 all documents, whole texts, in one pass without an exchange.
@@ -37,45 +46,94 @@ from pyspark.sql import functions as F
 from .common import staged
 from .shingles import _LETTER, _PLACE, _SPACE, mix, text_bytes
 
-LENGTHS = (4, 5, 6, 7, 8)
+GRAMS = (2, 3, 4, 5)
+LONGEST = 64
 TRAIN_ROWS = 8000
-FEATURES = 2000
+FEATURES = 1000
+GRAM_FEATURES = 200
 MIN_DOCS = 5
 FOLDS = 5
 L2 = 1.0
 ROUNDS = 150
 _CHUNK = 2 << 20
+_BLOCK = 1 << 18
+_GRAM = np.uint64(1 << 39)  # tells the hashes of n-grams from those of words
+_NEAR = LONGEST + 4 * max(GRAMS)  # bytes after a feature's first that it may need
+_WORD = np.zeros(256, bool)
+_WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+_BACK = np.uint64(pow(int(_PLACE), -1, 1 << 64))
+
+
+def _block(raw: np.ndarray, word: np.ndarray, before: bool, last: int, powers: np.ndarray, backs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(feature, place) of the features that begin under ``last``; word:
+    whether each byte belongs to a word, before: the byte before them. Hashes
+    of runs of bytes are differences of the sums of all bytes' terms, brought
+    back to the power of a run's first place."""
+    n = len(raw)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(_LETTER[raw] * powers[:n], out=sums[1:])
+
+    def hashed(at: np.ndarray, end: np.ndarray, kind: int) -> np.ndarray:
+        found = mix((sums[end] - sums[at]) * backs[at] + np.uint64(kind)) >> np.uint64(25)
+        return found | _GRAM if kind else found
+
+    starts = (raw & 0xC0) != 0x80
+    begins = word & ~np.append(before, word[:-1])
+    ends = np.flatnonzero(word & ~np.append(word[1:], False)) + 1
+    at = np.flatnonzero(begins[:last])
+    end = ends[np.searchsorted(ends, at, side="right")] if len(at) else at
+    fits = end - at <= LONGEST
+    out, places = [hashed(at[fits], end[fits], 0)], [at[fits]]
+    chars = np.append(np.flatnonzero(starts), n)
+    space = np.append(np.flatnonzero(_SPACE[raw]), n)
+    run_end = space[np.searchsorted(space, chars[:-1])]
+    own = chars[:-1] < last
+    for k in GRAMS:
+        if len(chars) <= k:
+            break
+        first, end = chars[:-k], chars[k:]
+        use = own[:len(first)] & (end <= run_end[:len(first)])
+        if k == 2:
+            use &= raw[first] >= 0x80
+        out.append(hashed(first[use], end[use], k))
+        places.append(first[use])
+    return np.concatenate(out), np.concatenate(places)
+
+
+def _word_bytes(raw: np.ndarray) -> np.ndarray:
+    """Whether each byte belongs to a word."""
+    word = _WORD[raw]
+    high = np.flatnonzero(raw >= 0xC2)
+    second = raw[np.minimum(high + 1, len(raw) - 1)]
+    two = high[(raw[high] == 0xC2) & (second >= 0xA0)]  # U+00A0 to U+00BF
+    three = high[((raw[high] == 0xE2) & (second <= 0x81)) | ((raw[high] == 0xE3) & (second == 0x80))]  # U+2000 to U+207F, U+3000 to U+303F
+    for at, size in ((two, 2), (three, 3)):
+        for k in range(size):
+            word[np.minimum(at + k, len(raw) - 1)] = False
+    return word
 
 
 def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(feature, row) of all word beginnings, repeats included."""
+    """(feature, row) of all words and n-grams of lower-cased texts, repeats
+    included."""
+    found = list(_features(texts))
+    if not found:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return np.concatenate([f for f, _ in found]), np.concatenate([r for _, r in found])
+
+
+def _features(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The same block by block, so that a long text takes bounded memory."""
     raw, offsets = text_bytes(texts)
-    none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    if not len(raw):
-        return none
-    inside = ~_SPACE[raw]
-    begins = inside.copy()
-    begins[1:] &= ~inside[:-1]
-    edges = offsets[1:-1]
-    edges = edges[edges < len(raw)]
-    begins[edges] = inside[edges]
-    at = np.flatnonzero(begins)
-    if not len(at):
-        return none
-    ends = np.minimum(np.append(at[1:], len(raw)), at + LENGTHS[-1] + 1)
-    rows = np.searchsorted(offsets, at, side="right") - 1
-    powers = np.cumprod(np.full(LENGTHS[-1], _PLACE), dtype=np.uint64)
-    so_far = np.zeros(len(at), np.uint64)
-    alive = np.ones(len(at), bool)
-    out, owners = [], []
-    for k in range(LENGTHS[-1]):
-        place = np.minimum(at + k, len(raw) - 1)
-        alive &= (at + k < ends) & (at + k < len(raw)) & inside[place]
-        so_far = so_far + _LETTER[raw[place]] * powers[k]
-        if k + 1 in LENGTHS:
-            out.append(mix(so_far[alive] + np.uint64(k)) >> np.uint64(24))
-            owners.append(rows[alive])
-    return np.concatenate(out), np.concatenate(owners)
+    raw = np.insert(raw, offsets[1:], np.uint8(32))  # a space after each text, so that a block may hold many
+    firsts = offsets[:-1] + np.arange(len(texts))
+    powers, backs = (np.cumprod(np.full(min(_BLOCK + _NEAR, len(raw)) + 1, x), dtype=np.uint64) for x in (_PLACE, _BACK))
+    for start in range(0, len(raw), _BLOCK):
+        back = min(start, 4)  # a code point's bytes before the block
+        near = raw[start - back:start + _BLOCK + _NEAR]
+        word = _word_bytes(near)
+        feature, place = _block(near[back:], word[back:], bool(back and word[back - 1]), min(_BLOCK, len(near) - back), powers, backs)
+        yield feature, np.searchsorted(firsts, place + start, side="right") - 1
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,27 +147,50 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = end
 
 
-def _distinct(feature: np.ndarray, row: np.ndarray, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, number in kept) once per row for the features in sorted kept."""
-    if not len(kept) or not len(feature):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    at = np.minimum(np.searchsorted(kept, feature), len(kept) - 1)
-    hit = kept[at] == feature
-    both = np.unique(row[hit] * len(kept) + at[hit])
-    return both // len(kept), both % len(kept)
-
-
-def _positive_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in _chunks(batches):
-        feature, row = features(b.columns[-1])
-        both = np.unique(np.stack([row.astype(np.uint64), feature]), axis=1) if len(row) else np.zeros((2, 0), np.uint64)
-        yield pa.RecordBatch.from_arrays([pa.array(both[1].astype(np.int64))], names=["feature"])
+class Kept:
+    """Sorted features of a model; a table of their low bits passes what may
+    be one of them."""
+    BITS = np.uint64((1 << 20) - 1)
+
+    def __init__(self, kept: np.ndarray):
+        self.kept = kept
+        self.maybe = np.zeros(int(self.BITS) + 1, bool)
+        self.maybe[(kept & self.BITS).astype(np.int64)] = True
+
+    def distinct(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(row, number of the feature), each once, sorted."""
+        found = []
+        for feature, row in _features(texts) if len(self.kept) else ():
+            some = np.flatnonzero(self.maybe[(feature & self.BITS).astype(np.int64)])
+            feature, row = feature[some], row[some]
+            at = np.minimum(np.searchsorted(self.kept, feature), len(self.kept) - 1)
+            hit = self.kept[at] == feature
+            found.append(np.unique(row[hit] * len(self.kept) + at[hit]))
+        both = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+        return both // max(len(self.kept), 1), both % max(len(self.kept), 1)
+
+
+def _counted(n_labels: int):
+    """Of each chunk of rows: its features, the rows that have each, and
+    those of them that are positive, by category."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _chunks(batches):
+            labels = np.array(b.column(0).to_pylist(), dtype=np.int64).reshape(len(b), n_labels)
+            # a feature has 40 bits, a row of a batch fewer than 24
+            both = [np.unique(feature << np.uint64(24) | row.astype(np.uint64)) for feature, row in _features(b.columns[-1])]
+            both = np.unique(np.concatenate(both)) if both else np.zeros(0, np.uint64)
+            feature, row = both >> np.uint64(24), (both & np.uint64((1 << 24) - 1)).astype(np.int64)
+            at = np.flatnonzero(np.append(True, feature[1:] != feature[:-1])) if len(feature) else np.zeros(0, np.int64)
+            counts = [np.add.reduceat(x, at) if len(at) else np.zeros(0, np.int64) for x in (np.ones(len(row), np.int64), *labels[row].T)]
+            yield pa.RecordBatch.from_arrays([pa.array(feature[at].astype(np.int64)), *map(pa.array, counts)],
+                                             names=["feature", "n", *(f"n{i}" for i in range(n_labels))])
+    return run
 
 
-def _present(kept: np.ndarray):
+def _present(kept: Kept):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _chunks(batches):
-            rows, numbers = _distinct(*features(b.columns[-1]), kept)
+            rows, numbers = kept.distinct(b.columns[-1])
             cuts = np.searchsorted(rows, np.arange(len(b) + 1))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([numbers[i:j].astype(np.int32) for i, j in zip(cuts, cuts[1:], strict=False)], pa.list_(pa.int32()))],
                                              names=["labels", "present"])
@@ -202,17 +283,24 @@ def train(categories: Sequence[str], kept: np.ndarray, rows: np.ndarray, cols: n
     return chain
 
 
-def _select(rows: np.ndarray, cols: np.ndarray, n_cols: int, labels: np.ndarray, most: int) -> np.ndarray:
-    """Numbers of the columns with the highest chi-squared of any category."""
-    n = len(labels)
-    df = np.bincount(cols, minlength=n_cols).astype(float)
-    score = np.zeros(n_cols)
-    for y in labels.T.astype(float):
-        pos = y.sum()
-        with_pos = np.bincount(cols, y[rows], n_cols)
-        under = df * (n - df) * pos * (n - pos)
-        score = np.maximum(score, np.divide(n * (with_pos * n - df * pos) ** 2, under, out=np.zeros(n_cols), where=under > 0))
-    return np.sort(np.argsort(-score, kind="stable")[:most])
+def select_features(sample: DataFrame, n_labels: int, words: int = FEATURES, grams: int = GRAM_FEATURES) -> np.ndarray:
+    """Of words and of n-grams, the features with the highest chi-squared of
+    each category, sorted (of equals the smaller); sample: labels, text."""
+    n, *pos = sample.agg(F.count("*"), *[F.coalesce(F.sum(F.get("labels", F.lit(i))), F.lit(0)) for i in range(n_labels)]).first()
+    sums = sample.mapInArrow(_counted(n_labels), ", ".join(["feature long", "n long", *(f"n{i} long" for i in range(n_labels))]))
+    sums = sums.groupBy("feature").agg(F.sum("n").alias("n"), *[F.sum(f"n{i}").alias(f"n{i}") for i in range(n_labels)])
+    sums = staged(sums.where(F.greatest(*[f"n{i}" for i in range(n_labels)], F.lit(0)) >= MIN_DOCS), "toxicity-features")
+    have = F.col("n").cast("double")
+
+    def chi2(i: int) -> Column:
+        with_pos, p = F.col(f"n{i}").cast("double"), F.lit(float(pos[i]))
+        under = have * (n - have) * p * (n - p)
+        return F.when(under > 0, n * (with_pos * n - have * p) * (with_pos * n - have * p) / under).otherwise(0.0)
+    kept = set()
+    for i in range(n_labels):
+        for kind, most in ((F.col("feature") < int(_GRAM), words), (F.col("feature") >= int(_GRAM), grams)):
+            kept.update(r[0] for r in sums.where(kind).select("feature", chi2(i).alias("chi2")).orderBy(F.desc("chi2"), "feature").limit(most).collect())
+    return np.array(sorted(kept), dtype=np.uint64)
 
 
 def train_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], text: str = "text", key: str = "doc_id",
@@ -225,31 +313,28 @@ def train_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, Column
     truth = truth.where(~F.exists(whole, lambda y: y.isNull())).select("__key", whole.alias("labels"))
     chosen = staged(docs.select(F.col(key).alias("__key")).distinct().join(truth, "__key")
                     .orderBy(F.xxhash64("__key"), "__key").limit(train_rows), "toxicity-chosen")
-    sample = docs.select(F.col(key).alias("__key"), F.coalesce(text, F.lit("")).alias("text")).join(F.broadcast(chosen), "__key")  # train_rows ids
+    sample = docs.select(F.col(key).alias("__key"), _lowered(text).alias("text")).join(F.broadcast(chosen), "__key")  # train_rows ids
     sample = staged(sample.dropDuplicates(["__key"]).select("labels", "text"), "toxicity-sample")
-    positive = sample.where(F.exists("labels", lambda y: y == 1))
-    candidates = (positive.mapInArrow(_positive_features, "feature long").groupBy("feature").agg(F.count("*").alias("n"))
-                  .where(F.col("n") >= MIN_DOCS).orderBy(F.desc("n"), "feature").limit(50 * FEATURES).select("feature").toPandas())
-    kept = np.sort(candidates["feature"].to_numpy().astype(np.uint64))
-    got = sample.mapInArrow(_present(kept), "labels array<int>, present array<int>").toArrow().combine_chunks()
+    kept = select_features(sample, len(categories))
+    got = sample.mapInArrow(_present(Kept(kept)), "labels array<int>, present array<int>").toArrow().combine_chunks()
     truth_of = np.array(got.column("labels").to_pylist(), dtype=int).reshape(len(got), len(categories))
     present = pa.concat_arrays(got.column("present").chunks) if len(got) else pa.array([], pa.list_(pa.int32()))
-    cols = present.flatten().to_numpy()
-    rows = np.repeat(np.arange(len(present), dtype=np.int32), present.value_lengths().to_numpy())
-    del got, present
-    best = _select(rows, cols, len(kept), truth_of, FEATURES) if len(kept) else np.zeros(0, np.int64)
-    number = np.full(len(kept) + 1, -1)
-    number[best] = np.arange(len(best))
-    use = number[cols] >= 0
-    return train(list(categories), kept[best], rows[use], number[cols[use]], truth_of)
+    cols = present.flatten().to_numpy().astype(np.int64)
+    rows = np.repeat(np.arange(len(present)), present.value_lengths().to_numpy())
+    return train(list(categories), kept, rows, cols, truth_of)
+
+
+def _lowered(text: str) -> Column:
+    return F.lower(F.coalesce(F.col(text), F.lit("")))
 
 
 def _scorer(chain: Chain):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", *(f"p_{c}" for c in chain.categories), *chain.categories]
+        kept = Kept(chain.kept)
         for b in _chunks(batches):
             n = len(b)
-            rows, cols = _distinct(*features(b.columns[-1]), chain.kept)
+            rows, cols = kept.distinct(b.columns[-1])
             p = chain.probabilities(rows, cols, n)
             some = np.bincount(rows, minlength=n) > 0
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x) for x in p.T),
@@ -261,4 +346,4 @@ def score(docs: DataFrame, chain: Chain, text: str = "text", key: str = "doc_id"
     """One row per row of ``docs``: doc_id, p_<category> and the flag
     <category> for each category."""
     schema = ", ".join(["doc_id long", *(f"p_{c} double" for c in chain.categories), *(f"{c} boolean" for c in chain.categories)])
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text")).mapInArrow(_scorer(chain), schema)
+    return docs.select(F.col(key).cast("long").alias("doc_id"), _lowered(text).alias("text")).mapInArrow(_scorer(chain), schema)

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -36,6 +38,44 @@ def test_common_lines_are_a_longest_common_subsequence(a, b):
     assert all(any(a[i] == x for x in it) for i in found)
 
 
+def test_many_equal_lines_are_aligned_in_time():
+    """Tables of equal cells: every pair of lines matches, or every second."""
+    start = time.monotonic()
+    assert len(common_lines([1] * 20_000, [1] * 15_000)) == 15_000
+    assert len(common_lines([1, 2] * 5_000, [2, 3, 1] * 4_000)) >= 5_333
+    assert len(common_lines([7, *range(20_000)], [*range(20_000), 7])) == 20_000
+    assert time.monotonic() - start < 60
+
+
+def test_copies_over_many_ranges_are_passed_over(spark):
+    rows = [(i, "h", f"/{i:04d}", i, 0 if 20 <= i < 180 else i // 7) for i in range(200)]
+    df = spark.createDataFrame(rows, "row long, host string, path string, page_id long, content long")
+
+    def nearest(i, step):
+        j = i + step
+        while 0 <= j < len(rows) and rows[j][4] == rows[i][4]:
+            j += step
+        return j if 0 <= j < len(rows) else None
+
+    def prefix(i, j):
+        n = 0
+        while n < 5 and rows[i][2][n] == rows[j][2][n]:
+            n += 1
+        return n
+    want = {}
+    for i in range(200):
+        near = [j for j in (nearest(i, -1), nearest(i, 1)) if j is not None]
+        want[i] = max(near, key=lambda j: prefix(i, j))
+    for n in ("1", "3", "40"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            assert {r.row: r.neighbour for r in neighbours(df).collect()} == want
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_shared_lines_go_unless_the_article_is_declared(spark):
     def page(i, p, body):
         return i, f"http://h.net/{p}", body

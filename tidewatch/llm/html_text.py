@@ -31,7 +31,6 @@ extra columns are not read.
 
 from __future__ import annotations
 
-import bisect
 import hashlib
 import re
 from collections.abc import Iterator
@@ -146,27 +145,55 @@ def _lines(html: str, least: int) -> list[tuple[str, bool]]:
     return out
 
 
-def common_lines(a: list[int], b: list[int]) -> set[int]:
-    """Positions of ``a`` in a longest common subsequence of both (by runs of
-    matching positions: fast where few lines match)."""
-    places: dict[int, list[int]] = {}
+def _reach(a: list[int], b: list[int]) -> list[int]:
+    """The length of a longest common subsequence of ``a`` and each prefix
+    of ``b``: a row of the table as the bits of one number."""
+    places: dict[int, int] = {}
     for j, x in enumerate(b):
-        places.setdefault(x, []).append(j)
-    ends: list[int] = []  # ends[k]: smallest last position in b of a common subsequence of k + 1 lines
-    links: list[tuple] = []
-    for i, x in enumerate(a):
-        for j in reversed(places.get(x, ())):
-            k = bisect.bisect_left(ends, j)
-            link = (i, links[k - 1] if k else None)
-            if k == len(ends):
-                ends.append(j), links.append(link)
-            else:
-                ends[k], links[k] = j, link
-    found = set()
-    link = links[-1] if links else None
-    while link:
-        found.add(link[0])
-        link = link[1]
+        places[x] = places.get(x, 0) | 1 << j
+    full = (1 << len(b)) - 1
+    row = full
+    for x in a:
+        if at := places.get(x):
+            row = (row + (row & at) | row & ~at) & full
+    out, n = [0], 0
+    for bit in reversed(bin(row)[2:].zfill(len(b))) if b else "":
+        n += bit == "0"
+        out.append(n)
+    return out
+
+
+def common_lines(a: list[int], b: list[int]) -> set[int]:
+    """Positions of ``a`` in a longest common subsequence of both: equal ends
+    are taken off, lines that the other has not are left out, and the rest is
+    halved where both halves' lengths add up to most. Memory is linear; the
+    steps are lines of one times 64th parts of the other."""
+    found: set[int] = set()
+    todo = [([(x, i) for i, x in enumerate(a)], list(b))]
+    while todo:
+        left, right = todo.pop()
+        there, here = set(right), {x for x, _ in left}
+        left, right = [p for p in left if p[0] in there], [x for x in right if x in here]
+        n = 0
+        while n < min(len(left), len(right)) and left[n][0] == right[n]:
+            found.add(left[n][1])
+            n += 1
+        left, right = left[n:], right[n:]
+        n = 0
+        while n < min(len(left), len(right)) and left[-1 - n][0] == right[-1 - n]:
+            found.add(left[-1 - n][1])
+            n += 1
+        left, right = left[:len(left) - n], right[:len(right) - n]
+        if not left or not right:
+            continue
+        if len(left) == 1:
+            found.update(i for x, i in left if x in right)
+            continue
+        half = len(left) // 2
+        lines = [x for x, _ in left]
+        before, after = _reach(lines[:half], right), _reach(lines[half:][::-1], right[::-1])
+        cut = max(range(len(right) + 1), key=lambda j: before[j] + after[len(right) - j])
+        todo += [(left[:half], right[:cut]), (left[half:], right[cut:])]
     return found
 
 
@@ -229,14 +256,23 @@ def neighbours(rows: DataFrame) -> DataFrame:
     # of each range one row: its first and last page and those nearest to them that differ, to meet the other ranges
     edges = out.groupBy("part").agg(F.min(item).alias("first"), F.max(item).alias("last"),
                                     F.min_by("next", item).alias("second"), F.max_by("prev", item).alias("last_but"))
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    later = Window.orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)
-
-    def nearest(nearer: str, farther: str, line, own: str) -> Column:
-        others = F.flatten(F.collect_list(F.array(farther, nearer)).over(line))
-        return F.get(F.reverse(F.filter(others, lambda x: x["content"] != F.col(own)["content"])), F.lit(0))
 
-    edges = edges.select("part", nearest("last", "last_but", earlier, "first").alias("before"), nearest("first", "second", later, "last").alias("after"))
+    def nearest(near: str, far: str, order) -> tuple[Column, Column]:
+        """Of the ranges on one side: their nearest page, and the page nearest
+        to that one that differs from it, if it meets this range's edge."""
+        other = F.lag(near).over(order)
+        return other, F.coalesce(F.col(far), F.when(other["content"] != F.col(near)["content"], other))
+
+    # a range without a second content hands on what the one before it met: two fields a range, no list of ranges
+    ahead_of, after_it = Window.orderBy("part"), Window.orderBy(F.desc("part"))
+    x, d = nearest("last", "last_but", ahead_of)
+    y, e = nearest("first", "second", after_it)
+    edges = edges.select("*", x.alias("x"), d.alias("d"), y.alias("y"), e.alias("e"))
+    gone_by = lambda order: order.rowsBetween(Window.unboundedPreceding, -1)
+    edges = edges.select("part", "x", "y", "first", "last", F.last("d", ignorenulls=True).over(gone_by(ahead_of)).alias("d"),
+                         F.last("e", ignorenulls=True).over(gone_by(after_it)).alias("e"))
+    differs = lambda near, own, far: F.when(F.col(near)["content"] != F.col(own)["content"], F.col(near)).otherwise(F.col(far))
+    edges = edges.select("part", differs("x", "first", "d").alias("before"), differs("y", "last", "e").alias("after"))
     out = out.join(edges, "part")
     same = lambda x: F.when(x["host"] == F.col("host"), x)
     out = out.select("row", "path", same(F.coalesce("prev", "before")).alias("prev"), same(F.coalesce("next", "after")).alias("next"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+from types import SimpleNamespace
 
 import pandas as pd
 import pytest
@@ -14,9 +15,11 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions import scoring_fns as K
 from tidewatch.operators import merge as M
+from tidewatch.operators import quality as Q
 from tidewatch.operators import sentiment as S
 from tidewatch.operators import staging
 from tidewatch.operators import windows as W
+from tidewatch.plans import REGISTRY
 from tidewatch.sinks import writers as B
 
 T0 = dt.datetime(2024, 1, 10, 12, 0, 0)
@@ -173,3 +176,14 @@ def test_route_events_and_schema_evolution(spark):
     df = spark.createDataFrame([(1,)], "id long")
     once = B.evolve_schema(df, {"llm_backend": "local"})
     assert B.evolve_schema(once, {"llm_backend": "x"}).first().llm_backend == "local"
+
+
+def test_insights_lists_have_every_hour_of_the_window(spark):
+    """A window of 24 hours that begins within an hour touches 25."""
+    now = dt.datetime(2024, 1, 20, 13, 30)
+    rows = [(1, "Game_1", "positive", 0.5, now - dt.timedelta(minutes=5 + 30 * k)) for k in range(60)]
+    reviews = spark.createDataFrame(rows, "app_id int, game_name string, sentiment_label string, sentiment_score double, processed_timestamp timestamp_ntz")
+    got = REGISTRY["insights_lists"].build(SimpleNamespace(reviews=reviews, review_as_of=now)).filter("section = 'sentiment_trends'").collect()
+    assert [(r["rank"], r.game_name, r.review_count) for r in got] == [
+        (k + 1, f"{now - dt.timedelta(hours=k):%Y-%m-%dT%H}", 1 if k in (0, 24) else 2) for k in range(25)]
+    assert len(Q.insights_document(reviews, now).first().sentiment_trends) == 24

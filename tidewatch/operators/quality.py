@@ -205,20 +205,21 @@ def score_quality_issues(reviews: DataFrame, as_of=None, skew_pct: float = 80,
     return rows.withColumn("severity", severity(F.col("message")))
 
 
-def insights_document(reviews: DataFrame, as_of=None) -> DataFrame:
-    """One row with the bounded top lists (5, 5, 24 rows), volume and
+def insights_document(reviews: DataFrame, as_of=None, trend_hours: int | None = 24) -> DataFrame:
+    """One row with the bounded top lists (5, 5), the newest
+    ``trend_hours`` hours (None: all that the window touches), volume and
     class, plus its JSON form."""
     def lst(df, name, *order):
         """The rows in their order: gathered with their rank and sorted by it
         (a list keeps no order of its own)."""
-        ranked = df.withColumn("_rank", F.row_number().over(Window.orderBy(*order)))  # 24 rows at most
+        ranked = df.withColumn("_rank", F.row_number().over(Window.orderBy(*order)))  # 25 rows at most
         rows = F.sort_array(F.collect_list(F.struct("_rank", F.struct(*df.columns).alias("row"))))
         return ranked.agg(F.transform(rows, lambda x: x["row"]).alias(name))
     tie = (F.desc("review_count"), "app_id", "game_name")
     doc = attach(attach(attach(
         lst(S.top_positive_games(reviews, as_of), "top_positive_games", F.desc("avg_sentiment"), *tie),
         lst(S.top_negative_games(reviews, as_of), "top_negative_games", F.asc("avg_sentiment"), *tie)),
-        lst(S.sentiment_trend_24h(reviews, as_of), "sentiment_trends", F.desc("hour"))),
+        lst(S.sentiment_trend_24h(reviews, as_of, k=trend_hours), "sentiment_trends", F.desc("hour"))),
         S.overall_sentiment(reviews, as_of).select("review_volume", "overall_sentiment"))
     return doc.withColumn("insights_json", F.to_json(F.struct(*doc.columns)))
 

@@ -206,12 +206,14 @@ def top_negative_games(reviews: DataFrame, as_of=None, hours: float = 24, min_n:
                     pct(F.col("n_label"), F.col("review_count")).alias("negative_percentage")))
 
 
-def sentiment_trend_24h(reviews: DataFrame, as_of=None, hours: float = 24, k: int = 24) -> DataFrame:
-    """Newest ``k`` hours: volume, mean and label shares."""
+def sentiment_trend_24h(reviews: DataFrame, as_of=None, hours: float = 24, k: int | None = 24) -> DataFrame:
+    """Newest ``k`` hours (None: every hour of the window; one that
+    begins within an hour touches 25): volume, mean and label shares."""
     agg = labelled_since(reviews, as_of, hours).groupBy(trunc_ntz("hour", F.col("processed_timestamp")).alias("hour")).agg(
         F.count(F.lit(1)).alias("review_count"), F.avg(F.col("sentiment_score")).alias("avg_raw"),
         n_label("positive").alias("pos"), n_label("negative").alias("neg"))
-    return (agg.orderBy(F.col("hour").desc()).limit(k)
+    newest = agg if k is None else agg.orderBy(F.col("hour").desc()).limit(k)
+    return (newest
             .select("hour", "review_count", F.round("avg_raw", 3).alias("avg_sentiment"),
                     pct(F.col("pos"), F.col("review_count")).alias("positive_percentage"),
                     pct(F.col("neg"), F.col("review_count")).alias("negative_percentage")))

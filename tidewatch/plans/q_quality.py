@@ -218,11 +218,12 @@ select * from ({_top("top_positive_games", "> 0.5", "desc")}) p where rank <= 5
 union all select * from ({_top("top_negative_games", "< -0.2", "asc")}) n where rank <= 5
 union all
 select 'sentiment_trends', row_number() over (order by hour desc), null, strftime(hour, '%Y-%m-%dT%H'), n, round(avg_raw, 3)
-from (select date_trunc('hour', processed_timestamp) as hour, count(*) as n, avg(sentiment_score) as avg_raw {LAB24} group by all order by hour desc limit 24) h
+from (select date_trunc('hour', processed_timestamp) as hour, count(*) as n, avg(sentiment_score) as avg_raw {LAB24} group by all) h
 """, floats=("avg_sentiment",))
 def _l7_lists(x):
-    """The stored document read back: its lists as rows, in their order."""
-    doc = Q.insights_document(x.reviews, x.review_as_of)
+    """The document read back: its lists as rows, in their order, the trend
+    with every hour of the window."""
+    doc = Q.insights_document(x.reviews, x.review_as_of, trend_hours=None)
     parts = []
     for c in ("top_positive_games", "top_negative_games", "sentiment_trends"):
         row = doc.select(F.posexplode(c).alias("at", "r"))

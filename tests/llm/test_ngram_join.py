@@ -116,6 +116,28 @@ def test_representatives_keep_the_smallest_id(spark):
     assert sorted((r.doc_id for r in got.collect()), key=str) == keep
 
 
+def test_texts_and_sets_are_not_exchanged(spark, monkeypatch):
+    """Documents stay in their buckets, and only nodes in pairs that the bit
+    counts allow have their sets gathered, however many share tiles."""
+    common = [f"c{i}" for i in range(180)]
+    rows = [(k, " ".join(common + [f"x{k}_{i}" for i in range(120)]), "en", "a", 0) for k in range(40)]
+    rows += [(100 + k, " ".join([f"near{i}" for i in range(300)] + [f"y{k}"] * k), "en", "a", 0) for k in range(3)]
+    tables, stage = {}, ngram_join.staged
+
+    def counted(df, name):
+        out = stage(df, name)
+        tables.setdefault(name, []).append(out.count())
+        return out
+    monkeypatch.setattr(ngram_join, "staged", counted)
+    docs = spark.createDataFrame(rows, DOCS).repartition(3)
+    got = representatives(docs)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and "Exchange hashpartitioning(__row" not in plan
+    assert sorted(r.doc_id for r in got.collect()) == [*range(40), 100]
+    assert not [t.name for t in spark.catalog.listTables() if "ngram" in t.name]
+    assert tables["ngram-places"][0] > 20 and tables["ngram-sets"][0] == 3 and max(tables["ngram-sets"]) <= 3
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], DOCS)
     assert jaccard_components(empty).collect() == [] and representatives(empty).collect() == []

@@ -36,22 +36,42 @@ def shared_folder(spark: SparkSession) -> str:
 _SCOPE: ContextVar[list | None] = ContextVar("scope", default=None)
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: lineage ends here,
-    so a lost executor costs no recomputation of what came before and rows
-    keep the values they were written with. The folder goes when the session
-    ends, or with its :class:`Scratch`."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+def _scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared one, which goes when the session ends, or
+    with its :class:`Scratch`."""
+    path = f"{shared_folder(spark)}/{name}"
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     fs.deleteOnExit(hadoop)
     if (scope := _SCOPE.get()) is not None:
         scope.append((fs, hadoop))
+    return path
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read again: lineage ends here,
+    so a lost executor costs no recomputation of what came before and rows
+    keep the values they were written with."""
+    spark = df.sparkSession
+    path = _scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def staged_by(df: DataFrame, name: str, by: str, order: str, buckets: int) -> DataFrame:
+    """:func:`staged` as a bucketed table: each task deals its own rows to the
+    buckets of ``by``, sorted by ``order``, so nothing is exchanged for it,
+    and a join on ``by`` leaves the table where it is. The catalog knows it
+    only while it is written: what is returned reads the files."""
+    spark = df.sparkSession
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    unique = f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    df.write.format("parquet").bucketBy(min(buckets, most), by).sortBy(order).option("path", _scratch_path(spark, unique)).saveAsTable(unique)
+    out = spark.table(unique)
+    spark.sql(f"drop table {unique}")  # an external table: its files stay
+    return out
+
+
 class Scratch:
     """The tables staged within ``with scratch:``; ``clear`` removes them,
     once all that reads them has been written elsewhere."""

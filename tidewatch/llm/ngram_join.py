@@ -28,9 +28,12 @@ each stray's likeliest pair first, then all pairs that are left. A pair of
 nodes that share many tiles is given out in one of them, the least one, which
 each of them knows from its own list.
 
-Documents are staged once with their row numbers. Later steps read them more
-than once and name them by the written numbers alone, so it doesn't matter how
-each reading splits the files.
+Documents are staged once with their row numbers, in buckets of their chunks.
+Later steps read them more than once and name them by the written numbers
+alone, so it doesn't matter how each reading splits the files. Texts and token
+sets of all documents are never exchanged: rows that a step wants are gathered
+by chunk and dealt to the buckets (:meth:`_Join.picked`), and only the sets of
+nodes in pairs that the bit counts allow meet each other.
 
 Defined cases: null and blank texts have an empty set, link with nothing and
 are a component of their own; equal texts are one component; a repeated
@@ -50,7 +53,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged, with_row_id
+from .common import staged, staged_by, with_row_id
 from .components import components
 from .shingles import TOKEN_BITS, mix, token_sets
 
@@ -70,6 +73,7 @@ _NO_TILE = np.iinfo(np.int64).max
 TASK_KEYS = 4 << 20
 _TOKEN_BYTES = TOKEN_BITS // 8
 ROW = "__row"
+CHUNK = "__chunk"
 
 
 @dataclass(frozen=True)
@@ -420,9 +424,12 @@ class _Join:
     def __init__(self, docs: DataFrame, text: str, key: str, t: Threshold):
         self.t = t
         whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
-        self.docs = staged(with_row_id(docs, ROW), "ngram-documents")
-        self.rows = self.docs.select(F.col(ROW).alias("row"), F.col(key).cast("long").alias("doc_id"), whole.alias("text"),
-                                     F.octet_length(whole).cast("long").alias("bytes"))
+        numbered = with_row_id(docs, ROW).withColumn(CHUNK, F.shiftright(ROW, CHUNK_BITS))
+        buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), docs.rdd.getNumPartitions())
+        self.docs = staged_by(numbered, "ngram-documents", CHUNK, ROW, buckets)
+        self.columns = (F.col(ROW).alias("row"), F.col(key).cast("long").alias("doc_id"), whole.alias("text"),
+                        F.octet_length(whole).cast("long").alias("bytes"))
+        self.rows = self.docs.select(*self.columns)
         self.members = staged(self.rows.mapInArrow(_members(t.width), "row long, doc_id long, node long, n long, bits binary"),
                               "ngram-members")
         self.bits = self.members.where("bits is not null").select("node", "n", "bits").dropDuplicates(["node"])
@@ -440,15 +447,21 @@ class _Join:
         x, y = self.bits.toDF("x", "nx", "bx"), self.bits.toDF("y", "ny", "by")
         return (pairs.join(x, "x").join(y, "y").select("x", "y", "nx", "ny", "bx", "by").mapInArrow(_by_bits(self.t), _PAIR))
 
-    def sets_of(self, tiles: DataFrame) -> DataFrame:
-        """The sets of all nodes that share a tile with another: one scan, one
-        exchange, and the same plan at every size."""
-        nodes = self.places.select("node").distinct()
-        sets = self.rows.mapInArrow(_sets(self.t.width), "node long, tokens binary")
-        return staged(sets.join(nodes.hint("merge"), "node", "left_semi").dropDuplicates(["node"]), "ngram-sets")
-
-    def exact(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """Pairs of nodes that do link, by their whole sets."""
+    def picked(self, rows: DataFrame) -> DataFrame:
+        """The documents with these row numbers. The numbers are gathered by
+        chunk, a list of bounded length, and go to the documents' buckets."""
+        low = (F.col(ROW) % (1 << CHUNK_BITS)).cast("short")
+        wanted = (rows.toDF(ROW).select(F.shiftright(ROW, CHUNK_BITS).alias(CHUNK), low.alias("low"))
+                  .groupBy(CHUNK).agg(F.collect_set("low").alias("wanted")))
+        return self.docs.join(wanted.hint("shuffle_hash"), CHUNK).where(F.array_contains("wanted", low))
+
+    def exact(self, pairs: DataFrame) -> DataFrame:
+        """Pairs of nodes that do link, by their whole sets: those of the
+        nodes of these pairs alone, each from one of its rows."""
+        pairs = staged(pairs, "ngram-candidates")
+        nodes = pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()
+        rows = self.members.where("node != 0").groupBy("node").agg(F.min("row").alias("row")).join(nodes, "node", "left_semi")
+        sets = staged(self.picked(rows.select("row")).select(*self.columns).mapInArrow(_sets(self.t.width), "node long, tokens binary"), "ngram-sets")
         return (pairs.join(sets.toDF("x", "tx"), "x").join(sets.toDF("y", "ty"), "y")
                 .select("x", "y", "tx", "ty").mapInArrow(_exactly(self.t), _PAIR))
 
@@ -499,14 +512,13 @@ class _Join:
         tiles = self.tiles()
         places = self.members.select(F.col("row").alias("place"), "node")
         self.places = staged(places.join(tiles.select("place").distinct(), "place", "left_semi"), "ngram-places")
-        sets = self.sets_of(tiles)
-        found = staged(self.exact(self.bounded(self.stars(tiles)), sets), "ngram-links")
+        found = staged(self.exact(self.bounded(self.stars(tiles))), "ngram-links")
         labels = staged(components(found, "x", "y"), "ngram-labels")
         # First each stray's likeliest pair: that joins most of what links, and
         # pairs within a component need no comparing. Then all pairs left.
         mixed = self.mixed(tiles, labels)
         for best in (True, False):
-            more = staged(self.exact(self.across(mixed, labels, best), sets), "ngram-across")
+            more = staged(self.exact(self.across(mixed, labels, best)), "ngram-across")
             if not more.isEmpty():
                 found = staged(found.union(more), "ngram-links")
                 labels = staged(components(found, "x", "y"), "ngram-labels")
@@ -545,5 +557,5 @@ def representatives(docs: DataFrame, ratio: tuple[int, int] = (8, 10), width: in
     nodes = join.members.where("node != 0").groupBy("node").agg(best).join(labels, "node", "left")
     stay = nodes.groupBy(F.coalesce("component", "node")).agg(F.min("b").alias("b")).select(F.col("b.row").alias(ROW))
     stay = stay.union(join.members.where("node = 0").select(F.col("row").alias(ROW)))
-    return (join.docs.join(stay, ROW, "left_semi")
+    return (join.picked(stay)
             .select(*[F.col(p).alias(c) for p, c in zip(plain, docs.columns, strict=True)]))

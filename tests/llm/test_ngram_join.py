@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -7,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tidewatch.llm import components as graph
-from tidewatch.llm import ngram_join
+from tidewatch.llm import ngram_join, shingles as hashing
 from tidewatch.llm.ngram_join import Threshold, jaccard_components, representatives, tile_keys
 from tidewatch.llm.shingles import token_sets
 
@@ -168,3 +170,56 @@ def test_linked_sets_share_a_tile(n, ratio, seed):
     if len(y) and t.links(len(x), len(y), len(np.intersect1d(x, y))):
         key, who = tile_keys(np.concatenate([x, y]), np.array([0, len(x), len(x) + len(y)]), t)
         assert set(key[who == 0].tolist()) & set(key[who == 1].tolist())
+
+
+def _peak(f, *args):
+    """(result, bytes held at most besides the arguments)."""
+    tracemalloc.start()
+    try:
+        return f(*args), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def _letters(rng, n: int, words: int = 5000) -> str:
+    return " ".join(f"w{k}" for k in rng.integers(0, words, n))
+
+
+def test_memory_of_a_chunk():
+    """Numbers per letter, per token and per tile key are held for a bounded
+    part of a chunk, or of one long text, at a time."""
+    rng = np.random.default_rng(7)
+    for texts in ([_letters(rng, 350) for _ in range(1000)], [_letters(rng, 350_000)]):
+        texts = pa.array(texts, pa.string())
+        (tokens, bounds), most = _peak(token_sets, texts, 5)
+        assert most < 16 * texts.nbytes
+        if len(texts) > 1:
+            (key, _), most = _peak(tile_keys, tokens, bounds, Threshold(8, 10, 5))
+            assert most < 24 * len(tokens) + 32 * len(key)
+
+
+def test_memory_of_a_meeting():
+    """Buckets of heads are sorted one after the other."""
+    rng = np.random.default_rng(8)
+    rows = [(bucket, chunk, rng.integers(0, 1 << 40, 500).astype(np.uint64).tobytes(),
+             rng.integers(0, 4096, 500).astype(np.uint16).tobytes(), b"") for chunk in range(50) for bucket in range(16)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (
+        pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["bucket", "chunk", "keys", "who", "heads"])
+    _, most = _peak(list, ngram_join._meet(iter([batch])))
+    assert most < 30 * 50 * 16 * 500
+
+
+@pytest.mark.parametrize("span", [1, 5, 64])
+def test_spans_do_not_matter(monkeypatch, span):
+    rng = np.random.default_rng(span)
+    texts = pa.array([None, "", " \t", "é" * 40, "A b", *(f" {_letters(rng, n, 9)}\n" for n in (1, 4, 5, 60, 200))], pa.string())
+
+    def both():
+        tokens, bounds = token_sets(texts, 5)
+        own = bounds[np.append(True, np.diff(bounds) > 0)]
+        return tokens, bounds, *(sorted(zip(*map(np.ndarray.tolist, tile_keys(tokens, own, Threshold(8, 10, 5))), strict=True)),)
+    want = both()
+    monkeypatch.setattr(hashing, "SPAN_BYTES", span)
+    monkeypatch.setattr(ngram_join, "RUN_TOKENS", span)
+    got = both()
+    assert all(np.array_equal(g, w) for g, w in zip(got, want, strict=True))

@@ -53,7 +53,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged, staged_by, with_row_id
+from .common import slices, staged, staged_by, with_row_id
 from .components import components
 from .shingles import TOKEN_BITS, mix, token_sets
 
@@ -62,6 +62,8 @@ CHUNK_BYTES = 2 << 20
 CHUNK_ROWS = 4096
 #: Low bits of a row number, which tell the rows of a chunk apart.
 CHUNK_BITS = 13
+#: Tokens whose tile keys are made at once.
+RUN_TOKENS = 1 << 15
 #: Nodes on a side of a block in the comparison across components.
 BLOCK = 2048
 #: Rows of a tile up to which it is gathered whole, to compare equal tiles once.
@@ -207,7 +209,18 @@ _SALT = np.uint64(0x9E3779B97F4A7C15)
 
 
 def tile_keys(tokens: np.ndarray, bounds: np.ndarray, t: Threshold) -> tuple[np.ndarray, np.ndarray]:
-    """(key, set number) of all tiles of all (non-empty) sets."""
+    """(key, set number) of all tiles of all (non-empty) sets; each set's keys
+    are its own, so sets are taken a run of ``RUN_TOKENS`` at a time."""
+    keys, sets, at = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+    while at < len(bounds) - 1:
+        end = max(at + 1, int(np.searchsorted(bounds, bounds[at] + RUN_TOKENS, side="right")) - 1)
+        key, who = _run_keys(tokens[bounds[at]:bounds[end]], bounds[at:end + 1] - bounds[at], t)
+        keys.append(key), sets.append(who + at)
+        at = end
+    return np.concatenate(keys), np.concatenate(sets)
+
+
+def _run_keys(tokens: np.ndarray, bounds: np.ndarray, t: Threshold) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.diff(bounds)
     owner = np.repeat(np.arange(len(sizes)), sizes)
     small = t.small()
@@ -283,8 +296,9 @@ def _tiles(t: Threshold, buckets: int):
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (tile, place, to) of the tiles with two nodes or more, a place
     being a row that has the node: to is the
-    head's place, or for a head the first head's."""
-    keys, places = [], []
+    head's place, or for a head the first head's. A tile's heads are all in
+    one bucket, so the task's buckets are sorted one after the other."""
+    dealt: dict[int, list[tuple[int, bytes, bytes]]] = {}
 
     def out(tile, place, to):
         for k in range(0, len(tile), 100_000):
@@ -292,25 +306,32 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(x[s].view(np.int64)) for x in (tile, place, to)], names=["tile", "place", "to"])
 
     for b in batches:
-        for chunk, k, w, h in zip(*(b.column(c).to_pylist() for c in ("chunk", "keys", "who", "heads")), strict=True):
-            key, who = np.frombuffer(k, np.uint64), np.frombuffer(w, np.uint16)
-            base = np.uint64(chunk << CHUNK_BITS)
+        for bucket, chunk, k, w, h in zip(*(b.column(c).to_pylist() for c in ("bucket", "chunk", "keys", "who", "heads")), strict=True):
             if h:
-                yield from out(key, base | who.astype(np.uint64), base | np.frombuffer(h, np.uint16).astype(np.uint64))
-            elif len(key):
-                keys.append(key)
-                places.append((base | (who & ~_SHARED).astype(np.uint64)) << np.uint64(1) | (who >= _SHARED).astype(np.uint64))
-    if not keys:
-        return
-    key, place = np.concatenate(keys), np.concatenate(places)
-    keys.clear(), places.clear()
+                base = np.uint64(chunk << CHUNK_BITS)
+                yield from out(np.frombuffer(k, np.uint64), base | np.frombuffer(w, np.uint16).astype(np.uint64),
+                               base | np.frombuffer(h, np.uint16).astype(np.uint64))
+            elif k:
+                dealt.setdefault(bucket, []).append((chunk, k, w))
+    while dealt:
+        _, heads = dealt.popitem()
+        yield from out(*_met(heads))
+
+
+def _met(heads: list[tuple[int, bytes, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(tile, place, to) of the heads of a bucket; empties the list."""
+    key = np.frombuffer(b"".join(k for _, k, _ in heads), np.uint64)
+    who = np.frombuffer(b"".join(w for _, _, w in heads), np.uint16)
+    chunk = np.repeat(np.array([c for c, _, _ in heads], np.uint64), [len(w) // 2 for _, _, w in heads])
+    heads.clear()
+    place = (chunk << np.uint64(CHUNK_BITS) | (who & ~_SHARED)) << np.uint64(1) | (who >= _SHARED)
     order = np.lexsort((place, key))
     key, place = key[order], place[order]
     begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
     size = np.diff(np.append(begin, len(key)))
     keep = np.repeat(size > 1, size) | (place & np.uint64(1) == 1)
     to = np.repeat(place[begin], size)
-    yield from out(key[keep], place[keep] >> np.uint64(1), to[keep] >> np.uint64(1))
+    return key[keep], place[keep] >> np.uint64(1), to[keep] >> np.uint64(1)
 
 
 def _words(column: pa.Array) -> np.ndarray:
@@ -337,7 +358,7 @@ def _by_bits(t: Threshold):
 
 def _exactly(t: Threshold):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, "tx"):
             ok = []
             for p, q in zip(b.column("tx").to_pylist(), b.column("ty").to_pylist(), strict=True):
                 x, y = unpack(p), unpack(q)

@@ -14,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 
 TOKEN_BITS = 48
+#: Bytes of text whose letters are hashed at once.
+SPAN_BYTES = 1 << 17
 _rng = np.random.default_rng(0x5EED)
 _LETTER = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _LETTER[65:91] = _LETTER[97:123]  # A-Z as a-z
@@ -39,11 +41,23 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def _word_sums(raw: np.ndarray, inside: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The sum of each word's letters by their places; words begin at ``at``,
+    the first with the first byte."""
+    place = np.arange(len(raw), dtype=np.int32)
+    place -= np.repeat(place[at], np.diff(np.append(at, len(raw))))
+    place[~inside] = 0
+    powers = np.cumprod(np.full(int(place.max()) + 1, _PLACE), dtype=np.uint64)
+    terms = powers[place]
+    terms *= _LETTER[raw]
+    terms[~inside] = 0
+    return np.add.reduceat(terms, at)
+
+
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word in order, the row of each word)."""
+    """(hash of each word in order, the row of each word). Numbers are held
+    for the letters of ``SPAN_BYTES`` at a time, or of one longer word."""
     raw, offsets = text_bytes(texts)
-    if not len(raw):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     inside = ~_SPACE[raw]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
@@ -51,24 +65,25 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     edges = edges[edges < len(raw)]
     begins[edges] = inside[edges]  # a row's first byte begins a word of its own
     at = np.flatnonzero(begins)
-    if not len(at):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    word = np.cumsum(begins) - 1
-    place = np.arange(len(raw)) - at[np.maximum(word, 0)]
-    longest = int(place[inside].max()) + 1
-    powers = np.cumprod(np.full(longest, _PLACE), dtype=np.uint64)
-    place[~inside] = 0
-    terms = _LETTER[raw] * powers[place]
-    terms[~inside] = 0
-    hashes = mix(np.add.reduceat(terms, at))
+    del begins
+    hashes = np.empty(len(at), np.uint64)
+    ends = np.append(at[1:], len(raw))
+    w = 0
+    while w < len(at):
+        first = int(at[w])
+        stop = max(w + 1, int(np.searchsorted(ends, first + SPAN_BYTES, side="right")))
+        span = slice(first, int(ends[stop - 1]))
+        hashes[w:stop] = mix(_word_sums(raw[span], inside[span], at[w:stop] - first))
+        w = stop
     return hashes, np.searchsorted(offsets, at, side="right") - 1
 
 
-def _sequence(words: list[np.ndarray]) -> np.ndarray:
-    """Hash of a run of words, order and number included."""
-    out = np.full(len(words[0]), len(words), np.uint64) * _SHORT
-    for h in words:
-        out = mix(out * _STEP + h)
+def _sequence(hashes: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
+    """Hash of the run of n words that begins at each of ``first``, order and
+    number included."""
+    out = np.full(len(first), n, np.uint64) * _SHORT
+    for k in range(n):
+        out = mix(out * _STEP + hashes[first + k])
     return out
 
 
@@ -82,13 +97,13 @@ def token_sets(texts: pa.Array, width: int = 3) -> tuple[np.ndarray, np.ndarray]
     first = np.cumsum(counts) - counts
     keys, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     if len(hashes) >= width:
-        full = row[width - 1:] == row[:len(row) - width + 1]
-        keys.append(_sequence([hashes[k:len(hashes) - width + 1 + k][full] for k in range(width)]))
-        owners.append(row[width - 1:][full])
+        full = np.flatnonzero(row[width - 1:] == row[:len(row) - width + 1])
+        keys.append(_sequence(hashes, full, width))
+        owners.append(row[full])
     for n in range(1, width):
         few = np.flatnonzero(counts == n)
         if len(few):
-            keys.append(_sequence([hashes[first[few] + k] for k in range(n)]))
+            keys.append(_sequence(hashes, first[few], n))
             owners.append(few)
     keyed = np.concatenate(keys) >> np.uint64(64 - TOKEN_BITS)
     keyed |= np.concatenate(owners).astype(np.uint64) << np.uint64(TOKEN_BITS)

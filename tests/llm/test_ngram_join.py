@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import os
+import time
 import tracemalloc
 
 import numpy as np
@@ -10,6 +12,7 @@ from hypothesis import strategies as st
 
 from tidewatch.llm import components as graph
 from tidewatch.llm import ngram_join, shingles as hashing
+from tidewatch.llm.common import exchanges_end, shared_folder
 from tidewatch.llm.ngram_join import Threshold, jaccard_components, representatives, tile_keys
 from tidewatch.llm.shingles import token_sets
 
@@ -223,3 +226,65 @@ def test_spans_do_not_matter(monkeypatch, span):
     monkeypatch.setattr(ngram_join, "RUN_TOKENS", span)
     got = both()
     assert all(np.array_equal(g, w) for g, w in zip(got, want, strict=True))
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.integers(1, 12_000), st.sampled_from([(9, 10), (8, 10), (1, 2)]), st.integers(0, 2**32))
+def test_sketches_lose_no_link(n, ratio, seed):
+    t = Threshold(*ratio, 3)
+    rng = np.random.default_rng(seed)
+    x = np.unique(rng.integers(0, 2**48, n, dtype=np.uint64))
+    y = np.unique(np.concatenate([rng.permutation(x)[int(rng.integers(0, t.apart(n, n) + 1)):],
+                                  rng.integers(0, 2**48, int(rng.integers(0, t.apart(n, n) + 1)), dtype=np.uint64)]))
+    if len(y) and t.links(len(x), len(y), len(np.intersect1d(x, y))):
+        a, b = (ngram_join._sketch(s, t.sketch_bits(len(s))) for s in (x, y))
+        for words in (16, min(len(a), len(b))):
+            assert ngram_join._bound(t, len(x), len(y), ngram_join._folded(a, words), ngram_join._folded(b, words))
+
+
+@pytest.mark.parametrize("ratio", [(9, 10), (8, 10)])
+def test_sketches_tell_large_sets_apart(ratio):
+    """Whatever their size, sets that differ in a half more tokens than linked ones do."""
+    t = Threshold(*ratio, 3)
+    rng = np.random.default_rng(5)
+    for n in (300, 1500, 5000, 20_000, 60_000):
+        both = rng.integers(0, 2**48, 2 * n, dtype=np.uint64)
+        new = 3 * t.apart(n, n) // 4 + 1
+        a, b = (ngram_join._sketch(s, t.sketch_bits(n)) for s in (both[:n], both[new:new + n]))
+        assert not ngram_join._bound(t, n, n, a, b)
+
+
+def test_long_texts_with_a_passage_in_common(spark, monkeypatch):
+    """Their sets aren't gathered, and what a round of comparing has staged is gone."""
+    rng = np.random.default_rng(2)
+    passage = " ".join(f"p{i}" for i in range(400))
+    rows = [(k, f"{_letters(rng, 4000, 10**9)} {passage}", "en", "a", 0) for k in range(12)]
+    rows += [(100 + k, rows[k][1] + " more" * k, "en", "a", 0) for k in range(3)]
+    tables, stage = {}, ngram_join.staged
+
+    def counted(df, name):
+        out = stage(df, name)
+        tables.setdefault(name, []).append(out.count())
+        return out
+    monkeypatch.setattr(ngram_join, "staged", counted)
+    folder = shared_folder(spark).removeprefix("file://")
+    before = set(os.listdir(folder))
+    got = representatives(spark.createDataFrame(rows, DOCS).repartition(3))
+    assert sorted(r.doc_id for r in got.collect()) == list(range(12))
+    assert tables["ngram-places"][0] > 12 and 0 < max(tables["ngram-sets"]) <= 6
+    assert not [f for f in set(os.listdir(folder)) - before if f.startswith(("ngram-sets", "ngram-candidates"))]
+
+
+def test_exchange_files_end_with_their_execution(spark, tmp_path):
+    def files():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f for f in found.mkString("\n").split("\n") if "/shuffle_" in f}
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, conf = files(), spark.conf.get(key)
+    with exchanges_end(spark):
+        spark.range(1000).repartition(4, "id").write.parquet(f"{tmp_path}/out")
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not files() - before and spark.conf.get(key) == conf
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 1000

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 from contextvars import ContextVar
 
 import numpy as np
@@ -92,6 +93,20 @@ class Scratch:
         self.tables.clear()
 
 
+@contextmanager
+def exchanges_end(spark: SparkSession):
+    """Within it the files of an execution's exchanges go when it ends, not
+    when the driver next happens to collect its garbage. For work that stages
+    each result, as an execution run again would have to make them again."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once per row: as the variable
     of a one-element transform it cannot be copied into inner lambdas, where

@@ -15,8 +15,12 @@ link:
   the part's tokens). Small sets, which differ from linked ones in one token
   at most, have as keys the set and, where that can link, the set without
   each one token.
-* **Bitmaps.** Pairs of a tile are first bounded by bit counts: every token
-  sets one of 1,024 bits, and ``|x & y| <= (|x| + |y| - |bx ^ by|) / 2``.
+* **Sketches.** Pairs of a tile are first bounded by bit counts: every token
+  turns over one of 1,024 bits, so that tokens of both sets leave no trace, and
+  ``|x & y| <= (|x| + |y| - |bx ^ by|) / 2``. Large sets, whose linked ones may
+  differ in more tokens than those bits can show, have longer sketches by their
+  size as well: in a large corpus most pairs of a tile are long documents that
+  share one common shingle, and these pairs end there.
 * **Exact.** What is left is decided by intersecting the sorted token arrays.
 
 Groups are never paired off in full. Each chunk of an input partition links
@@ -33,7 +37,8 @@ Later steps read them more than once and name them by the written numbers
 alone, so it doesn't matter how each reading splits the files. Texts and token
 sets of all documents are never exchanged: rows that a step wants are gathered
 by chunk and dealt to the buckets (:meth:`_Join.picked`), and only the sets of
-nodes in pairs that the bit counts allow meet each other.
+nodes in pairs that the bit counts allow meet each other. The tables of such a
+round and the files of each exchange go as soon as the round has been written.
 
 Defined cases: null and blank texts have an empty set, link with nothing and
 are a component of their own; equal texts are one component; a repeated
@@ -53,11 +58,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, staged, staged_by, with_row_id
+from .common import Scratch, exchanges_end, slices, staged, staged_by, with_row_id
 from .components import components
 from .shingles import TOKEN_BITS, mix, token_sets
 
 BITMAP_BITS = 1024
+#: The longest sketch; sets of more than about 150,000 tokens (at 0.8) are bounded less closely.
+SKETCH_BITS = 1 << 16
 CHUNK_BYTES = 2 << 20
 CHUNK_ROWS = 4096
 #: Low bits of a row number, which tell the rows of a chunk apart.
@@ -96,6 +103,11 @@ class Threshold:
         """Largest set that a set of n links with."""
         return n * self.den // self.num
 
+    def sketch_bits(self, n: int) -> int:
+        """A power of two, four times the tokens in which linked sets of this
+        size differ or more: sets that differ in a quarter more are told apart."""
+        return min(max(1 << (4 * self.apart(n, n) - 1).bit_length(), BITMAP_BITS), SKETCH_BITS)
+
     def small(self) -> int:
         """First size whose linked sets can differ in two tokens."""
         n = 1
@@ -139,10 +151,17 @@ def _set_ids(tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
-def _bitmap(tokens: np.ndarray) -> bytes:
-    bits = np.zeros(BITMAP_BITS, bool)
-    bits[(mix(tokens) >> np.uint64(54)).astype(np.int64)] = True
-    return np.packbits(bits).tobytes()
+def _sketch(tokens: np.ndarray, bits: int) -> np.ndarray:
+    """How many tokens fall on each of so many places, modulo two, packed."""
+    places = (mix(tokens) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(places, minlength=bits) & 1).astype(bool)).view(np.uint64)
+
+
+def _folded(sketch: np.ndarray, words: int) -> np.ndarray:
+    """The sketch of the same set in so many words of 64 bits."""
+    while len(sketch) > words:
+        sketch = sketch[:len(sketch) // 2] ^ sketch[len(sketch) // 2:]
+    return sketch
 
 
 def _firsts(nodes: np.ndarray) -> np.ndarray:
@@ -151,16 +170,21 @@ def _firsts(nodes: np.ndarray) -> np.ndarray:
     return first[nodes[first] != 0]
 
 
-def _members(width: int):
+def _members(t: Threshold):
     """A row per document: its node, number of tokens, and for a node's first
-    row of the run its bitmap."""
+    row of the run its bits, and its sketch if that is longer."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for tokens, bounds, nodes, rows, docs, _ in _chunks(batches, width):
+        for tokens, bounds, nodes, rows, docs, _ in _chunks(batches, t.width):
             bits: list[bytes | None] = [None] * len(nodes)
+            sketches: list[bytes | None] = [None] * len(nodes)
             for i in _firsts(nodes).tolist():
-                bits[i] = _bitmap(tokens[bounds[i]:bounds[i + 1]])
+                sketch = _sketch(tokens[bounds[i]:bounds[i + 1]], t.sketch_bits(int(bounds[i + 1] - bounds[i])))
+                bits[i] = _folded(sketch, BITMAP_BITS // 64).tobytes()
+                if len(sketch) > BITMAP_BITS // 64:
+                    sketches[i] = sketch.tobytes()
             yield pa.RecordBatch.from_arrays([rows, docs, pa.array(nodes), pa.array(np.diff(bounds).astype(np.int64)),
-                                              pa.array(bits, pa.binary())], names=["row", "doc_id", "node", "n", "bits"])
+                                              pa.array(bits, pa.binary()), pa.array(sketches, pa.binary())],
+                                             names=["row", "doc_id", "node", "n", "bits", "sketch"])
     return run
 
 
@@ -356,6 +380,23 @@ def _by_bits(t: Threshold):
     return run
 
 
+def _by_sketches(t: Threshold):
+    """A pair passes if one of its sets has no sketch, as it has been bounded
+    by its bits."""
+    def allowed(n_x, n_y, x, y) -> bool:
+        if x is None or y is None:
+            return True
+        x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+        words = min(len(x), len(y))
+        return bool(_bound(t, n_x, n_y, _folded(x, words), _folded(y, words)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "sx"):
+            ok = [allowed(*pair) for pair in zip(*(b.column(c).to_pylist() for c in ("nx", "ny", "sx", "sy")), strict=True)]
+            yield b.select(["x", "y"]).filter(pa.array(ok, pa.bool_()))
+    return run
+
+
 def _exactly(t: Threshold):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "tx"):
@@ -451,9 +492,10 @@ class _Join:
         self.columns = (F.col(ROW).alias("row"), F.col(key).cast("long").alias("doc_id"), whole.alias("text"),
                         F.octet_length(whole).cast("long").alias("bytes"))
         self.rows = self.docs.select(*self.columns)
-        self.members = staged(self.rows.mapInArrow(_members(t.width), "row long, doc_id long, node long, n long, bits binary"),
+        self.members = staged(self.rows.mapInArrow(_members(t), "row long, doc_id long, node long, n long, bits binary, sketch binary"),
                               "ngram-members")
         self.bits = self.members.where("bits is not null").select("node", "n", "bits").dropDuplicates(["node"])
+        self.sketches = self.members.where("sketch is not null").select("node", "n", "sketch").dropDuplicates(["node"])
 
     def tiles(self) -> DataFrame:
         total = self.members.agg(F.sum("n")).first()[0] or 0
@@ -468,6 +510,11 @@ class _Join:
         x, y = self.bits.toDF("x", "nx", "bx"), self.bits.toDF("y", "ny", "by")
         return (pairs.join(x, "x").join(y, "y").select("x", "y", "nx", "ny", "bx", "by").mapInArrow(_by_bits(self.t), _PAIR))
 
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """Of pairs that the bit counts allow, those that the sketches do."""
+        x, y = self.sketches.toDF("x", "nx", "sx"), self.sketches.toDF("y", "ny", "sy")
+        return (pairs.join(x, "x", "left").join(y, "y", "left").select("x", "y", "nx", "ny", "sx", "sy").mapInArrow(_by_sketches(self.t), _PAIR))
+
     def picked(self, rows: DataFrame) -> DataFrame:
         """The documents with these row numbers. The numbers are gathered by
         chunk, a list of bounded length, and go to the documents' buckets."""
@@ -476,15 +523,20 @@ class _Join:
                   .groupBy(CHUNK).agg(F.collect_set("low").alias("wanted")))
         return self.docs.join(wanted.hint("shuffle_hash"), CHUNK).where(F.array_contains("wanted", low))
 
-    def exact(self, pairs: DataFrame) -> DataFrame:
-        """Pairs of nodes that do link, by their whole sets: those of the
-        nodes of these pairs alone, each from one of its rows."""
-        pairs = staged(pairs, "ngram-candidates")
-        nodes = pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()
-        rows = self.members.where("node != 0").groupBy("node").agg(F.min("row").alias("row")).join(nodes, "node", "left_semi")
-        sets = staged(self.picked(rows.select("row")).select(*self.columns).mapInArrow(_sets(self.t.width), "node long, tokens binary"), "ngram-sets")
-        return (pairs.join(sets.toDF("x", "tx"), "x").join(sets.toDF("y", "ty"), "y")
-                .select("x", "y", "tx", "ty").mapInArrow(_exactly(self.t), _PAIR))
+    def exact(self, pairs: DataFrame, name: str) -> DataFrame:
+        """Pairs of nodes that do link, staged, by their whole sets: those of
+        the nodes of likely pairs alone, each from one of its rows."""
+        own = Scratch()
+        try:
+            with own:
+                pairs = staged(self.likely(pairs), "ngram-candidates")
+                nodes = pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()
+                rows = self.members.where("node != 0").groupBy("node").agg(F.min("row").alias("row")).join(nodes, "node", "left_semi")
+                sets = staged(self.picked(rows.select("row")).select(*self.columns).mapInArrow(_sets(self.t.width), "node long, tokens binary"), "ngram-sets")
+            return staged(pairs.join(sets.toDF("x", "tx"), "x").join(sets.toDF("y", "ty"), "y")
+                          .select("x", "y", "tx", "ty").mapInArrow(_exactly(self.t), _PAIR), name)
+        finally:
+            own.clear()
 
     def stars(self, tiles: DataFrame) -> DataFrame:
         """Distinct pairs of different nodes, each node with its tile's head."""
@@ -530,19 +582,20 @@ class _Join:
     def links(self) -> tuple[DataFrame, DataFrame]:
         """(verified pairs of nodes, components): the pairs connect all that
         links connect."""
-        tiles = self.tiles()
-        places = self.members.select(F.col("row").alias("place"), "node")
-        self.places = staged(places.join(tiles.select("place").distinct(), "place", "left_semi"), "ngram-places")
-        found = staged(self.exact(self.bounded(self.stars(tiles))), "ngram-links")
-        labels = staged(components(found, "x", "y"), "ngram-labels")
-        # First each stray's likeliest pair: that joins most of what links, and
-        # pairs within a component need no comparing. Then all pairs left.
-        mixed = self.mixed(tiles, labels)
-        for best in (True, False):
-            more = staged(self.exact(self.across(mixed, labels, best)), "ngram-across")
-            if not more.isEmpty():
-                found = staged(found.union(more), "ngram-links")
-                labels = staged(components(found, "x", "y"), "ngram-labels")
+        with exchanges_end(self.docs.sparkSession):
+            tiles = self.tiles()
+            places = self.members.select(F.col("row").alias("place"), "node")
+            self.places = staged(places.join(tiles.select("place").distinct(), "place", "left_semi"), "ngram-places")
+            found = self.exact(self.bounded(self.stars(tiles)), "ngram-links")
+            labels = staged(components(found, "x", "y"), "ngram-labels")
+            # First each stray's likeliest pair: that joins most of what links, and
+            # pairs within a component need no comparing. Then all pairs left.
+            mixed = self.mixed(tiles, labels)
+            for best in (True, False):
+                more = self.exact(self.across(mixed, labels, best), "ngram-across")
+                if not more.isEmpty():
+                    found = staged(found.union(more), "ngram-links")
+                    labels = staged(components(found, "x", "y"), "ngram-labels")
         return found, labels
 
 
